@@ -20,7 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
 own AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY k) AS first FROM win),
 hit AS (SELECT DISTINCT doc_id, p + o AS q FROM (SELECT doc_id, p, unnest(range(0, 50)) AS o FROM own WHERE first < doc_id)),
