@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 _made: set[str] = set()
 _own: dict[str, str] = {}
 

@@ -5,20 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import bpe, decision_list, fair_mix, projected_ann, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
 from .common import table
 
+#: Rows of a search's query set: those whose id this divides.
+EVERY = 20
+
+
+def op1_projected_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY == 0)
+
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisit.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.tokenise(table(spark, sf_dir, "documents"), *bpe.default_vocabulary())
+
+
+def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mix.mix(table(spark, sf_dir, "documents"))
+
+
+def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_projected_ann": op1_projected_ann,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_decision_list": op3_decision_list,
+    "op4_warc_revisit": op4_warc_revisit,
+    "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_bpe": op7_bpe,
+    "op9_fair_mix": op9_fair_mix,
+    "op10_subword_quality": op10_subword_quality,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_warc_revisit": warc_revisit.ORACLE,
+    "op9_fair_mix": fair_mix.ORACLE,
     "op2_substring_dedup": r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),

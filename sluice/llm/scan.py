@@ -74,7 +74,7 @@ class Roller:
         return mix((self.sums[k:] - self.sums[:-k]) * self.inverse[:n])
 
 
-def blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts of about ``most`` bytes.
 
     A null text is an empty one.  A text longer than ``most`` makes a block of its own.
