@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from . import scan
 from .common import if_small, materialise
 from .components import components
+from .repeats import keyed
 
 SHINGLE = 3
 SEED = 42
@@ -70,14 +71,14 @@ def fingerprints(texts: pa.Array, k: int = SHINGLE) -> np.ndarray:
 def _hash(k: int):
     def run(batches):
         for b in batches:
-            yield pa.record_batch([b.column("doc_id"), pa.array(fingerprints(b.column("text"), k).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column("doc_id"), b.column("rk"), pa.array(fingerprints(b.column("text"), k).view(np.int64))], names=["doc_id", "rk", "fp"])
 
     return run
 
 
 def fingerprint(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_hash(k), "doc_id long, fp long")
+    """doc_id, rk (tells apart rows of one doc_id with different texts), fp (the 64 bits as a signed long)."""
+    return keyed(docs).mapInArrow(_hash(k), "doc_id long, rk long, fp long")
 
 
 ODD = 0x5555555555555555
@@ -131,7 +132,7 @@ def links(fps: DataFrame, n: int, cell: int = CELL) -> DataFrame:
 
 
 def cluster(prints: DataFrame, cell: int = CELL) -> DataFrame:
-    """doc_id, fp, component_id of a frame of doc_id and fp; every row is kept."""
+    """A frame that has doc_id and fp, every row of it, with its component_id."""
     prints = materialise(prints, "fingerprints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     parts = materialise(components(links(nodes.select("fp"), nodes.count(), cell)), "parts")
@@ -139,7 +140,7 @@ def cluster(prints: DataFrame, cell: int = CELL) -> DataFrame:
     rooted = materialise(rooted, "rooted")
     ids = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     named = materialise(rooted.join(ids, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select(*prints.columns, "component_id")
 
 
 def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
