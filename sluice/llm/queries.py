@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, fair_mix, projected_ann, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
+from . import bpe, decision_list, fair_mix, license_scan, projected_ann, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
 from .common import table
 
 #: Rows of a search's query set: those whose id this divides.
@@ -42,6 +42,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(table(spark, sf_dir, "documents"), *bpe.default_vocabulary())
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(table(spark, sf_dir, "documents"))
+
+
 def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_bpe": op7_bpe,
+    "op8_license_scan": op8_license_scan,
     "op9_fair_mix": op9_fair_mix,
     "op10_subword_quality": op10_subword_quality,
 }
