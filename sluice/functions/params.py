@@ -71,7 +71,7 @@ IMPAIRED = ["choked", "encroached"]
 
 
 def params(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([asdict(p) for p in PARAMS], "name string, value double, unit string, status string, source string")
+    return spark.createDataFrame([asdict(p) | {"value": float(p.value)} for p in PARAMS], "name string, value double, unit string, status string, source string")
 
 
 def mapping(spark: SparkSession, d: dict, key: str, value: str) -> DataFrame:

@@ -80,9 +80,9 @@ def band(score: Column) -> Column:
     return F.when(score >= 0.8, "critical").when(score >= 0.6, "high").when(score >= 0.35, "moderate").otherwise("low")
 
 
-def uniform(*parts: Column) -> Column:
+def uniform(*parts: Column | str) -> Column:
     """A number in (0, 1] that depends on the parts alone, the same in every engine with MD5."""
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 12), 16, 10).cast("double")
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])), 1, 12), 16, 10).cast("double")
     return (h + 1.0) / float(1 << 48)
 
 

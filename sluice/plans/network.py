@@ -89,7 +89,7 @@ def _(spark, d):
     return graph.chainage(T.network(spark, d), root(spark))
 
 
-@query("G10_named_above", f"WITH RECURSIVE {T.SEG}, r(seg_id, at, steps) AS (SELECT s.seg_id, p.seg_id, 1 FROM seg s JOIN seg p ON p.dst = s.src UNION ALL SELECT r.seg_id, p.seg_id, steps + 1 FROM r JOIN seg c ON c.seg_id = r.at JOIN seg p ON p.dst = c.src WHERE r.at % 5 <> 0 AND steps < 80) SELECT seg_id, at AS above FROM r WHERE at % 5 = 0")
+@query("G10_named_above", f"WITH RECURSIVE {T.SEG}, r(seg_id, up, steps) AS (SELECT s.seg_id, p.seg_id, 1 FROM seg s JOIN seg p ON p.dst = s.src UNION ALL SELECT r.seg_id, p.seg_id, steps + 1 FROM r JOIN seg c ON c.seg_id = r.up JOIN seg p ON p.dst = c.src WHERE r.up % 5 <> 0 AND steps < 80) SELECT seg_id, up AS above FROM r WHERE up % 5 = 0")
 def _(spark, d):
     s = T.segments(spark, d)
     up = s.select("seg_id", F.col("src").alias("n")).join(s.select(F.col("dst").alias("n"), F.col("seg_id").alias("up")), "n").select("seg_id", "up")
@@ -389,9 +389,9 @@ def _(spark, d):
     return failure.covered_canals(lost, s).select("scenario", F.array_join("canals", ",").alias("canals"))
 
 
-@query("N2_payload", f"WITH {T.SEG}, {HEALTH} SELECT seg_id, round_even(length_m / 1000, 2) AS km, round_even(h, 3) AS health, prj_name AS canal FROM seg JOIN hs USING (seg_id)")
+@query("N2_payload", f"WITH {T.SEG}, {HEALTH} SELECT seg_id, round_even(length_m / 1000, 2) AS km, round(h, 6) AS health, prj_name AS canal FROM seg JOIN hs USING (seg_id)")
 def _(spark, d):
-    return scored_segments(spark, d).select("seg_id", S.half_even(F.col("length_m") / 1000, 2).alias("km"), S.half_even(F.col("health"), 3).alias("health"), F.col("prj_name").alias("canal"))
+    return scored_segments(spark, d).select("seg_id", S.half_even(F.col("length_m") / 1000, 2).alias("km"), F.round("health", 6).alias("health"), F.col("prj_name").alias("canal"))
 
 
 @query("N3_profiles", f"WITH {T.AREAS}, g AS (SELECT district, crop, sum(area) AS a FROM ar GROUP BY 1, 2), sh AS (SELECT *, a / sum(a) OVER (PARTITION BY district) AS s FROM g), r AS (SELECT *, row_number() OVER (PARTITION BY district ORDER BY s DESC, crop) AS rn FROM sh) SELECT district, string_agg(crop, ',' ORDER BY rn) AS crops FROM r WHERE rn <= 3 GROUP BY 1")

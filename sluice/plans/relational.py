@@ -107,10 +107,10 @@ def _(spark, d):
     return T.table(spark, d, "events").where("value > 0.05").select("event_id")
 
 
-@query("P9_derived", "SELECT l_orderkey AS k, round(sum(l_extendedprice * (1 - l_discount)), 2) AS net, round(sum(l_extendedprice * l_discount), 2) AS off FROM lineitem GROUP BY 1")
+@query("P9_derived", "SELECT l_orderkey AS k, round(sum(l_extendedprice * (1 - l_discount)), 6) AS net, round(sum(l_extendedprice * l_discount), 6) AS off FROM lineitem GROUP BY 1")
 def _(spark, d):
     li = T.table(spark, d, "lineitem").withColumns({"net": F.col("l_extendedprice") * (1 - F.col("l_discount")), "off": F.col("l_extendedprice") * F.col("l_discount")})
-    return li.groupBy(F.col("l_orderkey").alias("k")).agg(F.round(F.sum("net"), 2).alias("net"), F.round(F.sum("off"), 2).alias("off"))
+    return li.groupBy(F.col("l_orderkey").alias("k")).agg(F.round(F.sum("net"), 6).alias("net"), F.round(F.sum("off"), 6).alias("off"))
 
 
 @query("P10_conditional", "SELECT event_id, CASE WHEN value > 50 THEN 'suspect' ELSE 'ok' END AS c FROM events")

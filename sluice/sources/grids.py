@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_npz(spark: SparkSession, path: str, fill: float = 0.0) -> tuple[DataFrame, DataFrame]:
@@ -38,13 +39,13 @@ def read_npz(spark: SparkSession, path: str, fill: float = 0.0) -> tuple[DataFra
     return files.mapInPandas(cells, "file string, row int, col int, value double"), files.mapInPandas(meta, "file string, ny int, nx int, x0 double, y0 double, x1 double, y1 double")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def to_wkb(geom: pd.Series) -> pd.Series:
     """Little-endian well-known binary of a line (array of (x, y))."""
     return geom.map(lambda g: None if g is None else struct.pack("<BII", 1, 2, len(g)) + b"".join(struct.pack("<dd", p["x"], p["y"]) for p in g))
 
 
-@F.pandas_udf("array<struct<x:double,y:double>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
 def from_wkb(raw: pd.Series) -> pd.Series:
     def one(b):
         if b is None:

@@ -13,20 +13,25 @@ def read_events(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    e = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return e.withWatermark("ts", late) if e.isStreaming else e
+
+
 def tumbling_counts(events: DataFrame, size: str = "1 day", late: str = "1 hour") -> DataFrame:
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _timed(events, late)
     g = e.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     return g.select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "6 hours", late: str = "1 hour") -> DataFrame:
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _timed(events, late)
     g = e.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"))
     return g.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
 def deduplicated(events: DataFrame, late: str = "1 hour") -> DataFrame:
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"]) if events.isStreaming else events.dropDuplicates(["event_id"])
+    return _timed(events, late).dropDuplicatesWithinWatermark(["event_id"]) if events.isStreaming else events.dropDuplicates(["event_id"])
 
 
 def run_once(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
