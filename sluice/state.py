@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
 
@@ -21,6 +24,26 @@ def session(name: str = "sluice", **conf: str) -> SparkSession:
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the library to Python workers that could not import it: once an application, as a zip file
+    that the driver serves.  Nothing is sent where PYTHONPATH has the library for the JVM that starts them."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    app = spark.sparkContext.applicationId
+    if app in _shipped or root in (spark._jvm.System.getenv("PYTHONPATH") or "").split(os.pathsep):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="sluice-ship-"), "sluice.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "sluice")):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+        for n in os.listdir(root):  # modules at the top that have functions for workers
+            if n.endswith("_pipeline.py"):
+                z.write(os.path.join(root, n), n)
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or a temporary folder where that is unset (one machine)."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
