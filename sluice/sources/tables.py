@@ -11,16 +11,16 @@ from pyspark.sql import types as T
 from ..functions.scalar import known
 from ..state import shared_dir
 
-# The schemas of the shipped tables.
+# The schemas of the input and result tables.
 SCHEMAS = {
-    "tn_crop_production": "District string, Year int, Crop string, Season string, Area_ha double",
-    "crop_water_requirement": "Crop string, Type string, Water_min_mm double, Water_max_mm double, Duration_min_d int, Duration_max_d int, Water_source string",
-    "tn_rainfall": "District string, Actual_mm double, Normal_mm double, Dev_pct double",
+    "crop_production": "District string, Year int, Crop string, Season string, Area_ha double",
+    "crop_water": "Crop string, Type string, Water_min_mm double, Water_max_mm double, Duration_min_d int, Duration_max_d int, Water_source string",
+    "rainfall": "District string, Actual_mm double, Normal_mm double, Dev_pct double",
     "segment_district": "seg_id string, district string",
     "label_queue": "point_id string, seg_id string, lat double, lon double, can_type string, prj_name string",
     "labels": "point_id string, seg_id string, label string, lat double, lon double",
     "segment_health": "seg_id string, n_points long, mean_p_impaired double, p75_p_impaired double, worst_p_impaired double, health_score double, health_score_worst_reach double, dominant_class string, method string",
-    "budget_comparison": "metric string, value double",
+    "budget": "metric string, value double",
 }
 
 
