@@ -47,10 +47,11 @@ def removed_spans(docs: DataFrame, unit: repeats.Unit = UNIT, **sketching) -> Da
     found = repeats.occurrences(docs, unit, **sketching)
     found = found.withColumn("id", F.coalesce("doc_id", F.lit(LAST)))
     # partial sums are made before the shuffle: a context in a third of all documents is one row a task
-    context = materialise(found.groupBy("akey", "c1", "c2").agg(F.min("id").alias("owner"), F.count(F.lit(1)).alias("docs"), F.first("n").alias("n"), F.first("body").alias("body")), "word-contexts")
-    varied = context.groupBy("akey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("akey")
-    varied = materialise(varied, "word-anchors")
-    open_ = context.join(if_small(varied, varied.count()), "akey", "left_semi").select("c1", "c2", "owner", "n", "body")
+    context = materialise(found.groupBy("akey", "c1", "c2").agg(F.min("id").alias("owner"), F.count(F.lit(1)).alias("docs")), "word-contexts")
+    varied = materialise(context.groupBy("akey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("akey"), "word-anchors")
+    # bodies are moved only for anchors that have different contexts
+    open_ = found.join(if_small(varied, varied.count()), "akey", "left_semi").groupBy("akey", "c1", "c2").agg(F.min("id").alias("owner"), F.first("n").alias("n"), F.first("body").alias("body"))
+    open_ = open_.select("c1", "c2", "owner", "n", "body")
     windows = materialise(open_.mapInArrow(_windows, "w1 long, w2 long, c1 long, c2 long, owner long, at int"), "word-windows")
     first = materialise(windows.groupBy("w1", "w2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").select("w1", "w2", "first"), "word-firsts")
     lost = (
