@@ -31,8 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches, take_worker, worker_cache
+
 #: Pieces whose ids a worker remembers.  When the table is full it is emptied; nothing else changes.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
+#: Pairs of tokens whose compatibility a worker remembers, in the same way.
+PAIRS = 250_000
 #: Bytes of the longest piece worth remembering.
 LONGEST = 64
 NO_RANK = 1 << 62
@@ -88,16 +92,17 @@ class Vocabulary:
             if len(raw) > 1 and self.rank[i] >= 0:
                 self.automaton.add_word(raw.decode("latin-1"), (len(raw), i))
         self.automaton.make_automaton()
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.memory: dict[str, tuple[str, int]] = {}
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether encoding the bytes of a and b side by side gives a, b."""
-        got = self.known.get((a, b))
+        key = a << 24 | b
+        got = self.known.get(key)
         if got is None:
-            if len(self.known) >= 1 << 20:
+            if len(self.known) >= PAIRS:
                 self.known.clear()
-            got = self.known[a, b] = self._border(a, b)
+            got = self.known[key] = self._border(a, b)
         return got
 
     def _border(self, a: int, b: int) -> bool:
@@ -178,6 +183,7 @@ class Vocabulary:
 
 
 _loaded: dict[tuple[str, str], Vocabulary] = {}
+worker_cache(_loaded.clear)
 
 
 def vocabulary(path: str, pattern: str) -> Vocabulary:
@@ -189,6 +195,7 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
 
 def _encode(path: str, pattern: str, with_ids: bool, with_row: bool, slice_bytes: int = 1 << 22):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("bpe")
         v = vocabulary(path, pattern)
         for whole in batches:
             step = max(1, whole.num_rows * slice_bytes // max(1, whole.nbytes))
@@ -218,6 +225,7 @@ def tokenise(docs: DataFrame, path: str, pattern: str, ids: bool = False, keep:
 
     ``path`` is the vocabulary file, which every executor must have at that place; ``pattern`` splits text.
     """
+    bounded_batches(docs.sparkSession)
     row = [F.struct(*keep).alias("row")] if keep else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

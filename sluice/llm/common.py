@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
+#: Rows of one Arrow batch of texts.
+BATCH_ROWS = 1_000
 _made: set[str] = set()
 _own: dict[str, str] = {}
 
@@ -66,6 +71,40 @@ def _at_exit() -> None:
         pass
 
 
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Holds Arrow batches of texts to ``rows`` rows, so a worker's memory does not follow the default of
+    10,000; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+_owner = ""
+_caches: list = []
+
+
+def worker_cache(clear) -> None:
+    """Registers how to empty a table that a Python worker keeps between tasks."""
+    _caches.append(clear)
+
+
+def take_worker(owner: str) -> None:
+    """Called where a worker starts a task of an operator: what the worker kept for another one is dropped,
+    and free memory goes back to the system, so operators that follow each other don't add up."""
+    global _owner
+    if _owner == owner:
+        return
+    _owner = owner
+    for clear in _caches:
+        clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def if_small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` are within the bound; else Spark shuffles it."""
     return F.broadcast(df) if rows <= most else df

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .common import materialise
+from .common import bounded_batches, materialise
 
 #: Labelled documents that the list is learned from: those whose ids have the least hashes.
 SAMPLE = 20_000
@@ -73,6 +73,7 @@ def _stats(batches):
 
 
 def statistics(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_stats, "doc_id long, " + ", ".join(f"{c} long" for c in STATS))
 

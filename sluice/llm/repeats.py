@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, sketch
-from .common import materialise
+from .common import bounded_batches, materialise, take_worker
 
 OCCURRENCES = "doc_id long, rk long, akey long, c1 long, c2 long, n int, starts array<int>, body binary"
 
@@ -110,6 +110,7 @@ def _rows(unit: Unit, batch: pa.RecordBatch, keep) -> Iterator[pa.RecordBatch]:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, rk, text: rk tells apart rows that have one doc_id and different texts."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rk"), F.col("text").cast("string").alias("text"))
 
 
@@ -128,6 +129,7 @@ def occurrences(docs: DataFrame, unit: Unit, most_cells: int = sketch.MOST_CELLS
         sent = spark.sparkContext.broadcast(bits)
 
         def run(batches):
+            take_worker("contexts")
             for batch in batches:
                 yield from _rows(unit, batch, lambda keys: sketch.maybe_repeated(sent.value, keys, width))
 

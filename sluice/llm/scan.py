@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import worker_cache
+
 #: ASCII white space, the separators of a word: space and \x09-\x0D.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -74,7 +76,10 @@ class Roller:
         return mix((self.sums[k:] - self.sums[:-k]) * self.inverse[:n])
 
 
-def blocks(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+worker_cache(Roller._powers.clear)
+
+
+def blocks(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts of about ``most`` bytes.
 
     A null text is an empty one.  A text longer than ``most`` makes a block of its own.

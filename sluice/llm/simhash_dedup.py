@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .common import if_small, materialise
+from .common import if_small, materialise, take_worker
 from .components import components
 from .repeats import keyed
 
@@ -70,6 +70,7 @@ def fingerprints(texts: pa.Array, k: int = SHINGLE) -> np.ndarray:
 
 def _hash(k: int):
     def run(batches):
+        take_worker("simhash")
         for b in batches:
             yield pa.record_batch([b.column("doc_id"), b.column("rk"), pa.array(fingerprints(b.column("text"), k).view(np.int64))], names=["doc_id", "rk", "fp"])
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import take_worker
 from .scan import mix
 
 DEPTH = 2
@@ -39,6 +40,7 @@ def partition_sketches(texts: DataFrame, keys_of: Callable[[pa.RecordBatch], Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        take_worker("sketch")
         part = (ctx.partitionId() if (ctx := TaskContext.get()) else 0) // 256
         held: list[np.ndarray] = []
         size = 0

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
+from .common import bounded_batches, take_worker
 
 #: Labelled documents that the model is trained on: those whose ids have the least hashes.
 SAMPLE = 6_000
@@ -99,6 +100,7 @@ def _sparse(batches):
 
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, quality and sparse features of at most ``sample`` labelled documents that aren't held out."""
+    bounded_batches(docs.sparkSession)
     labels = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     labels = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -146,20 +148,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, score, predicted, and the struct ``row`` of the columns of ``keep``, if any."""
+    """doc_id, held_out, score, predicted; with ``keep`` also text and, as the struct ``row``, its columns."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     row = [F.struct(*keep).alias("row")] if keep else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"), *row)
 
     def run(batches):
+        take_worker("quality")
         for b in batches:
             s = sent.value.score(b.column("text"))
             out = {"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": pa.array(s), "predicted": pa.array((s >= threshold).astype(np.int32))}
             if keep:
-                out["row"] = b.column("row")
+                out |= {"text": b.column("text"), "row": b.column("row")}
             yield pa.record_batch(list(out.values()), names=list(out))
 
-    kind = f", row {rows.schema['row'].dataType.simpleString()}" if keep else ""
+    kind = f", text string, row {rows.schema['row'].dataType.simpleString()}" if keep else ""
     return rows.mapInArrow(run, f"doc_id long, held_out boolean, score double, predicted int{kind}")
 
 
