@@ -133,15 +133,16 @@ def links(fps: DataFrame, n: int, cell: int = CELL) -> DataFrame:
 
 
 def cluster(prints: DataFrame, cell: int = CELL) -> DataFrame:
-    """A frame that has doc_id and fp, every row of it, with its component_id."""
+    """A frame that has doc_id and fp, every row of it, with its component_id and the component's root (its
+    least fingerprint, which tells apart components without any id)."""
     prints = materialise(prints, "fingerprints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     parts = materialise(components(links(nodes.select("fp"), nodes.count(), cell)), "parts")
     rooted = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, "rooted")
     ids = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    named = materialise(rooted.join(ids, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select(*prints.columns, "component_id")
+    named = materialise(rooted.join(ids, "root").select("fp", "component_id", "root"), "named")
+    return prints.join(named, "fp").select(*prints.columns, "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
