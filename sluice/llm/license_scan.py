@@ -1,11 +1,13 @@
 """Operator 8, licence scans: a trained paragraph classifier with template comparison.
 
-A paragraph is a line with a word.  Its words (letters and digits, lower case) and their pairs and
-triples are sparse features; a multinomial logistic regression over licence families and "none" is
+A paragraph is a line with a word.  Lines are classified, and so are the sentences of a run of lines (across
+single line breaks) and, of sentences of more than ``WIDE`` words, overlapping windows of so many words, so
+that the text around a statement does not thin it out.  A statement counts once, at the line where it
+starts.  Words (letters and digits, lower case) and their pairs and triples are sparse features; a multinomial logistic regression over licence families and "none" is
 trained by numpy on statements made from the families' templates and on paragraphs of a bounded sample
 of the corpus.  Probabilities are calibrated by temperature on held-out statements, where also the
 probability is set below which a licence paragraph is called ``unknown``.  A prediction is confirmed if
-the paragraph, or one of its sentences, shares five-word shingles with a template of that family at a
+the paragraph, one of its sentences, or a span of a template's length at a window, shares five-word shingles with a template of that family at a
 Jaccard similarity of 0.8 or more.
 
 Scoring runs over the bytes of whole Arrow batches; features outside the vocabulary weigh nothing, so a
@@ -33,6 +35,8 @@ SAMPLE = 400
 PARAGRAPHS = 6000
 SHINGLE = 5
 SIMILAR = 0.8
+#: Words of a window in a long sentence, and from one window's start to the next one's.
+WIDE, STEP = 12, 4
 UNKNOWN = "unknown"
 NONE = "none"
 
@@ -128,6 +132,38 @@ def line_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.nda
     return owner, heads[line], stops[line], count, out
 
 
+def unit_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Of a block: the start byte, end byte and words of its sentences and windows, whether each is a window,
+    and (unit, hash) of its words, pairs and triples."""
+    folded = _FOLD[data]
+    start, end, _ = scan.words(folded, off)
+    n = len(start)
+    if not n:
+        e = np.zeros(0, dtype=np.int64)
+        return e, e, e, e.astype(bool), []
+    mark = np.zeros(len(data), dtype=np.int64)
+    mark[:-1] = np.isin(data[:-1], [33, 46, 63]) & scan.SPACE[data[1:]]
+    lines = np.flatnonzero(data == 10)
+    worded = np.concatenate([[0], np.cumsum(~scan.SPACE[folded])])
+    mark[lines[1:][worded[lines[1:]] == worded[lines[:-1]]]] = 1  # a line without words
+    marks = np.concatenate([[0], np.cumsum(mark)])
+    doc = np.searchsorted(off, start, "right")
+    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (marks[start[1:]] > marks[end[:-1]])]))
+    stop = np.append(head[1:], n)
+    more = np.maximum(-(-(stop - head - WIDE) // STEP) + 1, 0) * (stop - head > WIDE)
+    within = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+    a = np.concatenate([head, np.repeat(head, more) + STEP * within])
+    b = np.concatenate([stop, np.minimum(np.repeat(head, more) + STEP * within + WIDE, np.repeat(stop, more))])
+    word = scan.byte_roller(folded).spans(start, end)
+    roll = scan.Roller(word, 6)
+    feats = []
+    for k in (1, 2, 3):
+        m = np.maximum(b - a - k + 1, 0)
+        at = np.arange(m.sum()) + np.repeat(a - (np.cumsum(m) - m), m)
+        feats.append((np.repeat(np.arange(len(a)), m), word[at] if k == 1 else roll.spans(at, at + k) ^ np.uint64(k)))
+    return start[a], end[b - 1], b - a, np.arange(len(a)) >= len(head), feats
+
+
 def _one(text: str) -> np.ndarray:
     data = np.frombuffer(text.replace("\n", " ").encode("utf-8"), dtype=np.uint8)
     feats = line_features(data, np.array([0, len(data)]))[4]
@@ -228,6 +264,17 @@ class Templates:
                 best = max([best, *(len(own & t) / len(own | t) for t in self.by.get(family, []))])
         return best
 
+    def within(self, family: str, text: str) -> float:
+        """The best Jaccard similarity of a span of the text to a template of the family of its length."""
+        words = tokens(text)
+        best = 0.0
+        for t in self.by.get(family, []):
+            size = len(t) + SHINGLE - 1
+            for i in range(max(1, len(words) - size + 1)):
+                own = shingles(words[i : i + size])
+                best = max(best, len(own & t) / max(1, len(own | t)))
+        return best
+
     def any(self, paragraph: str) -> float:
         return max(self.similarity(f, paragraph) for f in self.by)
 
@@ -245,6 +292,46 @@ _FOUND = "array<struct<paragraph:int,family:string,probability:double,similarity
 _FOUND_ARROW = pa.list_(pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_()), ("text", pa.string())]))
 
 
+def _units(m: Model, t: Templates, data: np.ndarray, off: np.ndarray, lines: np.ndarray, found: list[list[dict]], firsts: np.ndarray, taken: dict[int, list]) -> None:
+    """Adds the statements of sentences and windows to what the lines of a block have shown: ``taken`` has
+    (start, end, family, entry) by document.  Of statements that overlap, the confirmed and likelier counts,
+    others only if a template confirms another family; a line's entry is confirmed by its sentence."""
+    first, last, count, window, feats = unit_features(data, off)
+    if not len(first):
+        return
+    none = m.families.index(NONE)
+    p = m.probabilities(count, feats)
+    hits = []
+    for i in np.flatnonzero(p[:, none] < 0.5).tolist():
+        k, a, b = int(p[i, :none].argmax()), int(first[i]), int(last[i])
+        doc = int(np.searchsorted(off, a, "right")) - 1
+        text = data[a:b].tobytes().decode("utf-8", "replace")
+        like = t.similarity(m.families[k], text)
+        if like < SIMILAR and window[i]:  # a statement may begin before the window or end after it
+            around = data[max(int(off[doc]), a - 300) : min(int(off[doc + 1]), b + 300)].tobytes().decode("utf-8", "replace")
+            like = max(like, t.within(m.families[k], around))
+        if like >= SIMILAR or not window[i] or p[i, k] >= m.known:
+            hits.append((like < SIMILAR, -float(p[i, k]), b - a, a, b, k, doc, like, text))
+    for loose, q, _, a, b, k, doc, like, text in sorted(hits):
+        if not loose:  # unconfirmed pieces of a confirmed statement are no statements of their own
+            pieces = [x for x in taken.get(doc, []) if a <= x[0] and x[1] <= b and not x[3]["confirmed"]]
+            taken[doc] = [x for x in taken.get(doc, []) if all(x is not y for y in pieces)]
+            found[doc][:] = [e for e in found[doc] if all(e is not y[3] for y in pieces)]
+        over = [x for x in taken.get(doc, []) if x[0] < b and a < x[1]]
+        same = [x for x in over if x[2] == k]
+        if same and not loose:
+            if not any(x[3]["confirmed"] for x in same):
+                same[0][3].update(family=m.families[k], similarity=like, confirmed=True)
+        elif not over or not loose:
+            at = int(np.searchsorted(lines, a, "right")) - 1
+            family = m.families[k] if -q >= m.known or not loose else UNKNOWN
+            entry = {"paragraph": at - int(firsts[doc]), "family": family, "probability": -q, "similarity": like, "confirmed": not loose, "text": text}
+            taken.setdefault(doc, []).append((a, b, k, entry))
+            found[doc].append(entry)
+    for doc in {x[6] for x in hits}:
+        found[doc].sort(key=lambda e: e["paragraph"])
+
+
 def scan_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, n_paragraphs, found: of every row, its licence paragraphs with family (or unknown),
     calibrated probability, template similarity, whether that confirms it, and the text."""
@@ -266,12 +353,15 @@ def scan_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 number[row:end] = per
                 firsts = np.concatenate([[0], np.cumsum(per)[:-1]])
                 p = m.probabilities(count, feats)
+                taken: dict[int, list] = {}
                 for i in np.flatnonzero(p[:, none] < 0.5).tolist():
                     k = int(p[i, :none].argmax())
                     text = data[start[i] : stop[i]].tobytes().decode("utf-8", "replace").strip()
                     like = t.similarity(m.families[k], text)
                     family = m.families[k] if p[i, k] >= m.known or like >= SIMILAR else UNKNOWN
                     found[row + owner[i]].append({"paragraph": i - int(firsts[owner[i]]), "family": family, "probability": float(p[i, k]), "similarity": like, "confirmed": like >= SIMILAR, "text": text})
+                    taken.setdefault(int(owner[i]), []).append((int(start[i]), int(stop[i]), k, found[row + owner[i]][-1]))
+                _units(m, t, data, off, start, found[row:end], firsts, taken)
             yield pa.record_batch([b.column("doc_id"), pa.array(number), pa.array(found, _FOUND_ARROW)], names=["doc_id", "n_paragraphs", "found"])
 
     return docs.mapInArrow(run, f"doc_id long, n_paragraphs long, found {_FOUND}")

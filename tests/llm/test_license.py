@@ -63,6 +63,18 @@ def test_planted_lines_are_found_and_clean_documents_left_alone(spark):
     assert sum(bool(got[i] - f) for i, f in want.items()) <= 0.01 * len(want)
 
 
+def test_statements_inside_long_lines_and_wrapped_notices(spark, sf):
+    model = ls.train(ls.negatives(table(spark, sf, "documents")))
+    prose = " ".join(f"plain words of a story {i} and more" for i in range(130))
+    rows = [
+        (1, prose + ". Released under the MIT License. " + prose), (2, prose + " Licensed under CC BY-NC 4.0 " + prose), (3, prose + "\n" + prose),
+        (4, "Some tool\n\nThis Source Code Form is\nsubject to the terms of\nthe Mozilla Public License,\nv. 2.0.\n\nThe end"),
+        (5, "Intro. Released under the MIT License. " + prose + ". Licensed under the Apache License, Version 2.0. The end"),
+    ]
+    got = {r["doc_id"]: (r["n_paragraphs"], r["n_confirmed"], r["families"]) for r in ls.summary(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: (1, 1, "mit"), 2: (1, 1, "cc-by-nc"), 3: (2, 0, ""), 4: (6, 1, "mpl"), 5: (1, 2, "apache,mit")}
+
+
 def test_blocks_are_whole_documents():
     t = pa.array(["a b\nc", None, "", "Released under the MIT License."] * 50)
     from sluice.llm import scan
