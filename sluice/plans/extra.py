@@ -153,7 +153,7 @@ def _(spark, d):
 
 @query("X4_noding")
 def _(spark, d):
-    p = lines.node_lines(_polylines(spark, d, 20_000.0).where("id < 60"))
+    p = lines.node_lines(_polylines(spark, d, 20_000.0))
     return p.select("id", "piece", F.round(geo.length(F.col("geom")), 4).alias("length_m"))
 
 

@@ -296,3 +296,14 @@ def test_wkb_round_trip(spark):
 
 def test_parameters(spark):
     assert P.params(spark).where("status = 'assumed'").count() > 0 and set(P.CROP_PRICE) == set(P.CROP_YIELD)
+
+
+def test_noding_and_betweenness_take_whole_tables(spark, sf):
+    from sluice.plans import extra, network, registry  # noqa: F401
+    from sluice.plans import testmap as T
+
+    q = registry.QUERIES
+    edges = {r["seg_id"] for r in T.network(spark, sf).collect()}
+    assert {r["seg_id"] for r in q["G7_betweenness"](spark, sf).collect()} == edges
+    ids = {r["vec_id"] for r in T.table(spark, sf, "embeddings").select("vec_id").collect()}
+    assert {r["id"] for r in q["X4_noding"](spark, sf).select("id").distinct().collect()} == ids
