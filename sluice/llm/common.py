@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 
@@ -28,10 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset and
+    the master is local.  A cluster without that setting is refused: its machines share no temporary folder."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if at:
         return at.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="sluice-")
@@ -39,17 +44,39 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, light: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage with files that outlive any executor, and frees the result of its partitioning,
     so that a later join has a fresh exchange on either side, which AQE can split where a key is hot.
+    A ``light`` table has short rows that cost little to make: AQE joins its partitions up to the advised
+    size, rather than keeping all cores busy with files of a few KB.
     """
     spark = df.sparkSession
+    path = new_folder(spark, name)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false" if light else None):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path for a new table in the shared folder, which is deleted with the others in the end."""
     path = f"{shared_dir(spark)}/sluice/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     _made.add(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str | None):
+    """Holds a setting of the session at ``value`` (None: leaves it) and puts it back."""
+    before = spark.conf.get(key, None)
+    if value is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def clear(spark: SparkSession) -> None:

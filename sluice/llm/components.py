@@ -1,6 +1,7 @@
 """Connected components of an edge table of any size, by alternating stars.
 
-Every partition first contracts its own edges by union-find.  Then large-star and small-star rounds link
+Every partition first contracts its own edges by union-find.  Edges that then fit into one task
+(``FIT``, counted) are contracted there.  As long as there are more, large-star and small-star rounds link
 every node to the least neighbour it knows, until the edges are stars.  No node's neighbours are ever
 collected: a round is a grouped minimum, which is summed up before its shuffle, and a join whose two
 sides are fresh exchanges, so AQE can split the neighbours of a hub.
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
+#: Edges (16 bytes each) that one task contracts by itself.
+FIT = 2_000_000
+
 
 def contract(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, least node of its component) of these edges, roots left out."""
@@ -53,14 +57,26 @@ def _local(batches):
         yield out()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _rooted(batches):
+    """(node, root) of all nodes of the edges that come, roots too."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if not held:
+        return
+    node, root = contract(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
+    tops = np.unique(root)
+    yield pa.record_batch([pa.array(np.concatenate([node, tops])), pa.array(np.concatenate([root, tops]))], names=["node", "root"])
+
+
+def components(edges: DataFrame, rounds: int = 60, fit: int = FIT) -> DataFrame:
     """node, root: for every node with an edge, the least node of its component (roots too).
 
     ``edges`` has longs u and v; loops and repeats are allowed.
     """
-    now = materialise(edges.where("u <> v").mapInArrow(_local, "u long, v long"), "edges")
+    now = materialise(edges.where("u <> v").mapInArrow(_local, "u long, v long"), "edges", light=True)
     before = None
     for _ in range(rounds):
+        if now.count() <= fit:
+            return now.coalesce(1).mapInArrow(_rooted, "node long, root long")
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v").distinct()

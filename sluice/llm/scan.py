@@ -124,6 +124,56 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return start, np.flatnonzero(closes) + 1, np.searchsorted(start, off)
 
 
+def pieces(texts: pa.Array, window: int, worded: bool, most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, tokens before, bytes, offsets): ``blocks``, but a long text comes in pieces.
+
+    Tokens are words or bytes.  Neighbouring pieces overlap by ``window`` - 1 tokens, so that each window of a
+    text starts in exactly one of its pieces, and memory doesn't follow a text's length.
+    """
+    for row, end, data, off in blocks(texts, most):
+        n = len(data)
+        if end - row > 1 or n <= 2 * most:
+            yield row, 0, data, off
+        elif not worded:
+            for at in range(0, n - window + 1, most):
+                own = data[at : at + most + window - 1]
+                yield row, at, own, np.array([0, len(own)])
+        else:
+            at, before, stop = 0, 0, 0
+            while stop < n:
+                stop, m = at, 0
+                while m < window and stop < n:  # at least one window, or the rest
+                    stop = word_end(data, min(stop + most, n))
+                    start, _, doc = words(data[at:stop], np.array([0, stop - at]))
+                    m = len(start)
+                yield row, before, data[at:stop], np.array([0, stop - at])
+                if m >= window:
+                    at += int(start[m - window + 1]) if window > 1 else stop - at
+                    before += m - window + 1
+
+
+def word_end(data: np.ndarray, at: int) -> int:
+    """The first place from ``at`` on that is not within a word."""
+    while at < len(data):
+        gap = np.flatnonzero(SPACE[data[at : at + 4096]])
+        if len(gap):
+            return at + int(gap[0])
+        at += 4096
+    return len(data)
+
+
+def joined(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of these words, each followed by a space; where each begins)."""
+    size = end - start + 1
+    to = np.concatenate([[0], np.cumsum(size)])
+    index = np.repeat((start - to[:-1]), size)
+    index += np.arange(to[-1])
+    np.minimum(index, max(len(data) - 1, 0), out=index)
+    out = data[index] if len(data) else np.zeros(0, np.uint8)
+    out[to[1:] - 1] = 32
+    return out, to
+
+
 _BYTES = {seed: stream(seed * 977, 256) | np.uint64(1) for seed in (1, 2)}
 
 

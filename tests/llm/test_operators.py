@@ -77,21 +77,57 @@ def brute_windows(rows, size):
 def test_substring_dedup(docs, odd, empty):
     for df, size in ((docs, 50), (odd, 50), (docs, 12)):
         same(substring_dedup.dedup_substrings(df, size).drop("kept"), brute_windows(texts(df), size))
-    same(substring_dedup.dedup_substrings(odd, most_cells=0).drop("kept"), brute_windows(texts(odd), 50))
+    same(substring_dedup.dedup_substrings(odd, most_blocks=0).drop("kept"), brute_windows(texts(odd), 50))
     assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
 def test_sketch_never_underestimates():
     rng = np.random.default_rng(0)
-    keys = rng.integers(0, 2**63, 5000, dtype=np.int64).astype(np.uint64)
+    keys = rng.integers(0, 2**63, 50_000, dtype=np.int64).astype(np.uint64)
     keys = np.concatenate([keys, keys[:500]])
-    width = sketch.width_for(len(keys))
-    bits = np.zeros(sketch.DEPTH * width // 8, dtype=np.uint8)
-    for d, at in enumerate(sketch.cells(keys, width)):
-        hit = np.flatnonzero(np.bincount(at, minlength=width) > 1) + d * width
-        np.bitwise_or.at(bits, hit >> 3, (1 << (hit & 7)).astype(np.uint8))
-    found = sketch.maybe_repeated(bits, keys, width)
-    assert found[:500].all() and found[-500:].all() and found.mean() < 0.3
+    blocks = sketch.blocks_for(len(keys))
+    assert blocks > 1
+    block, inner = sketch.cells(keys, blocks)
+    count = np.zeros(blocks * sketch.SPAN, dtype=np.int64)
+    for c in inner:
+        count += np.bincount(block * sketch.SPAN + c, minlength=len(count))
+    found = sketch.maybe_repeated(np.packbits(count > 1, bitorder="little"), keys, blocks)
+    assert found[:500].all() and found[-500:].all() and found.mean() < 0.1
+
+
+def test_bitmap_holds_every_key(spark):
+    rng = random.Random(5)
+    keys = [rng.randrange(-(2**63), 2**63) for _ in range(20_000)]
+    own = spark.createDataFrame([(k,) for k in keys[:9000]], "k long")
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    blocks = sketch.set_blocks(9000)
+    table = sketch.bitmap(own, "k", blocks)
+    flags = {r["k"]: r["may"] for r in sketch.in_bitmap(rows, "k", table, blocks, "may").collect()}
+    held = sketch.in_held(sketch.held_set(table, blocks), np.array(keys, dtype=np.int64).view(np.uint64), blocks)
+    assert [flags[k] for k in keys] == held.tolist()
+    assert held[:9000].all() and held[9000:].mean() < 0.15
+    assert sketch.maybe_among(rows, "k", own.limit(0), "k", 0).count() == 0
+
+
+@pytest.mark.parametrize("worded", [True, False])
+def test_pieces_have_every_window_once(worded):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    window = 7
+    texts = [b" ".join(bytes(rng.choices(b"ab\xc3", k=rng.randrange(1, 9))) for _ in range(n)) for n in (400, 3, 0, 900)]
+    texts += [b"x" * 500 + b" " + b"y z " * 60, b" " * 300 + b"q w e r t y u i o p", b"u" * 700]
+    seen = []
+    for row, before, data, off in scan.pieces(pa.array(texts, pa.binary()), window, worded, 64):
+        for i in range(len(off) - 1):
+            t = data[off[i] : off[i + 1]].tobytes()
+            t = t.split() if worded else t
+            seen += [(row + i, before + p, b" ".join(t[p : p + window]) if worded else t[p : p + window]) for p in range(len(t) - window + 1)]
+    want = []
+    for r, t in enumerate(texts):
+        t = t.split() if worded else t
+        want += [(r, p, b" ".join(t[p : p + window]) if worded else t[p : p + window]) for p in range(len(t) - window + 1)]
+    assert sorted(seen) == sorted(want) and len(seen) == len(set(seen))
 
 
 def test_equal_windows_have_equal_anchors():
@@ -129,7 +165,7 @@ def brute_bytes(rows, size):
 
 
 def test_suffix_dedup(docs, odd, empty):
-    for df, options in ((docs, {}), (odd, {}), (docs, {"window": 40, "gram": 8, "shard_bytes": 4000, "hot": 2}), (odd, {"most_cells": 0, "hot": 1})):
+    for df, options in ((docs, {}), (odd, {}), (docs, {"window": 40, "gram": 8, "shard_bytes": 4000, "hot": 2}), (odd, {"most_blocks": 0, "hot": 1})):
         same(suffix_dedup.dedup_suffixes(df, **options).drop("kept"), brute_bytes(texts(df), options.get("window", 200)))
     assert suffix_dedup.dedup_suffixes(empty).count() == 0
 
