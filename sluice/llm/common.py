@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import contextlib
 import ctypes
 import gc
 import re
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
+#: Short rows that one task writes into one file.
+TASK_ROWS = 250_000
 #: Rows of one Arrow batch of texts.
 BATCH_ROWS = 1_000
 _made: set[str] = set()
@@ -44,18 +45,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def materialise(df: DataFrame, name: str, light: bool = False) -> DataFrame:
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage with files that outlive any executor, and frees the result of its partitioning,
     so that a later join has a fresh exchange on either side, which AQE can split where a key is hot.
-    A ``light`` table has short rows that cost little to make: AQE joins its partitions up to the advised
-    size, rather than keeping all cores busy with files of a few KB.
+    Of a table of short rows, whose number is at most ``rows``, a task makes up to ``TASK_ROWS``, however
+    many partitions the shuffle before has, so that small tables don't become hundreds of files.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    with setting(spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false" if light else None):
-        df.write.option("compression", "zstd").parquet(path)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // TASK_ROWS)))
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -66,19 +68,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-@contextlib.contextmanager
-def setting(spark: SparkSession, key: str, value: str | None):
-    """Holds a setting of the session at ``value`` (None: leaves it) and puts it back."""
-    before = spark.conf.get(key, None)
-    if value is not None:
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if value is not None:
-            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def clear(spark: SparkSession) -> None:
     """Deletes every table that ``materialise`` has written; frames built on them can't be read any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -203,13 +203,13 @@ def bodies(docs: DataFrame, unit: Unit, anchors: DataFrame, count: int) -> DataF
 def with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     """doc_id, text, spans and ``columns`` of every row of ``docs`` (doc_id, rk, text); ``spans`` (id, rk, spans)
     has the rows that lose something.  The texts of all others are not shuffled."""
-    spans = materialise(spans, "spans")
+    spans = materialise(spans, "spans", docs.count())
     count = spans.count()
     docs = docs.withColumn("id", row_id())
     if not count:
         return docs.select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), *columns)
     blocks = sketch.set_blocks(count)
-    table = materialise(sketch.bitmap(spans, "rk", blocks), "losers", light=True)
+    table = materialise(sketch.bitmap(spans, "rk", blocks), "losers", blocks)
     docs = sketch.in_bitmap(docs, "rk", table, blocks, "may")
     spans = spans.withColumnsRenamed({"id": "of_id", "rk": "of_rk"})
     some = docs.where("may")

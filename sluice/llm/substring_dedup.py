@@ -50,15 +50,16 @@ def removed_spans(docs: DataFrame, unit: repeats.Unit = UNIT, **sketching) -> Da
     """id, rk, spans: for every document that loses words, the half-open word spans that go."""
     found = repeats.occurrences(docs, unit, **sketching)
     # partial sums are made before the shuffle: a context in a third of all documents is one row a task
-    context = materialise(found.groupBy("akey", "c1", "c2").agg(F.min("id").alias("owner"), F.count(F.lit(1)).alias("docs")), "word-contexts", light=True)
-    varied = materialise(context.groupBy("akey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("akey"), "word-anchors", light=True)
+    context = materialise(found.groupBy("akey", "c1", "c2").agg(F.min("id").alias("owner"), F.count(F.lit(1)).alias("docs")), "word-contexts", found.count())
+    number = context.count()
+    varied = materialise(context.groupBy("akey").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("akey"), "word-anchors", number)
     # texts are fetched only for anchors that have different contexts
     some = varied.count()
     bodies = repeats.bodies(docs, unit, varied, some).groupBy("akey", "c1", "c2").agg(F.first("body").alias("body"))
     own = sketch.maybe_among(context, "akey", varied, "akey", some).withColumnsRenamed({"akey": "of_akey", "c1": "of1", "c2": "of2"})
     bodies = bodies.join(own, (F.col("akey") == F.col("of_akey")) & (F.col("c1") == F.col("of1")) & (F.col("c2") == F.col("of2"))).select("c1", "c2", "owner", "body")
     windows = materialise(bodies.mapInArrow(_windows(unit.window), "w1 long, w2 long, c1 long, c2 long, owner long, at int"), "word-windows")
-    first = materialise(windows.groupBy("w1", "w2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").select("w1", "w2", "first"), "word-firsts", light=True)
+    first = materialise(windows.groupBy("w1", "w2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").select("w1", "w2", "first"), "word-firsts", windows.count())
     shared = sketch.maybe_among(windows, "w1", first, "w1", first.count())
     lost = (
         shared.join(first, ["w1", "w2"]).where("first < owner")
@@ -66,7 +67,7 @@ def removed_spans(docs: DataFrame, unit: repeats.Unit = UNIT, **sketching) -> Da
     )  # at most one entry for each window of one context, of which there are under 40
     known = context.where("docs > 1").select("c1", "c2", "owner").join(lost, ["c1", "c2"], "full")
     # a context that one document has and no other window of which is elsewhere takes nothing away
-    hit = found.join(materialise(known.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "owner", "lost"), "word-lost", light=True), (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
+    hit = found.join(materialise(known.select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "owner", "lost"), "word-lost", number), (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
     gone = hit.select(
         "id", "rk",
         F.when(F.col("id") > F.col("owner"), F.transform("starts", lambda s: F.struct(s.alias("a"), (s + F.col("n") + F.lit(unit.window - 1)).alias("b"))))

@@ -164,6 +164,43 @@ def brute_bytes(rows, size):
     return out
 
 
+def test_equal_rows_carry_their_spans_once(spark):
+    """Copies of one row, under one doc_id or many, don't multiply what each of them carries."""
+    text = " ".join(f"word{i}" for i in range(300))
+    rows = [(7, text)] * 60 + [(i, text) for i in range(100, 140)] + [(None, text)] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    same(substring_dedup.dedup_substrings(df).drop("kept"), brute_windows(texts(df), 50))
+    same(suffix_dedup.dedup_suffixes(df).drop("kept"), brute_bytes(texts(df), 200))
+    keyed = repeats.keyed(df)
+    for spans in (substring_dedup.removed_spans(keyed), suffix_dedup.removed_spans(keyed)):
+        got = spans.select(F.size("spans").alias("n")).collect()
+        assert len(got) <= 42 and max(r["n"] for r in got) < 150
+
+
+def test_runs_are_joined_by_search():
+    rng = random.Random(8)
+    for size in (1, 3):
+        runs = [np.sort(np.array([bytes(rng.choices(b"\x00ab", k=size)) for _ in range(rng.randrange(1, 12))], dtype=f"S{size}")) for _ in range(5)]
+        every, count = suffix_dedup.joined_runs(runs)
+        want = Counter(x for r in runs for x in set(r.tolist()))
+        assert dict(zip(every.tolist(), count.tolist(), strict=True)) == want and every.tolist() == sorted(want)
+
+
+def test_a_very_long_text(spark):
+    """A text of some MB is scanned in pieces; copies of its passages far apart are found."""
+    rng = random.Random(9)
+    words = [f"{rng.randrange(10**6)}x" for _ in range(250_000)]
+    passage = [f"p{i}" for i in range(80)]
+    words[1000:1080] = words[200_000:200_080] = passage
+    rows = [(1, " ".join(passage)), (2, " ".join(words)), (3, "q" * 700_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup_substrings(df).collect()}
+    assert got == {1: 0, 2: 160, 3: 0}
+    gone = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.dedup_suffixes(df).collect()}
+    size = len(" ".join(passage))
+    assert gone[1] == (size, 1) and gone[2] == (2 * size + 6, 2) and gone[3] == (700_000, 1)
+
+
 def test_suffix_dedup(docs, odd, empty):
     for df, options in ((docs, {}), (odd, {}), (docs, {"window": 40, "gram": 8, "shard_bytes": 4000, "hot": 2}), (odd, {"most_blocks": 0, "hot": 1})):
         same(suffix_dedup.dedup_suffixes(df, **options).drop("kept"), brute_bytes(texts(df), options.get("window", 200)))
@@ -229,6 +266,9 @@ def test_links_of_crowded_cells(spark):
     expected = {(i, c) for i, _, c in brute_components(rows)}
     for cell in (2, 10, 1000):
         assert {(r["doc_id"], r["component_id"]) for r in simhash_dedup.cluster(frame, cell).collect()} == expected
+    found = {cell: {k: v.count() for k, v in simhash_dedup.routes(frame.select("fp"), len(rows), cell).items()} for cell in (2, 10, 1000)}
+    assert all(found[2].values()) and found[10]["finer grid"] and not found[10]["hubs"]
+    assert found[1000]["grid"] and not found[1000]["finer grid"] and not found[1000]["hubs"]
 
 
 def test_embedding_is_a_lower_bound(spark):
@@ -240,10 +280,11 @@ def test_embedding_is_a_lower_bound(spark):
         assert r["m"] == sum(abs(p - q) for p, q in zip(*counts, strict=True)) <= (r["a"] ^ r["b"]).bit_count()
 
 
-def test_components_of_chains_and_hubs(spark):
+@pytest.mark.parametrize("fit", [0, 1000])
+def test_components_of_chains_and_hubs(spark, fit):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, i) for i in range(1001, 1400)] + [(-5, 2000), (2000, 2000), (3000, 3001), (3001, 3000)]
     random.Random(0).shuffle(edges)
-    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long").repartition(7)).collect()}
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long").repartition(7), fit=fit).collect()}
     assert got == {**{i: 0 for i in range(301)}, **{i: 1000 for i in range(1000, 1400)}, -5: -5, 2000: -5, 3000: 3000, 3001: 3000}
 
 
