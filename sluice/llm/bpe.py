@@ -23,6 +23,8 @@ import hashlib
 import json
 import re as _re
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -93,7 +95,7 @@ class Vocabulary:
                 self.automaton.add_word(raw.decode("latin-1"), (len(raw), i))
         self.automaton.make_automaton()
         self.known: dict[int, bool] = {}
-        self.memory: dict[str, tuple[str, int]] = {}
+        self.memory = Memory(self)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether encoding the bytes of a and b side by side gives a, b."""
@@ -130,19 +132,20 @@ class Vocabulary:
         single, compatible = self.single, self.compatible
         last = [-1] * (n + 1)
         start = [0] * (n + 1)
-        ends: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, hit in self.automaton.iter(raw.decode("latin-1")):
-            ends[end].append(hit)
-        for end in range(n):
-            hits = ends[end]
-            hits.sort(reverse=True)
-            for size, t in hits:
+        done = 0
+        for end, hits in groupby(self.automaton.iter(raw.decode("latin-1")), itemgetter(0)):
+            for q in range(done, end):  # bytes at which no longer token ends
+                last[q + 1], start[q + 1] = single[raw[q]], q
+            for _, (size, t) in sorted(hits, reverse=True):
                 p = end + 1 - size
                 if p == 0 or compatible(last[p], t):
                     last[end + 1], start[end + 1] = t, p
                     break
             else:
                 last[end + 1], start[end + 1] = single[raw[end]], end
+            done = end + 1
+        for q in range(done, n):
+            last[q + 1], start[q + 1] = single[raw[q]], q
         out = []
         at = n
         while at:
@@ -150,38 +153,53 @@ class Vocabulary:
             at = start[at]
         return out[::-1]
 
-    def _said(self, piece: str) -> tuple[str, int]:
-        """(ids joined by commas, how many) of a piece, remembered."""
-        ids = self.piece(piece.encode("utf-8"))
-        got = (",".join(map(str, ids)), len(ids))
-        if len(piece) <= LONGEST:
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[piece] = got
-        return got
-
-    def encode_text(self, text: str) -> str:
-        """The decimal ids of a text, joined by commas."""
-        out: list[str] = []
-        memory, said = self.memory, self._said
+    def said(self, text: str) -> list[tuple[str, int, bytes]]:
+        """Of every piece of a text: the decimal ids joined by commas, their number, their bytes."""
         parts = self.split_added.split(text) if self.split_added else [text]
+        if len(parts) == 1:
+            return list(map(self.memory.__getitem__, self.pattern.findall(text)))
+        out: list[tuple[str, int, bytes]] = []
         for i, part in enumerate(parts):
             if i % 2:
-                out.append(str(self.added[part]))
-                continue
-            for piece in self.pattern.findall(part):
-                got = memory.get(piece)
-                out.append((got or said(piece))[0])
-        return ",".join(out)
+                out.append((str(self.added[part]), 1, self.bytes[self.added[part]]))
+            else:
+                out += map(self.memory.__getitem__, self.pattern.findall(part))
+        return out
+
+    def encode_text(self, text: str) -> str:
+        """The decimal ids of a text, joined by commas."""
+        return ",".join([p[0] for p in self.said(text)])
 
     def encode(self, text: str) -> np.ndarray:
-        said = self.encode_text(text)
-        return np.fromstring(said, dtype=np.int32, sep=",") if said else np.zeros(0, np.int32)
+        return numbers(self.encode_text(text))
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+def numbers(said: str) -> np.ndarray:
+    return np.fromstring(said, dtype=np.int32, sep=",") if said else np.zeros(0, np.int32)
+
+
+class Memory(dict):
+    """piece -> (its ids joined by commas, how many, the bytes that they decode to), made when first asked for.
+
+    Decoding joins the bytes of all ids and reads them as UTF-8 in the end, so it may as well join pieces."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, piece: str) -> tuple[str, int, bytes]:
+        ids = self.vocabulary.piece(piece.encode("utf-8"))
+        got = (",".join(map(str, ids)), len(ids), b"".join(map(self.vocabulary.bytes.__getitem__, ids)))
+        if len(piece) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = got
+        return got
+
+
 _loaded: dict[tuple[str, str], Vocabulary] = {}
 worker_cache(_loaded.clear)
 
@@ -203,13 +221,14 @@ def _encode(path: str, pattern: str, with_ids: bool, with_row: bool, slice_bytes
                 b = whole.slice(at, step)
                 n, sha, back, ids = [], [], [], []
                 for text in b.column("text"):
-                    said = v.encode_text(text.as_py() or "")
-                    own = np.fromstring(said, dtype=np.int32, sep=",") if said else np.zeros(0, np.int32)
-                    n.append(len(own))
+                    # the bytes of the ids of all pieces, one after another, are what decoding them all gives
+                    pieces = v.said(text.as_py() or "")
+                    said = ",".join([p[0] for p in pieces])
+                    n.append(sum([p[1] for p in pieces]))
                     sha.append(hashlib.sha256(said.encode()).hexdigest())
-                    back.append(hashlib.sha256(v.decode(own).encode("utf-8")).hexdigest())
+                    back.append(hashlib.sha256(b"".join([p[2] for p in pieces]).decode("utf-8", "replace").encode("utf-8")).hexdigest())
                     if with_ids:
-                        ids.append(own)
+                        ids.append(numbers(said))
                 out = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha, pa.string()), "decoded_sha256": pa.array(back, pa.string())}
                 if with_ids:
                     out["ids"] = pa.array(ids, pa.list_(pa.int32()))

@@ -8,15 +8,20 @@ by it, and the mix is the longest prefix whose size is within the total.
 
 Running sums never need one task to see a whole source or the whole corpus: documents fall into ranges
 of the sort key, ranges are summed first, and a document's running sum is its range's offset plus the
-running sum within the range.  The number of ranges follows the number of documents.
+running sum within the range.  The number of ranges follows the number of documents.  The end of the mix
+is found by summing copies into ``SLICES`` slices of finish time, and again within the slice that holds
+the end, until that has no more than ``LAST_COPIES`` copies, which are then sorted.
 
 Defined results.  Null text: size 0.  A document of size 0 is in the mix for no words (taken 0).  Null
-doc_id: sorted by the digest of the empty string.  Repeated rows: each is a document of its own.  Empty
-table: no rows.  Columns other than doc_id, text and source are not read.
+doc_id: sorted by a digest of the text.  Rows of one doc_id and size are ordered by a hash of their texts, so
+reruns take the same ones.  Repeated rows: each is a document of its own.  Empty table: no rows.  Columns
+other than doc_id, text and source are not read.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +31,9 @@ from .common import WORD, if_small, materialise
 REPEATS = 3
 #: Documents that one range of the sort key is made for.
 RANGE_ROWS = 2000
+#: Slices of finish time that are summed at once, and copies that are sorted in one task in the end.
+SLICES = 4096
+LAST_COPIES = 100_000
 CYCLE = 3
 SEED = "mix-1"
 
@@ -66,7 +74,8 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
     sized = docs.select(
         "doc_id", "source", row, word_count(F.col("text")).alias("size"),
         F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), "source")).alias("sk"),
-        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))).alias("key"),
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), F.md5(F.coalesce("text", F.lit(""))))), F.lit(f":{seed}"))).alias("key"),
+        F.xxhash64("text").alias("tie"),
     )
     sized = materialise(sized, "sized")
     n = sized.count()
@@ -76,38 +85,51 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
     ranges = sized.groupBy("sk", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("sk").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = materialise(ranges.select("sk", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("offset")).join(targets, "sk"), "ranges")
-    inside = Window.partitionBy("sk", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("sk", "range").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     timed = sized.withColumn("within", F.sum("size").over(inside)).join(if_small(ranges, ranges.count()), ["sk", "range"])
-    timed = materialise(timed.select("doc_id", "row", "size", "source_size", "target", "place", "key", (F.col("offset") + F.col("within")).alias("running")), "timed")
+    timed = materialise(timed.select("doc_id", "row", "size", "source_size", "target", "place", "key", "tie", (F.col("offset") + F.col("within")).alias("running")), "timed")
 
     def finish(e: int | Column) -> Column:
         return F.try_divide((F.lit(e) * F.col("source_size") + F.col("running")).cast("double"), F.col("target"))
 
-    steps = max(1024, n // range_rows)
-
-    def step(f: Column) -> Column:
-        return F.floor(F.least(f, F.lit(8.0)) * steps)
-
-    copies = timed.where("size > 0").select("place", "key", "doc_id", "size", F.posexplode(F.array(*[finish(e) for e in range(repeats)])).alias("e", "finish")).withColumn("step", step(F.col("finish")))
-    total = F.sum("size").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
-    budget = timed.agg(F.sum("size")).first()[0] or 0
-    cut = copies.groupBy("step").agg(F.sum("size").alias("size")).select("step", "size", total.alias("reach")).where(F.col("reach") > budget).orderBy("step").first()
+    order = ["finish", "place", "key", "doc_id", "size", "tie", "e"]
+    copies = timed.where("size > 0").select("place", "key", "doc_id", "size", "tie", F.posexplode(F.array(*[finish(e) for e in range(repeats)])).alias("e", "finish"))
+    left = timed.agg(F.sum("size")).first()[0] or 0
+    low, width = 0.0, 8.0 / SLICES
+    cuts: list[tuple[float, float, int]] = []
+
+    def slice_of(f: Column, low: float, width: float) -> Column:
+        return F.least(F.floor((f - low) / width), F.lit(SLICES - 1))
+
+    while True:
+        sums = copies.groupBy(slice_of(F.col("finish"), low, width).alias("slice")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).orderBy("slice").collect()  # SLICES rows at most
+        at = next((r for r, reach in zip(sums, accumulate(r["size"] for r in sums), strict=True) if reach > left), None)
+        if at is None:
+            break
+        left -= sum(r["size"] for r in sums if r["slice"] < at["slice"])
+        cuts.append((low, width, at["slice"]))
+        copies = copies.where(slice_of(F.col("finish"), low, width) == at["slice"])
+        if at["n"] <= LAST_COPIES or at["slice"] == SLICES - 1 or width < 1e-12:
+            break
+        low, width = low + at["slice"] * width, width / SLICES
     last = None
-    if cut is not None:  # one range of finish times holds the end of the budget
-        order = ["finish", "place", "key", "doc_id", "size", "e"]
+    if at is not None:
         reach = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-        edge = copies.where(F.col("step") == cut["step"]).withColumn("reach", reach).where(F.col("reach") <= budget - (cut["reach"] - cut["size"]))
-        last = edge.orderBy(F.col("reach").desc(), *[F.col(c).desc() for c in order]).select(*order).first()
+        last = copies.withColumn("reach", reach).where(F.col("reach") <= left).orderBy(F.col("reach").desc(), *[F.col(c).desc() for c in order]).select(*order).first()
 
     def inside_mix(e: int) -> Column:
-        if cut is None:
+        if not cuts:
             return F.lit(True)
-        s, f = step(finish(e)), finish(e)
-        ok = s < cut["step"]
+        f = finish(e)
+        ok = F.lit(at is None)
         if last is not None:
-            mine = F.struct(f, "place", "key", F.coalesce("doc_id", F.lit(-(1 << 63))), "size", F.lit(e))
-            end = F.struct(F.lit(last["finish"]), F.lit(last["place"]), F.lit(last["key"]), F.lit(last["doc_id"] if last["doc_id"] is not None else -(1 << 63)).cast("long"), F.lit(last["size"]).cast("long"), F.lit(last["e"]))
-            ok = ok | ((s == cut["step"]) & (mine <= end))
+            mine = F.struct(f, "place", "key", F.coalesce("doc_id", F.lit(-(1 << 63))), "size", "tie", F.lit(e))
+            none = -(1 << 63)
+            end = F.struct(F.lit(last["finish"]), F.lit(last["place"]), F.lit(last["key"]), F.lit(none if last["doc_id"] is None else last["doc_id"]).cast("long"), F.lit(last["size"]).cast("long"), F.lit(last["tie"]).cast("long"), F.lit(last["e"]))
+            ok = mine <= end
+        for low, width, k in reversed(cuts):
+            s = slice_of(f, low, width)
+            ok = (s < k) | ((s == k) & ok)
         return F.coalesce(ok, F.lit(False))
 
     times = sum((inside_mix(e).cast("long") for e in range(1, repeats)), inside_mix(0).cast("long"))
@@ -117,7 +139,7 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
 
 ORACLE = f"""
 WITH d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
-  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{SEED}') AS key FROM documents),
+  md5(coalesce(CAST(doc_id AS VARCHAR), 'n' || md5(coalesce(text, ''))) || ':{SEED}') AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
 w AS (SELECT *, (place - 1) % {CYCLE} + 1 AS weight, source_size * {REPEATS} AS cap FROM s),
 r AS (SELECT *, CAST(cap AS DOUBLE) / weight AS ratio FROM w),

@@ -203,7 +203,7 @@ def bodies(docs: DataFrame, unit: Unit, anchors: DataFrame, count: int) -> DataF
 def with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     """doc_id, text, spans and ``columns`` of every row of ``docs`` (doc_id, rk, text); ``spans`` (id, rk, spans)
     has the rows that lose something.  The texts of all others are not shuffled."""
-    spans = materialise(spans, "spans", docs.count())
+    spans = materialise(spans, "spans", 8 * docs.count())
     count = spans.count()
     docs = docs.withColumn("id", row_id())
     if not count:

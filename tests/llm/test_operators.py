@@ -345,6 +345,24 @@ def test_fair_mix(docs, odd, empty):
     assert fair_mix.mix(empty).count() == 0
 
 
+def test_fair_mix_reruns_agree_on_ties(spark):
+    """Rows of one id and size, rows without id: whichever way they are dealt, the same texts are taken."""
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 2, 3, None, None]), " ".join(rng.choices("abcdefgh", k=rng.choice([5, 5, 9]))), rng.choice("xyz")) for _ in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seen = [Counter(tuple(r) for r in fair_mix.mix(df.repartition(n), range_rows=20, keep=("text",)).select("text", "taken").collect()) for n in (1, 4, 7)]
+    assert seen[0] == seen[1] == seen[2] and sum(k[1] == 0 for k in seen[0])
+    keys = fair_mix.mix(df.where("doc_id is null"), keep=("text",)).count()
+    assert keys == sum(i is None for i, _, _ in rows)
+
+
+def test_fair_mix_finds_the_end_in_slices(docs, monkeypatch):
+    whole = sorted(tuple(r) for r in fair_mix.mix(docs).collect())
+    monkeypatch.setattr(fair_mix, "SLICES", 4)
+    monkeypatch.setattr(fair_mix, "LAST_COPIES", 3)
+    assert sorted(tuple(r) for r in fair_mix.mix(docs).collect()) == whole
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: i % 3 + 1 for i, s in enumerate(names)}
