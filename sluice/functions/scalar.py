@@ -51,6 +51,12 @@ def content_key(*parts: Column, prefix: str = "SEG_", digits: int = 10) -> Colum
     return F.concat(F.lit(prefix), F.substring(F.md5(F.concat_ws("|", *parts)), 1, digits))
 
 
+def whole_text(x: Column) -> Column:
+    """A number as text without decimals, ties to even; small negative ones keep their sign, as printf does."""
+    n = F.bround(x, 0)
+    return F.when((n == 0) & x.cast("string").startswith("-"), F.lit("-0")).otherwise(n.cast("decimal(38,0)").cast("string"))
+
+
 def numbered(prefix: Column, k: Column, width: int = 3) -> Column:
     return F.concat(prefix, F.lit("_"), F.format_string(f"%0{width}d", k))
 

@@ -95,5 +95,5 @@ def paddy_revenue_per_ha() -> float:
 def district_profiles(summary: DataFrame, shares: DataFrame, k: int = 6) -> DataFrame:
     """The payload's district profile: rounded figures and the k largest crops as an array of (crop, share)."""
     w = Window.partitionBy("district").orderBy(F.desc("share"), "crop")
-    top = shares.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).groupBy("district").agg(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "crop", "share"))), lambda x: F.struct(x["crop"].alias("crop"), half_even(x["share"], 3).alias("share"))).alias("mix"))
-    return summary.join(top, "district").select("district", half_even(F.col("revenue_per_ha")).alias("revenue"), half_even(F.col("water_mm")).alias("water"), half_even(F.col("dependency"), 2).alias("dependency"), "mix")
+    top = shares.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).groupBy("district").agg(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "crop", "share"))), lambda x: F.struct(x["crop"].alias("crop"), half_even(x["share"], 4).alias("share"))).alias("mix"))
+    return summary.join(top, "district").select("district", half_even(F.col("revenue_per_ha")).alias("revenue"), half_even(F.col("water_mm")).alias("water"), half_even(F.col("dependency"), 3).alias("dependency"), half_even(F.col("deficit") * -100, 1).alias("rain_dev"), "mix")

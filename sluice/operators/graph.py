@@ -222,15 +222,32 @@ def named_above(segs: DataFrame, parent: DataFrame, named: Column, most: int = 8
 def reach_after_removal(edges: DataFrame, sources: DataFrame, scenarios: DataFrame) -> DataFrame:
     """scenario, node: nodes that no source reaches once a scenario's edge is gone (columns scenario, seg_id).
 
-    Exact on any graph: the frontier of every scenario advances in the same loop.
+    Exact on any graph.  Only what lies below a removed edge can be lost, so a scenario's work is its region:
+    the nodes that the edge's head reaches.  Of these, a source, or a node that an edge from outside the
+    region still feeds, keeps its supply and passes it on within the region; the others are lost.
     """
-    gone = scenarios.groupBy("seg_id").agg(F.collect_set("scenario").alias("removed_in"))
-    e = edges.join(gone, "seg_id", "left").withColumn("removed_in", F.coalesce("removed_in", F.array().cast("array<" + scenarios.schema["scenario"].dataType.simpleString() + ">")))
-    every = scenarios.select("scenario").distinct()
+    gone = scenarios.select("scenario", "seg_id").distinct()
+    none = F.array().cast("array<" + scenarios.schema["scenario"].dataType.simpleString() + ">")
+    e = edges.select("seg_id", "src", "dst").join(gone.groupBy("seg_id").agg(F.collect_set("scenario").alias("removed_in")), "seg_id", "left")
+    e = settle(e.withColumn("removed_in", F.coalesce("removed_in", none)))
     before = settle(hops(edges, sources, directed=True).select("node"))
-    start = sources.select("node").join(every)
-    after = hops(e, start, directed=True, scenario=True).select("scenario", "node")
-    return before.join(every).join(after, ["scenario", "node"], "left_anti").select("scenario", "node")
+    tails = gone.join(e, "seg_id").join(before.withColumnRenamed("node", "src"), "src", "left_semi").select("scenario", F.col("dst").alias("node"))
+    # every node of the region was reached before, as the head of an edge that was
+    region = settle(hops(e.withColumn("removed_in", none), tails, directed=True, scenario=True).select("scenario", "node"))
+    into = region.join(e, F.col("node") == F.col("dst")).where(~F.array_contains("removed_in", F.col("scenario"))).select("scenario", "node", "src")
+    into = into.join(before.withColumnRenamed("node", "src"), "src", "left_semi")
+    inner = region.withColumnRenamed("node", "src")
+    fed = into.join(inner, ["scenario", "src"], "left_anti").select("scenario", "node")
+    fed = fed.unionByName(region.join(sources.select("node").distinct(), "node", "left_semi").select("scenario", "node"))
+    kept = settle(fed.distinct())
+    front, step = kept, settle(into.join(inner, ["scenario", "src"], "left_semi"))
+    for _ in range(CAP):
+        new = front.select("scenario", F.col("node").alias("src")).join(step, ["scenario", "src"]).select("scenario", "node").distinct()
+        front = settle(new.join(kept, ["scenario", "node"], "left_anti"))
+        if not front.limit(1).count():
+            return region.join(kept, ["scenario", "node"], "left_anti")
+        kept = settle(kept.unionByName(front))
+    raise RuntimeError("supply within the regions did not settle")
 
 
 def losses(edges: DataFrame, sources: DataFrame) -> DataFrame:
@@ -258,7 +275,3 @@ def losses(edges: DataFrame, sources: DataFrame) -> DataFrame:
 def nearest_node(nodes: DataFrame, x: float, y: float) -> DataFrame:
     """One row: the node nearest to a point, ties to the lesser id."""
     return nodes.select("node", F.hypot(F.col("x") - x, F.col("y") - y).alias("distance")).orderBy("distance", "node").limit(1)
-
-
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import blank_name, km_text, plural
+from ..functions.scalar import blank_name, half_even, km_text, plural, title_case
 from .graph import named_above
 
 
@@ -13,26 +13,49 @@ def reach_names(segs: DataFrame, chain: DataFrame, parent: DataFrame) -> DataFra
     """seg_id, group, name, label, derived, index, reaches, km_from.
 
     ``segs``: seg_id, src, can_name, can_type, prj_name, length_m; ``chain``: node, metres; ``parent``:
-    seg_id, up.  Equal names get their length appended.
+    seg_id, up.  A named canal's reaches, and the unnamed ones that take off from it, are measured from the
+    canal's own head.  Equal names get their length appended.
     """
     s = segs.join(chain.select(F.col("node").alias("src"), F.col("metres").alias("start")), "src", "left").withColumn("canal", blank_name(F.col("can_name")))
     by = Window.partitionBy("canal")
     s = s.withColumns({"index": F.row_number().over(by.orderBy(F.asc_nulls_last("start"), "seg_id")), "reaches": F.count(F.lit(1)).over(by), "head": F.min("start").over(by)})
-    above = named_above(s, parent, F.col("canal") != "").join(s.select(F.col("seg_id").alias("above"), F.col("canal").alias("_p")), "above").select("seg_id", F.col("_p").alias("above_canal"))
+    above = named_above(s, parent, F.col("canal") != "").join(s.select(F.col("seg_id").alias("above"), F.col("canal").alias("above_canal"), F.col("head").alias("above_head")), "above").select("seg_id", "above_canal", "above_head")
     s = s.join(above, "seg_id", "left")
-    km = km_text(F.col("start"))
     size = F.concat(km_text(F.col("length_m")), F.lit(" km"))
-    own = F.col("canal") != ""
-    place = F.when(F.col("reaches") == 1, F.col("canal")).when(F.col("index") == 1, F.concat("canal", F.lit(" · head reach"))).otherwise(F.concat("canal", F.lit(" · reach "), F.col("index").cast("string"), F.lit("/"), F.col("reaches").cast("string")))
-    off = F.concat(F.col("can_type"), F.lit(" off "), F.col("above_canal"), F.lit(" at km "), km)
-    lone = F.concat(F.col("can_type"), F.lit(", "), F.col("prj_name"), F.lit(" at km "), km)
-    name = F.when(own, place).when(F.col("above_canal").isNotNull(), off).otherwise(lone)
-    group = F.when(own, F.col("canal")).when(F.col("above_canal").isNotNull(), F.concat(plural(F.col("can_type")), F.lit(" off "), F.col("above_canal"))).otherwise(F.concat("prj_name", F.lit(" · unnamed reaches")))
-    offset = F.when(own & (F.col("index") > 1), F.concat(F.lit(", km "), km_text(F.col("start") - F.col("head")), F.lit(" from head"))).otherwise("")
-    s = s.withColumns({"group": group, "derived": ~own, "_name": name})
+    own, off = F.col("canal") != "", F.col("above_canal").isNotNull()
+    place = F.when(F.col("index") == 1, F.lit("head reach")).otherwise(F.concat(F.lit("reach "), F.col("index").cast("string"), F.lit("/"), F.col("reaches").cast("string")))
+    at = F.concat(F.lit("at km "), km_text(F.when(off, F.col("start") - F.col("above_head")).otherwise(F.col("start"))))
+    name = (
+        F.when(own & (F.col("reaches") == 1), F.col("canal")).when(own, F.concat("canal", F.lit(" · "), place))
+        .when(off, F.concat("can_type", F.lit(" off "), "above_canal", F.lit(" "), at)).otherwise(F.concat("can_type", F.lit(", "), "prj_name", F.lit(" "), at))
+    )
+    label = (
+        F.when(own, F.concat(place, F.lit(" · "), size, F.when(F.col("index") > 1, F.concat(F.lit(" · from km "), km_text(F.col("start") - F.col("head")))).otherwise("")))
+        .when(off, F.concat(at, F.lit(" · "), size)).otherwise(F.concat("can_type", F.lit(" "), at, F.lit(" · "), size))
+    )
+    group = F.when(own, F.col("canal")).when(off, F.concat(plural(F.col("can_type")), F.lit(" off "), F.col("above_canal"))).otherwise(F.concat("prj_name", F.lit(" · unnamed reaches")))
+    s = s.withColumns({"group": group, "derived": ~own, "_name": name, "label": label})
     twice = F.count(F.lit(1)).over(Window.partitionBy("_name")) > 1
     s = s.withColumn("name", F.when(twice, F.concat("_name", F.lit(" ("), size, F.lit(")"))).otherwise(F.col("_name")))
-    return s.select("seg_id", "group", "name", F.concat("name", F.lit(", "), size, offset).alias("label"), "derived", F.col("index").cast("long"), "reaches", F.bround(F.col("start") / 1000, 2).alias("km_from"))
+    return s.select("seg_id", "group", "name", "label", "derived", F.col("index").cast("long"), "reaches", F.bround(F.col("start") / 1000, 2).alias("km_from"))
+
+
+def payload(segs: DataFrame, names: DataFrame) -> DataFrame:
+    """What a map shows of each segment, in 19 fields, rounded as shown.
+
+    ``segs``: seg_id, can_name, can_type, prj_name, district, length_m, command_ha, local_ha, health, bc_norm,
+    priority, priority_norm, rank, cost_inr, geom (in degrees); ``names``: see ``reach_names``.
+    """
+    own = blank_name(F.col("can_name"))
+    n = names.select("seg_id", "name", "group", "label", "km_from")
+    s = segs.join(n, "seg_id", "left")
+    return s.select(
+        F.col("seg_id").alias("id"), F.coalesce("name", F.when(own != "", own), F.lit("(unnamed reach)")).alias("name"), F.coalesce("group", F.when(own != "", own), "prj_name").alias("canal"),
+        F.coalesce("label", F.lit("")).alias("reach"), F.coalesce("km_from", F.lit(0.0)).alias("kmFrom"), (own == "").alias("derived"), F.col("can_type").alias("type"), F.col("prj_name").alias("project"),
+        title_case(F.col("district")).alias("district"), half_even(F.col("length_m") / 1000, 2).alias("km"), half_even(F.col("command_ha")).alias("area"), half_even(F.col("local_ha")).alias("local"),
+        half_even(F.col("health"), 3).alias("health"), half_even(F.col("bc_norm"), 3).alias("cent"), half_even(F.col("priority")).alias("priority"), half_even(F.col("priority_norm"), 4).alias("pnorm"), "rank",
+        half_even(F.col("cost_inr")).alias("cost"), F.transform("geom", lambda p: F.array(half_even(p["x"], 5), half_even(p["y"], 5))).alias("coords"),
+    )
 
 
 def number_collisions(df: DataFrame, name: str, order: str) -> DataFrame:

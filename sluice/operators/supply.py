@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.params import VALUES
 from ..functions.scalar import clip, uniform
+from ..state import ranked, settle
 
 TARGET = VALUES["target_health"]
 
@@ -48,17 +49,20 @@ def marginals(segs: DataFrame, paths: DataFrame, target: float = TARGET) -> Data
     return segs.join(served, "seg_id", "left").select("seg_id", ((F.greatest(h, F.lit(target)) / h - 1) * F.coalesce("_s", F.lit(0.0))).alias("marginal_ha"))
 
 
-def greedy_plan(segs: DataFrame, paths: DataFrame, budgets: DataFrame, target: float = TARGET) -> DataFrame:
+def greedy_plan(segs: DataFrame, paths: DataFrame, budgets: DataFrame, target: float = TARGET, most: int = 20_000_000) -> DataFrame:
     """scenario, work_order, seg_id, cost_inr, marginal_ha, cumulative_ha: the best hectares a rupee, round by round.
 
     ``segs`` also has cost_inr and rank (ties go to the lesser rank); ``budgets`` has scenario and budget.
     Scenarios run side by side.  One task holds one network, so ``paths`` is the unit to split by: a
-    network's components are independent but for the budget.
+    network's components are independent but for the budget.  Of more than ``most`` pairs of paths (16 bytes
+    each) it raises an error, rather than bring them to one place.
     """
     import numpy as np
     import pandas as pd
 
     spark = segs.sparkSession
+    if (pairs := paths.count()) > most:
+        raise ValueError(f"{pairs} path pairs are more than the {most} that one plan takes: split the network")
     table = segs.select("seg_id", F.col("local_ha").cast("double"), clip(F.col("health"), 0.01, 1.0).alias("health"), F.col("cost_inr").cast("double"), "rank").orderBy("rank", "seg_id").toPandas()
     pairs = paths.toPandas()
     sent = spark.sparkContext.broadcast((table, pairs))
@@ -107,15 +111,20 @@ def weighted_orders(segs: DataFrame, trials: int, seed: int = 42) -> DataFrame:
 
 
 def skip_fill(orders: DataFrame, budget: float) -> DataFrame:
-    """trial, seg_id of the items taken: each in turn if it still fits."""
-    items = orders.groupBy("trial").agg(F.array_sort(F.collect_list(F.struct("pos", "seg_id", F.col("cost_inr").cast("double").alias("cost")))).alias("items"))
-    start = F.struct(F.lit(0.0).alias("spent"), F.array().cast("array<" + orders.schema["seg_id"].dataType.simpleString() + ">").alias("taken"))
+    """trial, seg_id of the items taken: each in turn if it still fits.  One task walks through one trial."""
+    import pandas as pd
 
-    def step(s, x):
-        fits = s["spent"] + x["cost"] <= budget
-        return F.struct(F.when(fits, s["spent"] + x["cost"]).otherwise(s["spent"]).alias("spent"), F.when(fits, F.array_append(s["taken"], x["seg_id"])).otherwise(s["taken"]).alias("taken"))
+    def run(items: pd.DataFrame) -> pd.DataFrame:
+        items = items.sort_values("pos")
+        spent, keep = 0.0, []
+        for cost in items["cost"].to_numpy():
+            keep.append(spent + cost <= budget)
+            spent += cost if keep[-1] else 0.0
+        return items.loc[keep, ["trial", "seg_id"]]
 
-    return items.select("trial", F.explode(F.aggregate("items", start, step)["taken"]).alias("seg_id"))
+    rows = orders.select("trial", "pos", "seg_id", F.col("cost_inr").cast("double").alias("cost"))
+    kinds = {c: orders.schema[c].dataType.simpleString() for c in ("trial", "seg_id")}
+    return rows.groupBy("trial").applyInPandas(run, f"trial {kinds['trial']}, seg_id {kinds['seg_id']}")
 
 
 def trial_outcomes(segs: DataFrame, paths: DataFrame, taken: DataFrame, target: float = TARGET) -> DataFrame:
@@ -140,9 +149,8 @@ def rank_segments(segs: DataFrame, alpha: float = VALUES["betweenness_weight"])
 
     ``segs`` has seg_id, command_ha, betweenness and health_score (null where there are no points).
     """
-    one = Window.partitionBy(F.lit(0))
     top = segs.agg(F.max("betweenness").alias("_b"), F.percentile("health_score", F.lit(0.5)).alias("_h"))
     s = segs.join(F.broadcast(top)).withColumn("bc_norm", F.when(F.col("_b") > 0, F.col("betweenness") / F.col("_b")).otherwise(0.0)).withColumn("health", F.coalesce("health_score", "_h"))
-    s = s.withColumn("priority", F.col("command_ha") * (1 - F.col("health")) * (1 + alpha * F.col("bc_norm"))).drop("_b", "_h")
-    s = s.withColumn("_m", F.max("priority").over(one)).withColumn("priority_norm", F.when(F.col("_m") > 0, F.col("priority") / F.col("_m")).otherwise(0.0)).drop("_m")
-    return s.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("priority"), "seg_id")))
+    s = settle(s.withColumn("priority", F.col("command_ha") * (1 - F.col("health")) * (1 + alpha * F.col("bc_norm"))).drop("_b", "_h"))
+    s = s.join(F.broadcast(s.agg(F.max("priority").alias("_m")))).withColumn("priority_norm", F.when(F.col("_m") > 0, F.col("priority") / F.col("_m")).otherwise(0.0)).drop("_m")
+    return ranked(s, "rank", F.desc("priority"), F.asc("seg_id"))

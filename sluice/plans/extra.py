@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import scalar as S
 from ..operators import health, lines
 from ..sources import grids, kml, tables
-from ..state import settle, shared_dir
+from ..state import fresh as _fresh
+from ..state import settle
 from . import stages
 from . import testmap as T
 from .network import root, scored_segments
@@ -19,10 +18,6 @@ from .registry import QUERIES, query
 L = "bigint"
 
 
-def _fresh(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/sluice-state/{name}-{uuid.uuid4().hex}"
-
-
 @query("S1_kml_scan", "SELECT n_name AS name, 'R' || n_regionkey AS basin, 2::BIGINT AS points, (n_nationkey + 1)::DOUBLE AS x1 FROM nation")
 def _(spark, d):
     n = T.table(spark, d, "nation")
@@ -63,11 +58,11 @@ def _(spark, d):
     return g.select("id", F.size("g").cast(L).alias("points"), F.col("g")[1]["x"].alias("x1"))
 
 
-@query("K3_append", "SELECT event_type, count(*)::BIGINT AS n FROM events WHERE event_id % 4 < 2 GROUP BY 1")
+@query("K3_append", "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY 1")
 def _(spark, d):
     path = _fresh(spark, "append")
-    for k in (0, 1):
-        tables.append(T.table(spark, d, "events").where(f"event_id % 4 = {k}"), path)
+    for k in range(4):
+        tables.append(T.table(spark, d, "events").where(f"pmod(event_id, 4) = {k}"), path)
     return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -108,10 +103,10 @@ def _(spark, d):
     return T.table(spark, d, "events").select("event_id", F.round(2 + 6 * S.clip(F.col("value") / 100, 0.0, 1.0), 6).alias("weight"))
 
 
-@query("F23_crore", "SELECT c_custkey AS k, format('{:.2f}', round_even(c_acctbal * 1000, 0) / 1e7) || ' Cr' AS t FROM customer WHERE c_custkey % 2 = 0 AND round_even(c_acctbal * 1000, 0) % 50000 <> 0")
+@query("F23_crore", "SELECT c_custkey AS k, format('{:.2f}', round_even(round_even(c_acctbal * 1000, 0) / 1e7, 2)) || ' Cr' AS t FROM customer")
 def _(spark, d):
-    c = T.table(spark, d, "customer").where("c_custkey % 2 = 0").withColumn("v", S.half_even(F.col("c_acctbal") * 1000))
-    return c.where("v % 50000 <> 0").select(F.col("c_custkey").alias("k"), F.concat(F.format_string("%.2f", F.col("v") / 1e7), F.lit(" Cr")).alias("t"))
+    c = T.table(spark, d, "customer").withColumn("v", S.half_even(F.col("c_acctbal") * 1000))
+    return c.select(F.col("c_custkey").alias("k"), F.concat(F.format_string("%.2f", S.half_even(F.col("v") / 1e7, 2)), F.lit(" Cr")).alias("t"))
 
 
 @query("F24_escape", "SELECT page_id, replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS u FROM pages")

@@ -9,7 +9,7 @@ from ..functions import geo
 from ..functions import scalar as S
 from ..functions import stats
 from ..operators import economics, failure, graph, health, naming, spatial, supply
-from ..state import settle
+from ..state import ranked, settle
 from ..streaming import events as ev
 from ..streaming import labels as lb
 from . import testmap as T
@@ -96,10 +96,10 @@ def _(spark, d):
     return graph.named_above(s, up, F.col("seg_id") % 5 == 0)
 
 
-@query("G11_removal", f"WITH RECURSIVE {T.NET}, sc AS (SELECT seg_id AS scenario FROM net WHERE seg_id BETWEEN 0 AND 199 AND seg_id % 20 = 1), r(scenario, node) AS (SELECT scenario, 0 FROM sc UNION SELECT scenario, dst FROM r JOIN net ON src = node AND seg_id <> scenario), a(node) AS (SELECT 0 UNION SELECT dst FROM a JOIN net ON src = node) SELECT scenario, node::BIGINT AS node FROM sc, a EXCEPT SELECT scenario, node FROM r")
+@query("G11_removal", f"WITH RECURSIVE {T.NET}, sc AS (SELECT seg_id AS scenario FROM net ), r(scenario, node) AS (SELECT scenario, 0 FROM sc UNION SELECT scenario, dst FROM r JOIN net ON src = node AND seg_id <> scenario), a(node) AS (SELECT 0 UNION SELECT dst FROM a JOIN net ON src = node) SELECT scenario, node::BIGINT AS node FROM sc, a EXCEPT SELECT scenario, node FROM r")
 def _(spark, d):
     n = T.network(spark, d)
-    sc = n.where("seg_id between 0 and 199 and seg_id % 20 = 1").select(F.col("seg_id").alias("scenario"), "seg_id")
+    sc = n.select(F.col("seg_id").alias("scenario"), "seg_id")
     return graph.reach_after_removal(n, root(spark), sc)
 
 
@@ -169,10 +169,10 @@ def _(spark, d):
     return spatial.focal_mean(ce, "v", 2).select("row", "col", F.round("mean", 8).alias("mean"))
 
 
-@query("A29_zonal_first", f"WITH {_CELLS} SELECT id, n::BIGINT AS n FROM ix JOIN ce USING (row, col) WHERE id % 2 = 0")
+@query("A29_zonal_first", f"WITH {_CELLS} SELECT id, n::BIGINT AS n FROM ix JOIN ce USING (row, col)")
 def _(spark, d):
     ix = _indexed(spark, d)
-    return ix.where("id % 2 = 0").join(ix.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n")), ["row", "col"]).select("id", "n")
+    return ix.join(ix.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n")), ["row", "col"]).select("id", "n")
 
 
 @query("X2_explode", "SELECT doc_id, i::BIGINT AS i, string_split(lang || '-' || source, '-')[i + 1] AS part FROM documents, (SELECT unnest([0, 1]) AS i)")
@@ -227,7 +227,7 @@ def ranking(spark, d):
     central = graph.tree_betweenness(s, pairs)
     j = s.select("seg_id", F.col("health").alias("health_score")).join(command, "seg_id").join(central, "seg_id")
     r = supply.rank_segments(j).withColumn("priority", F.round("priority", 4))
-    r = r.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("priority"), "seg_id")).cast(L))
+    r = ranked(r.drop("rank"), "rank", F.desc("priority"), F.asc("seg_id"))
     return r.select("seg_id", "command_ha", "health", F.round("bc_norm", 8).alias("bc_norm"), "priority", "rank")
 
 
@@ -270,7 +270,7 @@ def _(spark, d):
     return plan.select("scenario", "work_order", "seg_id", "cost_inr", F.round("marginal_ha", 4).alias("marginal_ha"), F.round("cumulative_ha", 4).alias("cumulative_ha"))
 
 
-TRIALS, BUDGET = 20, 5_000_000.0
+TRIALS, BUDGET = 200, 5_000_000.0
 _ORDER = f"{HEALTH}, wt AS (SELECT seg_id, length_m / 1000 * 239644 AS cost, greatest((1 - h) * sqrt(length_m), 1e-9) AS w FROM seg JOIN hs USING (seg_id)), ky AS (SELECT trial, seg_id, cost, -ln((CAST('0x' || substr(md5('42:' || trial || ':' || seg_id), 1, 12) AS BIGINT) + 1.0) / 281474976710656.0) / w AS k FROM wt, (SELECT unnest(range({TRIALS})) AS trial)), od AS (SELECT *, row_number() OVER (PARTITION BY trial ORDER BY k, seg_id) AS pos FROM ky)"
 
 
@@ -279,9 +279,9 @@ def _orders(spark, d):
     return supply.weighted_orders(s, TRIALS)
 
 
-@query("B4_weighted_order", f"WITH {T.SEG}, {_ORDER} SELECT trial::BIGINT AS trial, seg_id, pos::BIGINT AS pos FROM od WHERE pos <= 50")
+@query("B4_weighted_order", f"WITH {T.SEG}, {_ORDER} SELECT trial::BIGINT AS trial, seg_id, pos::BIGINT AS pos FROM od")
 def _(spark, d):
-    return _orders(spark, d).where("pos <= 50").select(F.col("trial").cast(L), "seg_id", F.col("pos").cast(L))
+    return _orders(spark, d).select(F.col("trial").cast(L), "seg_id", F.col("pos").cast(L))
 
 
 _FILL = f"it AS (SELECT trial, list({{'c': cost::DOUBLE, 's': seg_id}} ORDER BY pos) AS xs FROM od GROUP BY 1), fl AS (SELECT trial, list_reduce(xs, lambda a, x: CASE WHEN a.spent + x.c <= {BUDGET} THEN {{'spent': a.spent + x.c, 'taken': list_append(a.taken, x.s)}} ELSE a END, {{'spent': 0.0::DOUBLE, 'taken': []::BIGINT[]}}) AS r FROM it)"
@@ -296,7 +296,9 @@ def _(spark, d):
 def _(spark, d):
     s, p = supplied(spark, d)
     taken = settle(supply.skip_fill(_orders(spark, d), BUDGET))
-    out = supply.trial_summary(supply.trial_outcomes(s, p, taken), 1000.0)
+    costed = s.withColumn("cost_inr", economics.desilt_cost(F.col("length_m"), F.lit(1.0))).withColumn("rank", F.col("seg_id"))
+    plan = supply.greedy_plan(costed, p, spark.createDataFrame([("plan", BUDGET)], "scenario string, budget double"))
+    out = supply.trial_summary(supply.trial_outcomes(s, p, taken), plan.agg(F.max("cumulative_ha")).first()[0] or 0.0)
     return out.select(*[F.round(c, 6).alias(c) if c != "trials" else F.col(c) for c in out.columns])
 
 
@@ -320,16 +322,16 @@ def _(spark, d):
     return lost.join(T.local_area(spark, d), "seg_id", "left").groupBy("scenario").agg(F.count(F.lit(1)).alias("segments_cut_off"), F.coalesce(F.sum("local_ha"), F.lit(0.0)).alias("area_lost_ha"))
 
 
-@query("B9_parallel_feeds", f"WITH RECURSIVE {T.NET}, nd AS (SELECT DISTINCT dst AS node FROM net WHERE dst <= 120), e AS (SELECT seg_id, src, dst FROM net WHERE dst <= 120), sc AS (SELECT seg_id AS scenario FROM e), r(scenario, node) AS (SELECT scenario, 0 FROM sc UNION SELECT scenario, dst FROM r JOIN e ON src = node AND seg_id <> scenario) SELECT scenario, node::BIGINT AS node FROM sc, nd EXCEPT SELECT scenario, node FROM r")
+@query("B9_parallel_feeds", f"WITH RECURSIVE {T.NET}, nd AS (SELECT DISTINCT dst AS node FROM net), e AS (SELECT seg_id, src, dst FROM net), sc AS (SELECT seg_id AS scenario FROM e), r(scenario, node) AS (SELECT scenario, 0 FROM sc UNION SELECT scenario, dst FROM r JOIN e ON src = node AND seg_id <> scenario) SELECT scenario, node::BIGINT AS node FROM sc, nd EXCEPT SELECT scenario, node FROM r")
 def _(spark, d):
-    return graph.losses(T.network(spark, d).where("dst <= 120"), root(spark))
+    return graph.losses(T.network(spark, d), root(spark))
 
 
-@query("B8_failure_record", f"{TREE}, {T.LOCAL}, ls AS (SELECT e.seg_id AS scenario, e.seg_id FROM seg e WHERE e.seg_id < 8 UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst WHERE e.seg_id < 8 UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des WHERE e.seg_id < 8), g AS (SELECT scenario, count(*) AS n, sum(local_ha) AS ha FROM ls LEFT JOIN loc USING (seg_id) GROUP BY 1) SELECT scenario, n::BIGINT AS segments_cut_off, ha AS area_lost_ha, round(ha * (100 + length(prj_name)), 4)::DOUBLE AS revenue_at_risk_inr, round(ha * (100 + length(prj_name)) / (length_m / 1000 * 239644), 6)::DOUBLE AS benefit_cost_ratio FROM g JOIN seg ON scenario = seg_id")
+@query("B8_failure_record", f"{TREE}, {T.LOCAL}, ls AS (SELECT e.seg_id AS scenario, e.seg_id FROM seg e UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des), g AS (SELECT scenario, count(*) AS n, sum(local_ha) AS ha FROM ls LEFT JOIN loc USING (seg_id) GROUP BY 1) SELECT scenario, n::BIGINT AS segments_cut_off, ha AS area_lost_ha, round(ha * (100 + length(prj_name)), 4)::DOUBLE AS revenue_at_risk_inr, round(ha * (100 + length(prj_name)) / (length_m / 1000 * 239644), 6)::DOUBLE AS benefit_cost_ratio FROM g JOIN seg ON scenario = seg_id")
 def _(spark, d):
     s = settle(T.segments(spark, d))
-    sc = s.where("seg_id < 8").select(F.col("seg_id").alias("scenario"), "seg_id")
-    nodes = graph.reach_after_removal(s.select("seg_id", "src", "dst"), root(spark), sc)
+    sc = s.select(F.col("seg_id").alias("scenario"), "seg_id")
+    nodes = graph.losses(s.select("seg_id", "src", "dst"), root(spark))
     lost = failure.lost_segments(s, nodes, sc)
     segs = s.select("seg_id", F.col("prj_name").alias("district"), economics.desilt_cost(F.col("length_m"), F.lit(1.0)).alias("cost_inr"))
     cells = T.local_area(spark, d).join(s.select("seg_id", F.col("prj_name").alias("district"), F.col("can_type").alias("crop_class")), "seg_id").withColumnRenamed("local_ha", "area_ha")
@@ -381,31 +383,63 @@ def _(spark, d):
     return T.segments(spark, d).select("seg_id", naming.group_key(F.col("seg_id") % 3 == 0, F.col("seg_id").cast("string"), F.col("prj_name")).alias("g"))
 
 
-@query("N4_covered_canals", f"{TREE}, ls AS (SELECT e.seg_id AS scenario, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst WHERE e.seg_id < 20 UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des WHERE e.seg_id < 20 UNION ALL SELECT seg_id, seg_id FROM seg WHERE seg_id < 20) SELECT scenario, string_agg(DISTINCT prj_name, ',' ORDER BY prj_name) AS canals FROM ls JOIN seg USING (seg_id) GROUP BY 1")
+@query("N4_covered_canals", f"{TREE}, ls AS (SELECT e.seg_id AS scenario, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des UNION ALL SELECT seg_id, seg_id FROM seg) SELECT scenario, string_agg(DISTINCT prj_name, ',' ORDER BY prj_name) AS canals FROM ls JOIN seg USING (seg_id) GROUP BY 1")
 def _(spark, d):
     s = settle(T.segments(spark, d).withColumn("canal", F.col("prj_name")))
-    sc = s.where("seg_id < 20").select(F.col("seg_id").alias("scenario"), "seg_id")
-    lost = failure.lost_segments(s, graph.reach_after_removal(s.select("seg_id", "src", "dst"), root(spark), sc), sc)
+    sc = s.select(F.col("seg_id").alias("scenario"), "seg_id")
+    lost = failure.lost_segments(s, graph.losses(s.select("seg_id", "src", "dst"), root(spark)), sc)
     return failure.covered_canals(lost, s).select("scenario", F.array_join("canals", ",").alias("canals"))
 
 
-@query("N2_payload", f"WITH {T.SEG}, {HEALTH} SELECT seg_id, round_even(length_m / 1000, 2) AS km, round(h, 6) AS health, prj_name AS canal FROM seg JOIN hs USING (seg_id)")
+def _km(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '?' ELSE format('{{:.1f}}', round_even({x} / 1000, 1)) END"
+
+
+NAMED = f"""r(seg_id, up, steps) AS (SELECT s.seg_id, p.seg_id, 1 FROM seg s JOIN seg p ON p.dst = s.src UNION ALL SELECT r.seg_id, p.seg_id, steps + 1 FROM r JOIN seg c ON c.seg_id = r.up JOIN seg p ON p.dst = c.src WHERE r.up % 3 <> 0 AND steps < 80),
+m(node, metres) AS (SELECT 0, 0.0::DOUBLE UNION ALL SELECT dst, metres + length_m FROM m JOIN seg ON src = node),
+nb AS (SELECT seg.*, CASE WHEN seg_id % 3 = 0 THEN prj_name ELSE '' END AS canal, metres AS start FROM seg LEFT JOIN m ON node = src),
+ns AS (SELECT *, row_number() OVER (PARTITION BY canal ORDER BY start NULLS LAST, seg_id) AS idx, count(*) OVER (PARTITION BY canal) AS n, min(start) OVER (PARTITION BY canal) AS head FROM nb),
+nj AS (SELECT ns.*, p.canal AS pc, {_km("ns.length_m")} || ' km' AS size, CASE WHEN ns.idx = 1 THEN 'head reach' ELSE 'reach ' || ns.idx || '/' || ns.n END AS place,
+  'at km ' || {_km("(CASE WHEN p.canal IS NOT NULL THEN ns.start - p.head ELSE ns.start END)")} AS loc FROM ns LEFT JOIN (SELECT seg_id, up FROM r WHERE up % 3 = 0) a ON a.seg_id = ns.seg_id LEFT JOIN ns p ON p.seg_id = a.up),
+nk AS (SELECT *, CASE WHEN canal <> '' AND n = 1 THEN canal WHEN canal <> '' THEN canal || ' · ' || place WHEN pc IS NOT NULL THEN can_type || ' off ' || pc || ' ' || loc ELSE can_type || ', ' || prj_name || ' ' || loc END AS nm,
+  CASE WHEN canal <> '' THEN place || ' · ' || size || CASE WHEN idx > 1 THEN ' · from km ' || {_km("(start - head)")} ELSE '' END WHEN pc IS NOT NULL THEN loc || ' · ' || size ELSE can_type || ' ' || loc || ' · ' || size END AS label,
+  CASE WHEN canal <> '' THEN canal WHEN pc IS NOT NULL THEN regexp_replace(can_type, 'y$', 'ie') || 's off ' || pc ELSE prj_name || ' · unnamed reaches' END AS grp FROM nj),
+nn AS (SELECT seg_id, grp, CASE WHEN count(*) OVER (PARTITION BY nm) > 1 THEN nm || ' (' || size || ')' ELSE nm END AS name, label, canal = '' AS derived, idx::BIGINT AS idx, n::BIGINT AS reaches, round_even(start / 1000, 2) AS km_from FROM nk)"""
+
+
+def _names(spark, s):
+    up = s.select("seg_id", F.col("src").alias("n")).join(s.select(F.col("dst").alias("n"), F.col("seg_id").alias("up")), "n").select("seg_id", "up")
+    return naming.reach_names(s, graph.chainage(s, root(spark)), settle(up))
+
+
+@query("N1_reach_names", f'WITH RECURSIVE {T.SEG}, {NAMED} SELECT seg_id, grp AS "group", name, label, derived, idx AS "index", reaches, km_from FROM nn')
 def _(spark, d):
-    return scored_segments(spark, d).select("seg_id", S.half_even(F.col("length_m") / 1000, 2).alias("km"), F.round("health", 6).alias("health"), F.col("prj_name").alias("canal"))
+    return _names(spark, settle(T.segments(spark, d).withColumn("can_name", F.when(F.col("seg_id") % 3 == 0, F.col("prj_name")))))
 
 
-@query("N3_profiles", f"WITH {T.AREAS}, g AS (SELECT district, crop, sum(area) AS a FROM ar GROUP BY 1, 2), sh AS (SELECT *, a / sum(a) OVER (PARTITION BY district) AS s FROM g), r AS (SELECT *, row_number() OVER (PARTITION BY district ORDER BY s DESC, crop) AS rn FROM sh) SELECT district, string_agg(crop, ',' ORDER BY rn) AS crops FROM r WHERE rn <= 3 GROUP BY 1")
+@query("N2_payload", f"""{RANKED.split("SELECT seg_id, command AS command_ha")[0].rstrip()}, {NAMED}, rk AS (SELECT *, row_number() OVER (ORDER BY priority DESC, seg_id) AS rank, max(priority) OVER () AS top FROM pp)
+SELECT seg_id AS id, nn.name, grp AS canal, label AS reach, km_from AS "kmFrom", derived, can_type AS type, prj_name AS project, upper(prj_name[1]) || lower(prj_name[2:]) AS district, round_even(length_m / 1000, 2) AS km,
+  round_even(command, 0) AS area, round_even(v.ha, 0) AS local, round_even(rk.health, 3) AS health, round_even(bcn, 3) AS cent, round_even(priority, 0) AS priority, round_even(priority / top, 4) AS pnorm, rank::BIGINT AS rank,
+  round_even(length_m / 1000 * 239644, 0) AS cost, format('{{:.1f}},{{:.1f}}', seg.src / 8, seg.dst / 8) AS coords FROM seg JOIN nn USING (seg_id) JOIN rk USING (seg_id) JOIN v USING (seg_id)""")
 def _(spark, d):
-    sh = economics.mix_shares(T.areas(spark, d))
-    summary = sh.select("district").distinct().select("district", F.lit(1.0).alias("revenue_per_ha"), F.lit(1.0).alias("water_mm"), F.lit(0.5).alias("dependency"))
-    return economics.district_profiles(summary, sh, 3).select("district", F.array_join("mix.crop", ",").alias("crops"))
+    s = settle(scored_segments(spark, d).withColumns({"can_name": F.when(F.col("seg_id") % 3 == 0, F.col("prj_name")), "district": F.col("prj_name"), "cost_inr": economics.desilt_cost(F.col("length_m"), F.lit(1.0))}))
+    at = ranking(spark, d).drop("health")
+    top = at.agg(F.max("priority").alias("_t"))
+    at = at.join(F.broadcast(top)).withColumn("priority_norm", F.col("priority") / F.col("_t")).drop("_t")
+    point = lambda x: F.struct((F.col(x) / 8).alias("x"), F.lit(0.0).alias("y"))
+    out = naming.payload(s.join(at, "seg_id").withColumn("geom", F.array(point("src"), point("dst"))), _names(spark, s))
+    return out.withColumn("coords", F.array_join(F.transform("coords", lambda p: F.format_string("%.1f", F.bround(p[0], 1))), ","))
 
 
-@query("N1_reach_names")
+@query("N3_profiles", f"WITH {T.AREAS}, g AS (SELECT district, crop, sum(area) AS a FROM ar GROUP BY 1, 2), sh AS (SELECT *, a / sum(a) OVER (PARTITION BY district) AS s FROM g), r AS (SELECT *, row_number() OVER (PARTITION BY district ORDER BY s DESC, crop) AS rn FROM sh), z AS (SELECT district, sum(s * 10 * length(crop) * 2.5::DOUBLE) AS rev, sum(s * (100 + 10 * length(crop))) / sum(s) AS mm FROM sh GROUP BY 1) SELECT district, round_even(any_value(rev), 0) AS revenue, round_even(any_value(mm), 0) AS water, round_even(least(greatest(1 - 120 / any_value(mm), 0), 1), 3) AS dependency, -12.5::DOUBLE AS rain_dev, string_agg(crop, ',' ORDER BY rn) AS crops, round_even(max(s), 4) AS most FROM r JOIN z USING (district) WHERE rn <= 3 GROUP BY 1")
 def _(spark, d):
-    s = settle(T.segments(spark, d).withColumn("can_name", F.when(F.col("seg_id") % 3 == 0, F.col("prj_name"))))
-    up = s.select("seg_id", F.col("src").alias("n")).join(s.select(F.col("dst").alias("n"), F.col("seg_id").alias("up")), "n").select("seg_id", "up")
-    return naming.reach_names(s, graph.chainage(s, root(spark)), settle(up))
+    sh = settle(economics.mix_shares(T.areas(spark, d)))
+    size, crops = F.length("crop").cast("double"), sh.select("crop").distinct()
+    revenue = economics.revenue_per_ha(sh, crops.select("crop", (10 * size).alias("price")), crops.select("crop", F.lit(2.5).alias("yield")))
+    water = economics.water_demand(sh, crops.select("crop", F.col("crop").alias("water_crop")), crops.select(F.col("crop").alias("water_crop"), F.lit(100.0).alias("min_mm"), (100 + 20 * size).alias("max_mm")))
+    both = revenue.join(water, "district").withColumns({"dependency": economics.irrigation_dependency(F.lit(120.0), F.col("water_mm")), "deficit": economics.rain_deficit(F.lit(-12.5))})
+    out = economics.district_profiles(both, sh, 3)
+    return out.select("district", "revenue", "water", "dependency", "rain_dev", F.array_join("mix.crop", ",").alias("crops"), F.array_max("mix.share").alias("most"))
 
 
 # --- health and sampling

@@ -81,9 +81,9 @@ def _(spark, d):
     return T.segments(spark, d).where("length_m > 100").select("seg_id")
 
 
-@query("P4_canal_filter", f"WITH {T.SEG} SELECT seg_id, can_type FROM seg WHERE can_type <> 'PROMO' AND seg_id % 2 = 0")
+@query("P4_canal_filter", f"WITH {T.SEG} SELECT seg_id, can_type FROM seg WHERE can_type <> 'PROMO'")
 def _(spark, d):
-    return T.segments(spark, d).where("can_type <> 'PROMO' and seg_id % 2 = 0").select("seg_id", "can_type")
+    return T.segments(spark, d).where("can_type <> 'PROMO'").select("seg_id", "can_type")
 
 
 @query("P5_fill_filter", "SELECT event_id FROM events WHERE coalesce(CAST(props->>'$.k' AS DOUBLE), 0) >= 5")

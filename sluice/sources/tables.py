@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import known
-from ..state import shared_dir
+from ..state import fresh
 
 # The schemas of the input and result tables.
 SCHEMAS = {
@@ -52,7 +50,7 @@ def read_labels(spark: SparkSession, path: str, columns: tuple[str, ...] = ("poi
 
 def csv_round_trip(df: DataFrame) -> DataFrame:
     """``df`` written as CSV with a header and read again under its own schema."""
-    path = f"{shared_dir(df.sparkSession)}/sluice-state/csv-{uuid.uuid4().hex}"
+    path = fresh(df.sparkSession, "csv")
     df.write.mode("overwrite").option("header", "true").csv(path)
     return df.sparkSession.read.schema(df.schema).option("header", "true").csv(path)
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
+_made: set[str] = set()
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
 
@@ -45,23 +47,62 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where that is unset (one machine)."""
+    """spark.checkpoint.dir, or a temporary folder where that is unset and the master is local: the machines of
+    a cluster share no temporary folder."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="sluice-state-")
+        _made.add(_own[app])
     return _own[app]
 
 
+def fresh(spark: SparkSession, name: str = "table") -> str:
+    """A path for a new table in the shared folder, deleted when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/sluice-state/{name}-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """``df`` written out and read again: a loop's plan stays short, and a lost executor loses nothing."""
-    path = f"{shared_dir(df.sparkSession)}/sluice-state/{uuid.uuid4().hex}"
+    path = fresh(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Deletes what ``settle`` and ``fresh`` have made; frames built on it can't be read any more."""
+    for path in list(_made):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _made.discard(path)
+
+
+@atexit.register
+def _at_exit() -> None:
+    try:
+        if (spark := SparkSession.getActiveSession()) is not None:
+            clear(spark)
+    except Exception:  # noqa: BLE001 - the JVM may be gone already
+        pass
+
+
+def ranked(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """``df`` with the place (from 1) of each row in an order: rows are dealt by range, counted, and numbered
+    within their range, so no task sees the whole table.  The order must be total for reruns to agree."""
+    dealt = settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = sorted((r["_range"], r["count"]) for r in dealt.groupBy("_range").count().collect())  # a row a partition
+    starts = [(r, sum(n for q, n in sizes if q < r)) for r, _ in sizes]
+    starts = df.sparkSession.createDataFrame(starts, "_range int, _start long")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn(name, (F.col("_start") + F.col("_place")).cast("long")).drop("_range", "_start", "_place")
+
+
 def if_small(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has no more than ``most`` rows; counted here unless told."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df

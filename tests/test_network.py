@@ -1,14 +1,17 @@
 """Graph, supply, failure and naming on hand-made networks."""
 
+import hashlib
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions import geo
 from sluice.functions import params as P
 from sluice.operators import failure, graph, lines, naming, spatial, supply
 from sluice.sources import grids
+from sluice.state import ranked
 
 EDGES = "seg_id string, src long, dst long, length_m double"
 
@@ -229,16 +232,70 @@ def test_reach_names(spark):
     chain = spark.createDataFrame([(0, 0.0), (1, 1000.0), (2, 3000.0)], "node long, metres double")
     up = spark.createDataFrame([(2, 1), (3, 2)], "seg_id long, up long")
     n = {r["seg_id"]: r for r in naming.reach_names(segs, chain, up).collect()}
-    assert n[1]["name"] == "Main · head reach" and n[2]["name"] == "Main · reach 2/2" and n[2]["label"].endswith("2.0 km, km 1.0 from head")
+    assert n[1]["name"] == "Main · head reach" and n[2]["name"] == "Main · reach 2/2" and n[1]["label"] == "head reach · 1.0 km" and n[2]["label"] == "reach 2/2 · 2.0 km · from km 1.0"
     assert n[3]["name"] == "Distributary off Main at km 3.0" and n[3]["group"] == "Distributaries off Main" and n[3]["derived"]
     assert n[4]["name"] == "Minor, Q at km ? (0.7 km)" and n[5]["name"] == "Minor, Q at km ? (0.8 km)" and n[4]["group"] == "Q · unnamed reaches"
     assert n[3]["km_from"] == 3.0 and n[4]["km_from"] is None
+    assert n[3]["label"] == "at km 3.0 · 0.5 km" and n[4]["label"] == "Minor at km ? · 0.7 km"
+    # a canal whose head lies at km 20: an offtake 1 km below it is at km 1 of that canal
+    far = chain.withColumn("metres", F.col("metres") + 20_000)
+    n = {r["seg_id"]: r for r in naming.reach_names(segs, far, up).collect()}
+    assert n[3]["name"] == "Distributary off Main at km 3.0" and n[3]["km_from"] == 23.0 and n[2]["label"] == "reach 2/2 · 2.0 km · from km 1.0"
 
 
 def line(*pts):
     return [{"x": float(x), "y": float(y)} for x, y in pts]
 
 
+def test_segment_keys(spark):
+    """Ids that depend on the ends and the length in whole metres, ties to even, and on nothing else."""
+    rows = [(line((0.5, 1.5), (10.2, -0.3)),), (line((2.5, -0.0), (3, 4), (355000.49, 1800000.5)),)]
+    g = spark.createDataFrame(rows, "geom array<struct<x:double,y:double>>")
+    for r in g.select("geom", lines.segment_key(F.col("geom"), geo.length(F.col("geom"))).alias("k")).collect():
+        p = [(q["x"], q["y"]) for q in r["geom"]]
+        size = sum(math.dist(a, b) for a, b in zip(p[:-1], p[1:], strict=True))
+        text = f"{p[0][0]:.0f},{p[0][1]:.0f}|{p[-1][0]:.0f},{p[-1][1]:.0f}|{size:.0f}"
+        assert r["k"] == "SEG_" + hashlib.md5(text.encode()).hexdigest()[:10]
+
+
+def test_removals_on_a_cyclic_graph(spark):
+    """Against a search from the sources for every scenario, with cycles, two sources and several cuts at once."""
+    rng = random.Random(6)
+    edges = [(i, rng.randrange(14), rng.randrange(14)) for i in range(30)]
+    cuts = [(s, rng.randrange(30)) for s in range(25) for _ in range(rng.randrange(1, 4))]
+    sources = [0, 5]
+
+    def reached(gone):
+        seen, todo = set(sources), list(sources)
+        while todo:
+            u = todo.pop()
+            for i, a, b in edges:
+                if a == u and i not in gone and b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        return seen
+
+    want = {(s, v) for s in range(25) for v in reached(set()) - reached({i for t, i in cuts if t == s})}
+    e = spark.createDataFrame(edges, "seg_id long, src long, dst long")
+    got = graph.reach_after_removal(e, nodes(spark, *sources), spark.createDataFrame(cuts, "scenario long, seg_id long"))
+    assert pairs(got, "scenario", "node") == want and want
+
+
+def test_ranks_without_one_task(spark):
+    rows = [(i, float(i * 7919 % 101)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(7)
+    got = {r["id"]: r["n"] for r in ranked(df, "n", F.desc("v"), F.asc("id")).collect()}
+    assert got == {i: k + 1 for k, (i, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
+
+
+def test_nearest_says_when_it_finds_none(spark):
+    one = spark.createDataFrame([(1, 0.0, 0.0)], "id long, x double, y double")
+    far = spark.createDataFrame([(2, 1e9, 0.0)], "id long, x double, y double")
+    with pytest.raises(RuntimeError):
+        spatial.nearest(one, far, 1.0, rounds=3)
+    assert spatial.nearest(one, far.limit(0), 1.0).count() == 0
+
+
 def test_noding_and_building(spark):
     rows = [(1, line((0, 0), (1000, 0))), (2, line((500, 10), (500, 400))), (3, line((500, 402), (700, 600)))]
     g = spark.createDataFrame(rows, "id long, geom array<struct<x:double,y:double>>")
@@ -256,8 +313,18 @@ def test_attach_loose_parts(spark):
     at = spark.createDataFrame([(1, 0.0, 0.0), (2, 1000.0, 0.0), (3, 400.0, 300.0), (4, 400.0, 400.0), (5, 0.0, 900.0), (6, 50.0, 900.0), (7, 0.0, 9000.0), (8, 10.0, 9000.0)], "node long, x double, y double")
     e, n = lines.attach(spark.createDataFrame(rows, geo_t), at, 0.0, 0.0)
     got = {r["seg_id"]: r for r in e.collect()}
-    assert set(got) == {"ma", "mb", "l", "CONN_000", "far"} and got["CONN_000"]["length_m"] == pytest.approx(300) and got["CONN_000"]["is_virtual"] == 1
-    assert got["ma"]["length_m"] == pytest.approx(400) and n.count() == 9
+    key = lambda *k: "SEG_" + hashlib.md5("|".join(k).encode()).hexdigest()[:10]
+    head, tail = key("0,0", "400,0", "400"), key("400,0", "1000,0", "600")
+    assert set(got) == {head, tail, "l", "CONN_001", "far"} and got["CONN_001"]["length_m"] == pytest.approx(300) and got["CONN_001"]["is_virtual"] == 1
+    assert got[head]["length_m"] == pytest.approx(400) and n.count() == 9
+    # a connector says that it is one, and a place within a decimal of a node is that node
+    more = spark.createDataFrame(rows, geo_t).withColumns({"can_type": F.lit("Main"), "prj_name": F.lit("P"), "can_name": F.lit("M")})
+    made = {r["seg_id"]: r for r in lines.attach(more, at, 0.0, 0.0)[0].collect()}
+    assert (made["CONN_001"]["can_type"], made["CONN_001"]["prj_name"], made["CONN_001"]["can_name"]) == ("Connector", "CONNECTOR", "virtual offtake link") and made[head]["can_type"] == "Main"
+    near = [rows[0], ("l", 3, 4, 100.0, line((0.04, 300), (0.04, 400)), 0, 0)]
+    close = at.where("node in (1, 2)").unionByName(spark.createDataFrame([(3, 0.04, 300.0), (4, 0.04, 400.0)], at.schema))
+    e2, n2 = lines.attach(spark.createDataFrame(near, geo_t), close, 0.0, 0.0)
+    assert {r["seg_id"]: (r["src"], r["dst"]) for r in e2.collect()} == {"m": (1, 2), "l": (3, 4), "CONN_001": (1, 3)} and n2.count() == 4
     out, nn = lines.orient_network(e, n, 0.0, 0.0)
     assert {r["seg_id"]: (r["src"], r["dst"]) for r in out.collect()}["l"] == (3, 4)
     assert nn.where("is_source").count() == 2
