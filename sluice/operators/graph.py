@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import first_by
-from ..state import settle
+from ..state import ranked, settle
 
 CAP = 10_000
 
@@ -38,6 +38,14 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def component_report(edges: DataFrame, expected: int = 5, labels: DataFrame | None = None) -> DataFrame:
+    """component, place (0 for the largest), nodes, km, too_many: whether there are more than ``expected``."""
+    comp = components(edges) if labels is None else labels
+    km = edges.join(comp, F.col("src") == F.col("node")).groupBy("component").agg((F.sum("length_m") / 1000).alias("km"))
+    c = settle(comp.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")).join(km, "component", "left"))
+    return ranked(c, "place", F.desc("nodes"), F.asc("component")).select("component", (F.col("place") - 1).alias("place"), "nodes", F.coalesce("km", F.lit(0.0)).alias("km"), F.lit(c.count() > expected).alias("too_many"))
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """anc, des: every pair with a directed path of one edge or more, by path doubling (cycles are fine)."""
     pairs = settle(edges.select(F.col("src").alias("anc"), F.col("dst").alias("des")).distinct())

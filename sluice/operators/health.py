@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import above, clip, known
 from ..functions.stats import average_rank, quantile, quartile_bins, smallest_mode
+from ..state import ranked
 
 
 def season_composite(obs: DataFrame, keys: list[str], value: str, ok: Column) -> DataFrame:
@@ -113,6 +114,14 @@ def train_forest(rows: DataFrame, features: list[str], label: str, trees: int =
     return Pipeline(stages=[index, *_assembled(rows, features), forest]).fit(rows)
 
 
+def class_guard(rows: DataFrame, label: str, few: int = 5) -> DataFrame:
+    """klass, n, warning: classes of fewer than ``few`` rows, and all of them where there is only one."""
+    g = rows.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("klass")).agg(F.count(F.lit(1)).alias("n"))
+    many = g.agg(F.count(F.lit(1)).alias("_k"))
+    text = F.when(F.col("_k") < 2, "labels of two classes at least are needed").when(F.col("n") < few, F.concat(F.lit("only "), F.col("n").cast("string"), F.lit(" rows")))
+    return g.join(F.broadcast(many)).select("klass", "n", F.coalesce(text, F.lit("")).alias("warning"))
+
+
 def predict_forest(model, rows: DataFrame, impaired: list[str]) -> DataFrame:
     """Adds p_<class> for every class, p_impaired over those of ``impaired`` present, and pred_class."""
     from pyspark.ml.functions import vector_to_array
@@ -146,14 +155,17 @@ def cross_validate(rows: DataFrame, features: list[str], label: str, group: str,
 def permutation_importance(model, rows: DataFrame, features: list[str], label: str, repeats: int = 3) -> DataFrame:
     """feature, drop: the loss of accuracy when a feature's values are dealt to other rows."""
     spark = rows.sparkSession
-    w = lambda seed: F.row_number().over(Window.orderBy(F.md5(F.concat_ws(":", F.lit(seed), *[F.col(f).cast("string") for f in features]))))
+    def dealt(df: DataFrame, seed: str) -> DataFrame:
+        key = F.md5(F.concat_ws(":", F.lit(seed), *[F.col(f).cast("string") for f in features]))
+        return ranked(df.withColumn("_k", key), "_i", "_k").drop("_k")
+
     score = lambda df: predict_forest(model, df, []).agg(F.avg((F.col("pred_class") == F.col(label)).cast("double"))).first()[0]
     base, out = score(rows), []
     for f in features:
         drops = []
         for r in range(repeats):
-            values = rows.select(w(f"{f}{r}v").alias("_i"), F.col(f).alias("_v"))
-            mixed = rows.withColumn("_i", w(f"{f}{r}r")).join(values, "_i").withColumn(f, F.col("_v")).drop("_i", "_v")
+            values = dealt(rows, f"{f}{r}v").select("_i", F.col(f).alias("_v"))
+            mixed = dealt(rows, f"{f}{r}r").join(values, "_i").withColumn(f, F.col("_v")).drop("_i", "_v")
             drops.append(base - score(mixed))
         out.append((f, sum(drops) / repeats))
     return spark.createDataFrame(out, "feature string, drop double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -10,6 +11,7 @@ from ..operators import health, lines
 from ..sources import grids, kml, tables
 from ..state import fresh as _fresh
 from ..state import settle
+from ..streaming import events
 from . import stages
 from . import testmap as T
 from .network import root, scored_segments
@@ -58,6 +60,70 @@ def _(spark, d):
     return g.select("id", F.size("g").cast(L).alias("points"), F.col("g")[1]["x"].alias("x1"))
 
 
+@query("S4_npz_grid", "SELECT r_regionkey::INT AS row, n_nationkey::INT AS col, CASE WHEN n_regionkey = r_regionkey THEN n_nationkey * 1.5 ELSE 0 END::DOUBLE AS value, 5::BIGINT AS ny, 25::DOUBLE AS x1 FROM nation, region")
+def _(spark, d):
+    """A raster of regions by nations, with holes, written as an archive and read again."""
+    n = T.table(spark, d, "nation").select("n_regionkey", "n_nationkey").collect()  # 25 rows
+    grid = np.full((5, 25), np.nan)
+    for r in n:
+        grid[r["n_regionkey"], r["n_nationkey"]] = r["n_nationkey"] * 1.5
+    path = _fresh(spark, "grid")
+    grids.write_npz(spark, f"{path}/a.npz", grid, (0.0, 0.0, 25.0, 5.0))
+    cells, meta = grids.read_npz(spark, path)
+    return cells.join(F.broadcast(meta), "file").select("row", "col", "value", F.col("ny").cast(L).alias("ny"), "x1")
+
+
+@query("S8_npy_bands", "SELECT n_regionkey::INT AS row, n_nationkey::INT AS col, n_nationkey::DOUBLE AS a, 0::DOUBLE AS b FROM nation UNION ALL SELECT r_regionkey, n_nationkey, 0, 0 FROM nation, region WHERE n_regionkey <> r_regionkey")
+def _(spark, d):
+    grid = np.zeros((5, 25), dtype=[("a", "f4"), ("b", "f4")])
+    grid["b"] = np.nan
+    for r in T.table(spark, d, "nation").select("n_regionkey", "n_nationkey").collect():
+        grid[r["n_regionkey"], r["n_nationkey"]] = (r["n_nationkey"], np.nan)
+    path = _fresh(spark, "bands")
+    grids.write_npy(spark, f"{path}/a.npy", grid)
+    return grids.read_npy(spark, path, ("a", "b")).select("row", "col", "a", "b")
+
+
+@query("S9_polygons", "SELECT n_name AS name, 5::BIGINT AS points, (n_nationkey + 1)::DOUBLE AS x1 FROM nation UNION ALL SELECT n_name, 5, n_nationkey + 101 FROM nation WHERE n_nationkey % 2 = 1")
+def _(spark, d):
+    """One square a nation; odd ones have a second part."""
+    def ring(at):
+        text = "[[{0},0],[{1},0],[{1},1],[{0},1],[{0},0]]"
+        a, b = at.cast("string"), (at + 1).cast("string")
+        return F.replace(F.replace(F.lit(text), F.lit("{0}"), a), F.lit("{1}"), b)
+
+    k = F.col("n_nationkey").cast("long")
+    shape = F.when(k % 2 == 1, F.concat(F.lit('"MultiPolygon","coordinates":[['), ring(k), F.lit("],["), ring(k + 100), F.lit("]]"))).otherwise(F.concat(F.lit('"Polygon","coordinates":['), ring(k), F.lit("]")))
+    one = F.concat(F.lit('{"type":"Feature","properties":{"district":"'), "n_name", F.lit('"},"geometry":{"type":'), shape, F.lit("}}"))
+    path = _fresh(spark, "polygons")
+    T.table(spark, d, "nation").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(one), ","), F.lit("]}")).alias("value")).write.text(path)  # one document of 25 features
+    return tables.read_polygons(spark, path, "district").select("name", F.size("ring").cast(L).alias("points"), F.col("ring")[1]["x"].alias("x1"))
+
+
+@query("K2_csv_overwrite", "SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders")
+def _(spark, d):
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    return tables.csv_round_trip(o)
+
+
+@query("K5_grid_write", "SELECT (p_partkey // 50)::BIGINT AS row, (p_partkey % 50)::BIGINT AS col, CAST(p_retailprice AS DOUBLE) AS value FROM part")
+def _(spark, d):
+    k = F.col("p_partkey")
+    path = _fresh(spark, "grid")
+    grids.write_grid(T.table(spark, d, "part").select(F.floor(k / 50).cast(L).alias("row"), (k % 50).cast(L).alias("col"), F.col("p_retailprice").cast("double").alias("value")), path)
+    return spark.read.parquet(path)
+
+
+@query("K6_network_save", "SELECT vec_id AS seg_id, vec_id AS src, vec_id + 1 AS dst, round(CAST(embedding[3] AS DOUBLE), 8) AS x1, vec_id = 0 AS is_source FROM embeddings")
+def _(spark, d):
+    e = _polylines(spark, d).select(F.col("id").alias("seg_id"), F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), "geom")
+    n = e.select(F.col("src").alias("node"), (F.col("src") == 0).alias("is_source"))
+    path = _fresh(spark, "network")
+    tables.save_network(e, n, path)
+    edges, nodes = tables.load_network(spark, path)
+    return edges.join(nodes, F.col("src") == F.col("node")).select("seg_id", "src", "dst", F.round(F.col("geom")[1]["x"], 8).alias("x1"), "is_source")
+
+
 @query("K3_append", "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY 1")
 def _(spark, d):
     path = _fresh(spark, "append")
@@ -98,6 +164,24 @@ def _(spark, d):
     return health.predict_forest(health.train_forest(rows, ["a", "b"], "label", trees=10), rows, ["bad"]).select("doc_id", "p_bad", "p_good", "p_impaired")
 
 
+@query("T1_resumed_load", "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY 1")
+def _(spark, d):
+    """A load that is run before and after more files come, and once more with nothing new: no row is lost or twice there."""
+    e = T.table(spark, d, "events")
+    source, out, done = _fresh(spark, "arrived"), _fresh(spark, "loaded"), _fresh(spark, "done")
+    for k in (0, 1):
+        tables.append(e.where(f"pmod(event_id, 2) = {k}"), source)
+        events.incremental(spark, source, e.schema, out, done, lambda x: x.select("event_id", "event_type"))
+    events.incremental(spark, source, e.schema, out, done, lambda x: x.select("event_id", "event_type"))
+    return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("M9_class_guard", "WITH g AS (SELECT source AS klass, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY 1) SELECT klass, n::BIGINT AS n, CASE WHEN count(*) OVER () < 2 THEN 'labels of two classes at least are needed' WHEN n < 5 THEN 'only ' || n || ' rows' ELSE '' END AS warning FROM g WHERE klass IS NOT NULL")
+def _(spark, d):
+    rows = T.table(spark, d, "documents").select("doc_id", "source").join(T.table(spark, d, "labels").where("toxic = 1"), "doc_id")
+    return health.class_guard(rows, "source")
+
+
 @query("F22_ramp", "SELECT event_id, round(2 + 6 * least(greatest(value / 100, 0), 1), 6)::DOUBLE AS weight FROM events")
 def _(spark, d):
     return T.table(spark, d, "events").select("event_id", F.round(2 + 6 * S.clip(F.col("value") / 100, 0.0, 1.0), 6).alias("weight"))
@@ -106,7 +190,9 @@ def _(spark, d):
 @query("F23_crore", "SELECT c_custkey AS k, format('{:.2f}', round_even(round_even(c_acctbal * 1000, 0) / 1e7, 2)) || ' Cr' AS t FROM customer")
 def _(spark, d):
     c = T.table(spark, d, "customer").withColumn("v", S.half_even(F.col("c_acctbal") * 1000))
-    return c.select(F.col("c_custkey").alias("k"), F.concat(F.format_string("%.2f", S.half_even(F.col("v") / 1e7, 2)), F.lit(" Cr")).alias("t"))
+    c = c.withColumn("r", S.half_even(F.col("v") / 1e7, 2))
+    shown = F.when((F.col("r") == 0) & (F.col("v") < 0), F.lit("-0.00")).otherwise(F.format_string("%.2f", F.col("r")))  # as printf does
+    return c.select(F.col("c_custkey").alias("k"), F.concat(shown, F.lit(" Cr")).alias("t"))
 
 
 @query("F24_escape", "SELECT page_id, replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS u FROM pages")
@@ -146,6 +232,13 @@ def _(spark, d):
     return _polylines(spark, d).select("id", F.round(F.aggregate(xs, F.lit(0.0), lambda a, x: a + x) / 3, 8).alias("cx"), F.array_min(xs).alias("low"), F.array_max(ys).alias("high"))
 
 
+@query("G12_edge_split", f"WITH {_PL}, l AS (SELECT id, sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2) + sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS m FROM pl) SELECT id, round(m * 0.4, 6) AS length_m FROM l UNION ALL SELECT id, round(m * 0.6, 6) FROM l")
+def _(spark, d):
+    e = _polylines(spark, d).withColumn("length_m", geo.length(F.col("geom"))).withColumn("seg_id", F.col("id").cast("string"))
+    e = settle(e.select("seg_id", "id", "length_m", "geom"))
+    return lines.split_edges(e, e.select("seg_id", (F.col("length_m") * 0.4).alias("at_m"))).select("id", F.round("length_m", 6).alias("length_m"))
+
+
 @query("X4_noding")
 def _(spark, d):
     p = lines.node_lines(_polylines(spark, d, 20_000.0))

@@ -43,6 +43,12 @@ def _(spark, d):
     return graph.components(T.segments(spark, d).where("seg_id % 7 <> 3"))
 
 
+@query("G1_report", f"WITH RECURSIVE {T.SEG}, s AS (SELECT * FROM seg WHERE seg_id % 7 <> 3), b AS (SELECT src AS a, dst AS b FROM s UNION ALL SELECT dst, src FROM s), r(node, lab) AS (SELECT a, a FROM b UNION SELECT b.b, lab FROM r JOIN b ON r.node = b.a WHERE lab < b.b), c AS (SELECT node, min(lab) AS component FROM r GROUP BY 1), k AS (SELECT component, sum(length_m) / 1000 AS km FROM s JOIN c ON node = src GROUP BY 1), g AS (SELECT component, count(*) AS nodes FROM c GROUP BY 1) SELECT component::BIGINT AS component, (row_number() OVER (ORDER BY nodes DESC, component) - 1)::BIGINT AS place, nodes::BIGINT AS nodes, round(km, 6) AS km, count(*) OVER () > 5 AS too_many FROM g JOIN k USING (component)")
+def _(spark, d):
+    e = T.segments(spark, d).where("seg_id % 7 <> 3")  # a cut network, which falls into many parts
+    return graph.component_report(e).withColumn("km", F.round("km", 6))
+
+
 @query("G2_simple_edges", "WITH e AS (SELECT event_id AS seq, user_id % 50 AS src, event_id % 37 AS dst, round(value) AS len FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY least(src, dst), greatest(src, dst) ORDER BY len DESC, seq) AS rn FROM e WHERE src <> dst) SELECT seq::BIGINT AS seq, src::BIGINT AS src, dst::BIGINT AS dst, len AS length_m FROM r WHERE rn = 1")
 def _(spark, d):
     e = T.table(spark, d, "events").select(F.col("event_id").alias("seq"), (F.col("user_id") % 50).alias("src"), (F.col("event_id") % 37).alias("dst"), F.round("value").alias("length_m"))
@@ -419,7 +425,7 @@ def _(spark, d):
 
 @query("N2_payload", f"""{RANKED.split("SELECT seg_id, command AS command_ha")[0].rstrip()}, {NAMED}, rk AS (SELECT *, row_number() OVER (ORDER BY priority DESC, seg_id) AS rank, max(priority) OVER () AS top FROM pp)
 SELECT seg_id AS id, nn.name, grp AS canal, label AS reach, km_from AS "kmFrom", derived, can_type AS type, prj_name AS project, upper(prj_name[1]) || lower(prj_name[2:]) AS district, round_even(length_m / 1000, 2) AS km,
-  round_even(command, 0) AS area, round_even(v.ha, 0) AS local, round_even(rk.health, 3) AS health, round_even(bcn, 3) AS cent, round_even(priority, 0) AS priority, round_even(priority / top, 4) AS pnorm, rank::BIGINT AS rank,
+  round_even(command, 0) AS area, round_even(v.ha, 0) AS local, round_even(round(rk.health * 1000, 6), 0) / 1000 AS health, round_even(bcn, 3) AS cent, round_even(priority, 0) AS priority, round_even(priority / top, 4) AS pnorm, rank::BIGINT AS rank,
   round_even(length_m / 1000 * 239644, 0) AS cost, format('{{:.1f}},{{:.1f}}', seg.src / 8, seg.dst / 8) AS coords FROM seg JOIN nn USING (seg_id) JOIN rk USING (seg_id) JOIN v USING (seg_id)""")
 def _(spark, d):
     s = settle(scored_segments(spark, d).withColumns({"can_name": F.when(F.col("seg_id") % 3 == 0, F.col("prj_name")), "district": F.col("prj_name"), "cost_inr": economics.desilt_cost(F.col("length_m"), F.lit(1.0))}))
@@ -488,7 +494,7 @@ def _(spark, d):
 @query("M1_forest")
 def _(spark, d):
     rows = T.table(spark, d, "documents").join(T.table(spark, d, "labels"), "doc_id").select("doc_id", "source", F.col("n_chars").cast("double").alias("a"), (F.length("text") - F.length(F.regexp_replace("text", "[^a-z ]", ""))).cast("double").alias("b"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
-    model = health.train_forest(rows, ["a", "b"], "label", trees=20)
+    model = health.train_forest(rows, ["a", "b"], "label")
     return health.predict_forest(model, rows, ["bad"]).select("doc_id", F.round("p_bad", 6).alias("p_bad"), F.round("p_impaired", 6).alias("p_impaired"), "pred_class")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..functions import stats
 from ..operators import economics, failure, health
-from ..state import if_small
+from ..state import if_small, ranked
 from . import testmap as T
 from .registry import query
 
@@ -391,7 +391,7 @@ def _(spark, d):
 
 @query("W2_sequence", f"WITH {T.SEG} SELECT seg_id, row_number() OVER (ORDER BY length_m DESC, seg_id)::BIGINT AS rank FROM seg")
 def _(spark, d):
-    return T.segments(spark, d).select("seg_id", F.row_number().over(Window.orderBy(F.desc("length_m"), "seg_id")).cast(L).alias("rank"))
+    return ranked(T.segments(spark, d).select("seg_id", "length_m"), "rank", F.desc("length_m"), F.asc("seg_id")).select("seg_id", "rank")
 
 
 @query("W3_qcut", "WITH q AS (SELECT list_sort(list_distinct(quantile_cont(value, [0, 0.25, 0.5, 0.75, 1]))) AS e FROM events) SELECT event_id, CASE WHEN value IS NOT NULL THEN len(list_filter(e[2:len(e) - 1], lambda x: x < value)) END::BIGINT AS bin FROM events, q")

@@ -63,6 +63,34 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def read_polygons(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """name, ring of the polygons in GeoJSON feature collections: outer rings, a row for each part of a
+    multi-polygon; ``name`` is the property that names a feature."""
+    ring = "array<array<double>>"
+    schema = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
+    f = spark.read.schema(schema).option("multiLine", "true").json(path).select(F.explode("features").alias("f"))
+    f = f.select(F.col("f.properties")[name].alias("name"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("at"))
+    one = F.array(F.from_json("at", f"array<{ring}>")[0])
+    parts = F.transform(F.from_json("at", f"array<array<{ring}>>"), lambda p: p[0])
+    rings = f.where(F.col("kind").isin("Polygon", "MultiPolygon")).select("name", F.explode(F.when(F.col("kind") == "Polygon", one).otherwise(parts)).alias("ring"))
+    return rings.select("name", F.transform("ring", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+
+
+def save_network(edges: DataFrame, nodes: DataFrame, path: str) -> None:
+    """Edges (with geom, kept as well-known binary) and nodes (level, component, is_source) as two tables."""
+    from .grids import to_wkb
+
+    overwrite(edges.withColumn("wkb", to_wkb("geom")).drop("geom"), f"{path}/edges")
+    overwrite(nodes, f"{path}/nodes")
+
+
+def load_network(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    from .grids import from_wkb
+
+    edges = spark.read.parquet(f"{path}/edges")
+    return edges.withColumn("geom", from_wkb("wkb")).drop("wkb"), spark.read.parquet(f"{path}/nodes")
+
+
 def overpass_ways(spark: SparkSession, path: str) -> DataFrame:
     """osm_id, name, waterway, geom of the ways with two points or more in Overpass JSON files."""
     schema = "elements array<struct<type:string,id:long,tags:map<string,string>,geometry:array<struct<lat:double,lon:double>>>>"
