@@ -5,7 +5,8 @@ single line breaks) and, of sentences of more than ``WIDE`` words, overlapping w
 that the text around a statement does not thin it out.  A statement counts once, at the line where it
 starts.  Words (letters and digits, lower case) and their pairs and triples are sparse features; a multinomial logistic regression over licence families and "none" is
 trained by numpy on statements made from the families' templates and on paragraphs of a bounded sample
-of the corpus.  Probabilities are calibrated by temperature on held-out statements, where also the
+of the corpus (whole paragraphs; ``SAMPLE`` documents and ``PARAGRAPHS`` of their paragraphs at most, by least
+hash).  Probabilities are calibrated by temperature on held-out templates, where also the
 probability is set below which a licence paragraph is called ``unknown``.  A prediction is confirmed if
 the paragraph, one of its sentences, or a span of a template's length at a window, shares five-word shingles with a template of that family at a
 Jaccard similarity of 0.8 or more.
@@ -204,19 +205,22 @@ def train(negatives: list[str], seed: int = 5, epochs: int = 300, rate: float =
     rng = np.random.default_rng(seed)
     families = [*sorted(templates()), NONE]
     rows: list[tuple[str, int]] = []
+    held: list[bool] = []
     for f, statements in sorted(templates().items()):
-        for s in statements:
-            rows.append((s, families.index(f)))
-            words = s.split()
-            for _ in range(2):  # a word dropped, or noise before and after
+        for x in statements:
+            out = rng.random() < 0.2  # a template is held out with its disturbed copies
+            words = x.split()
+            for copy in range(3):
                 w = list(words)
-                if len(w) > 6:
+                if copy and len(w) > 6:  # a word is missing
                     del w[int(rng.integers(len(w)))]
-                rows.append((" ".join(w), families.index(f)))
-    rows += [(s, families.index(NONE)) for s in OTHERS * 4 + negatives]
+                rows.append((" ".join(w) if copy else x, families.index(f)))
+                held.append(out)
+    rows += [(x, families.index(NONE)) for x in OTHERS * 4 + negatives]
+    held += (rng.random(len(rows) - len(held)) < 0.2).tolist()
+    held = np.array(held)
     y = np.array([c for _, c in rows])
     hashes = [_one(s) for s, _ in rows]
-    held = rng.random(len(rows)) < 0.2
     licence = y != families.index(NONE)
     # every feature of a template, and none that only the corpus has: the bias stands for those
     vocabulary = np.unique(np.concatenate([h for h, k in zip(hashes, licence, strict=True) if k] + [_one(s) for s in OTHERS]))
@@ -231,19 +235,25 @@ def train(negatives: list[str], seed: int = 5, epochs: int = 300, rate: float =
     target = np.eye(len(families), dtype=np.float32)[y]
     share = 1 / np.bincount(y, minlength=len(families))[y]
     share[y == families.index(NONE)] *= 4
-    fit = ~held
-    w, b = np.zeros((len(vocabulary), len(families)), dtype=np.float32), np.zeros(len(families), dtype=np.float32)
-    s = (share[fit] / share[fit].sum()).astype(np.float32)[:, None]
-    for _ in range(epochs):
-        g = (_softmax(x[fit] @ w + b) - target[fit]) * s
-        w -= rate * (x[fit].T @ g + decay * w)
-        b -= rate * g.sum(axis=0)
+
+    def fitted(on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w, b = np.zeros((len(vocabulary), len(families)), dtype=np.float32), np.zeros(len(families), dtype=np.float32)
+        s = (share[on] / share[on].sum()).astype(np.float32)[:, None]
+        for _ in range(epochs):
+            g = (_softmax(x[on] @ w + b) - target[on]) * s
+            w -= rate * (x[on].T @ g + decay * w)
+            b -= rate * g.sum(axis=0)
+        return w, b
+
+    # temperature and threshold come from statements that the first fit has not seen; the model is fitted on all
+    w, b = fitted(~held)
     z = x[held] @ w + b
     best = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0), key=lambda t: -np.log(_softmax(z / t)[np.arange(held.sum()), y[held]] + 1e-12).mean())
     p = _softmax(z / best)
     # a named family has to be right in 99 of 100 held-out licence paragraphs
     named = p[:, :-1].argmax(axis=1)
     known = next((t for t in np.linspace(0.3, 0.9, 13) if (m := p[:, :-1].max(axis=1) >= t).any() and (named[m] == y[held][m]).mean() >= 0.99), 0.9)
+    w, b = fitted(np.ones(len(rows), dtype=bool))
     quick = np.zeros(1 << 16, dtype=bool)
     quick[(vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
     return Model(families, vocabulary, (w / best).astype(np.float64), (b / best).astype(np.float64), float(known), quick)
@@ -279,13 +289,15 @@ class Templates:
         return max(self.similarity(f, paragraph) for f in self.by)
 
 
-def negatives(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """Paragraphs of a bounded sample of documents that aren't like any template."""
-    some = docs.where("doc_id is not null").select(F.col("doc_id"), F.substring(F.col("text"), 1, 4000).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-    lines = [x for r in some for x in (r["text"] or "").split("\n") if tokens(x)][:PARAGRAPHS]
+def negatives(docs: DataFrame, sample: int = SAMPLE, paragraphs: int = PARAGRAPHS) -> list[str]:
+    """At most ``paragraphs`` whole paragraphs of at most ``sample`` documents, both with the least hashes, without
+    those that are like a template.  Ids are chosen first, so only the sample's texts are read and split."""
+    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    lines = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    some = lines.orderBy(F.xxhash64("doc_id", "at", "line"), "doc_id", "at", "line").limit(paragraphs).collect()
     t = Templates()
     cue = re.compile(r"licen[cs]|copyright|reserved|permission|redistribut|public domain|creative commons", re.IGNORECASE)
-    return [x[:500] for x in lines if not (cue.search(x) and t.any(x) > 0.3)]
+    return [x for x in (r["line"] for r in some) if tokens(x) and not (cue.search(x) and t.any(x) > 0.3)]
 
 
 _FOUND = "array<struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean,text:string>>"

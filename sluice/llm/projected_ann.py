@@ -13,8 +13,9 @@ projected distance d * sqrt(chi2^-1(CONFIDENCE)) with that confidence, and all t
 
 Defined results.  Vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part, as query or as candidate, nor do rows without vec_id.  A query's candidates are
-all rows of another vec_id.  Ties go to the smaller vec_id; repeated rows of one vec_id count once.  Empty
-table: no rows.  Other columns are not read.
+all rows of another vec_id.  Ties go to the smaller vec_id; repeated rows of one vec_id count once, by their
+least vector.  Of lengths that are equally common the longer one counts.  Empty table: no rows.  Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import if_small, materialise
@@ -153,7 +154,7 @@ class Block:
         self.low, self.high = np.minimum.reduceat(points, head), np.maximum.reduceat(points, head)
         self.stop = index.stop
 
-    def search(self, own: int, q: np.ndarray, shadow: np.ndarray, top: float, bound: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, q: np.ndarray, shadow: np.ndarray, top: float, bound: float, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best found, in order; ``bound`` is the least score worth having."""
         gap = np.maximum(0, np.maximum(self.low - shadow, shadow - self.high))
         far = (gap * gap).sum(axis=1)
@@ -164,7 +165,7 @@ class Block:
                 break
             a, e = self.ends[b], self.ends[b + 1]
             rough = self.vectors[a:e] @ q
-            take = np.flatnonzero((rough >= bound - 1e-9 * (1 + abs(bound))) & (self.ids[a:e] != own)) + a
+            take = np.flatnonzero(rough >= bound - 1e-9 * (1 + abs(bound))) + a
             if not len(take):
                 continue
             # row by row in one fixed order of addition, so equal vectors score alike wherever they lie
@@ -189,7 +190,7 @@ def _search(index, k: int):
         shadows = ix.project(qs, True)
         out = []
         for own, q, shadow, bound in zip(queries["query_id"].to_numpy(), qs, shadows, queries["bound"].to_numpy(), strict=True):
-            ids, scores = block.search(own, q, shadow, ix.top, bound if bound == bound else -math.inf, k)
+            ids, scores = block.search(q, shadow, ix.top, bound if bound == bound else -math.inf, k)
             out.append((np.full(len(ids), own), ids, scores))
         a, b, c = (np.concatenate(x) for x in zip(*out, strict=True))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
@@ -241,34 +242,58 @@ def _boxes(index):
     return run
 
 
+def _first_copies(rows: DataFrame, keep: int) -> DataFrame:
+    """``rows`` (vec_id, v) without the copies of a vector beyond its ``keep`` least ids, which can be among the
+    nearest of no query: all copies score alike, and ties go to the smaller id."""
+    h = F.xxhash64("v").alias("h")
+    many = materialise(rows.groupBy(h).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > keep).select("h"), "hot-vectors", rows.count())
+    many = if_small(many, many.count())
+    hot = rows.withColumn("h", h).join(many, "h", "left_semi").drop("h")
+    # tasks keep the first of their own copies before the shuffle, so no task meets them all
+    first = hot.withColumn("rn", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("rn") <= keep).drop("rn")
+    return rows.withColumn("h", h).join(many, "h", "left_anti").drop("h").unionByName(first)
+
+
 def search(vectors: DataFrame, is_query, k: int = NEAREST, **options) -> DataFrame:
-    """query_id, rank, vec_id, score: for each row of ``vectors`` that meets ``is_query`` its k nearest rows."""
+    """query_id, rank, vec_id, score: for each row of ``vectors`` that meets ``is_query`` its k nearest rows.
+
+    Queries of one vector are searched once, for k + 1 rows, from which each then drops its own.
+    """
     spark = vectors.sparkSession
     rows, length = clean(vectors)
-    index, n = build(rows, length, **options)
+    index, _ = build(rows, length, **options)
     sent = spark.sparkContext.broadcast(index)
     dim = index.planes.shape[1]
-    dealt = materialise(rows.mapInPandas(_deal(sent), "vec_id long, v array<double>, leaf int"), "dealt")
+    dealt = materialise(_first_copies(rows, k + 1).mapInPandas(_deal(sent), "vec_id long, v array<double>, leaf int"), "dealt")
     edge = [F.min(F.col("low")[i]).alias(f"l{i}") for i in range(dim)] + [F.max(F.col("high")[i]).alias(f"h{i}") for i in range(dim)]
     box = dealt.mapInPandas(_boxes(sent), "leaf int, low array<double>, high array<double>, n long").groupBy("leaf").agg(F.sum("n").alias("n"), *edge).toPandas()
     boxes = spark.sparkContext.broadcast((box["leaf"].to_numpy(), box[[f"l{i}" for i in range(dim)]].to_numpy(float), box[[f"h{i}" for i in range(dim)]].to_numpy(float)))
     # blocks of a leaf: a table of MOST_LEAVES rows at most
     parts = spark.createDataFrame([(int(a), max(1, -(-int(b) // BLOCK_ROWS))) for a, b in zip(box["leaf"], box["n"], strict=True)], "leaf int, parts int")
     blocks = dealt.join(F.broadcast(parts), "leaf").select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"))
-    queries = materialise(dealt.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(None).cast("double").alias("bound")), "queries")
+    asked = materialise(rows.where(is_query).select("vec_id", "v"), "asked")
+    queries = asked.groupBy("v").agg(F.min("vec_id").alias("query_id")).select("query_id", F.col("v").alias("q"), F.lit(None).cast("double").alias("bound"))
+    queries = materialise(queries, "queries")
+    found_of = materialise(asked.join(queries, F.col("v") == F.col("q")).select("vec_id", "query_id"), "groups", asked.count())
 
     def visit(routed: DataFrame) -> DataFrame:
-        spread = routed.join(F.broadcast(parts), "leaf").select("query_id", "q", "bound", "leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        found = spread.groupBy("leaf", "part").cogroup(blocks.groupBy("leaf", "part")).applyInPandas(_search(sent, k), _FOUND)
+        routed = materialise(routed, "routed")
+        # queries of a leaf come in chunks too; a leaf's blocks meet each of them
+        chunks = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("chunks"))  # MOST_LEAVES rows at most
+        chunks = materialise(chunks.join(F.broadcast(parts), "leaf"), "chunks", MOST_LEAVES)
+        spread = routed.join(F.broadcast(chunks), "leaf").select("query_id", "q", "bound", "leaf", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        held = blocks.join(F.broadcast(chunks.select("leaf", "chunks")), "leaf").select("vec_id", "v", "leaf", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        found = spread.groupBy("leaf", "part", "chunk").cogroup(held.groupBy("leaf", "part", "chunk")).applyInPandas(_search(sent, k + 1), _FOUND)
         return materialise(found, "found")
 
-    from pyspark.sql import Window
-
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     at_home = queries.mapInPandas(_home(sent), "query_id long, q array<double>, bound double, leaf int")
     first = visit(at_home)
-    kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select(F.col("query_id").alias("of"), F.col("score").alias("got"))
+    kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k + 1).select(F.col("query_id").alias("of"), F.col("score").alias("got"))
     second = at_home.join(kth, F.col("query_id") == F.col("of"), "left").select("query_id", "q", F.col("got").alias("bound"), F.col("leaf").alias("home"))
     rest = visit(second.mapInPandas(_others(sent, boxes), "query_id long, q array<double>, bound double, leaf int"))
-    ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    top = first.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank")
+    top = materialise(top, "top").withColumnRenamed("vec_id", "near")
+    each = found_of.join(top, "query_id").where(F.col("vec_id") != F.col("near")).select(F.col("vec_id").alias("query_id"), F.col("near").alias("vec_id"), "score")
+    ranked = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

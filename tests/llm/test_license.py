@@ -80,3 +80,24 @@ def test_blocks_are_whole_documents():
     from sluice.llm import scan
 
     assert sum(end - row for row, end, _, _ in scan.blocks(t, 40)) == 200
+
+
+def test_probabilities_against_plain_sums():
+    """A paragraph's class probabilities: the weights of its words, pairs and triples, over the root of its
+    words, plus the bias, in a softmax; computed here one feature at a time."""
+    m = ls.train(["the weather was fine and the road was long", "nothing of the kind was said that day"])
+    known = {int(h): w for h, w in zip(m.vocabulary, m.weight, strict=True)}
+    lines = ["Licensed under the Apache License, Version 2.0.", "released under MIT", "the driver lost the plate", "x"]
+    data = np.frombuffer("\n".join(lines).encode(), dtype=np.uint8)
+    _, _, _, count, feats = ls.line_features(data, np.array([0, len(data)]))
+    got = m.probabilities(count, feats)
+    for line, n, p in zip(lines, count, got, strict=True):
+        words = ls.tokens(line)
+        assert n == len(words)
+        z = m.bias.copy()
+        for h in ls._one(line).tolist():
+            if h in known:
+                z = z + known[h] / np.sqrt(len(words))
+        e = np.exp(z - z.max())
+        assert np.allclose(p, e / e.sum())
+    assert m.families[int(got[0].argmax())] == "apache" and m.families[int(got[2].argmax())] == ls.NONE
