@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
-#: Short rows that one task writes into one file.
+#: Short rows, and texts, that one task writes into one file where there are many small partitions.
 TASK_ROWS = 250_000
+TEXT_ROWS = 8_000
 #: Rows of one Arrow batch of texts.
 BATCH_ROWS = 1_000
 _made: set[str] = set()
@@ -45,22 +46,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, rows: int | None = None, per: int = TASK_ROWS) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage with files that outlive any executor, and frees the result of its partitioning,
     so that a later join has a fresh exchange on either side, which AQE can split where a key is hot.
-    Of a table of short rows, whose number is at most ``rows``, a task makes up to ``TASK_ROWS``, however
-    many partitions the shuffle before has, so that small tables don't become hundreds of files.
+    If ``rows`` is given, a bound on the rows that the table is made from, a task makes its share of ``per`` of
+    them (``TASK_ROWS`` short ones, ``TEXT_ROWS`` texts), so that hundreds of small partitions don't become as
+    many small files.  Partitions that hold more than that stay as they are.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     if rows is not None:
-        df = df.coalesce(max(1, -(-rows // TASK_ROWS)))
+        df = merged_partitions(df, rows, per)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged_partitions(df: DataFrame, rows: int, per: int) -> DataFrame:
+    """``df`` in no more partitions than ``rows`` needs at ``per`` rows each; no row is shuffled for it."""
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path for a new table in the shared folder, which is deleted with the others in the end."""
     path = f"{shared_dir(spark)}/sluice/{name}-{uuid.uuid4().hex}"

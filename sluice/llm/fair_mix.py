@@ -25,7 +25,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, if_small, materialise
+from .common import TEXT_ROWS, WORD, if_small, materialise
 
 #: Times that a document may be in the mix, and with it the most that a source's target is of its size.
 REPEATS = 3
@@ -77,17 +77,17 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), F.md5(F.coalesce("text", F.lit(""))))), F.lit(f":{seed}"))).alias("key"),
         F.xxhash64("text").alias("tie"),
     )
-    sized = materialise(sized, "sized")
+    sized = materialise(sized, "sized", docs.count(), TEXT_ROWS)
     n = sized.count()
     bits = max(0, min(31, (n // range_rows).bit_length()))
     sized = sized.withColumn("range", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits))
-    targets = materialise(source_targets(sized, cycle, repeats), "targets")
+    targets = materialise(source_targets(sized, cycle, repeats), "targets", n)
     ranges = sized.groupBy("sk", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("sk").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = materialise(ranges.select("sk", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("offset")).join(targets, "sk"), "ranges")
+    ranges = materialise(ranges.select("sk", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("offset")).join(targets, "sk"), "ranges", n)
     inside = Window.partitionBy("sk", "range").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     timed = sized.withColumn("within", F.sum("size").over(inside)).join(if_small(ranges, ranges.count()), ["sk", "range"])
-    timed = materialise(timed.select("doc_id", "row", "size", "source_size", "target", "place", "key", "tie", (F.col("offset") + F.col("within")).alias("running")), "timed")
+    timed = materialise(timed.select("doc_id", "row", "size", "source_size", "target", "place", "key", "tie", (F.col("offset") + F.col("within")).alias("running")), "timed", n, TEXT_ROWS)
 
     def finish(e: int | Column) -> Column:
         return F.try_divide((F.lit(e) * F.col("source_size") + F.col("running")).cast("double"), F.col("target"))

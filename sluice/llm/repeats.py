@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, sketch
-from .common import bounded_batches, materialise, take_worker
+from .common import TEXT_ROWS, bounded_batches, materialise, merged_partitions, take_worker
 
 OCCURRENCES = "id long, rk long, akey long, c1 long, c2 long, n int, starts array<int>"
 #: What stands for a null doc_id in ``id``: larger than any other.
@@ -139,6 +139,7 @@ def occurrences(docs: DataFrame, unit: Unit, most_blocks: int = sketch.MOST_BLOC
     they are found; a larger one stays a table, and the contexts, which are digests only, meet it by a join.
     """
     spark = docs.sparkSession
+    number = docs.count()
     expected = 2 * sketch.total_bytes(docs) // (unit.window - unit.gram + 2) // (1 if unit.kind == "byte" else 4)
     blocks = sketch.blocks_for(expected)
     table = sketch.merged(sketch.partition_sketches(docs.select("text"), lambda b: anchor_keys(unit, b), blocks))
@@ -151,7 +152,7 @@ def occurrences(docs: DataFrame, unit: Unit, most_blocks: int = sketch.MOST_BLOC
             for batch in batches:
                 yield from _rows(unit, batch, lambda keys: sketch.maybe_repeated(sent.value, keys, blocks))
 
-        return materialise(rows.mapInArrow(some, OCCURRENCES), f"contexts-{unit.kind}")
+        return materialise(rows.mapInArrow(some, OCCURRENCES), f"contexts-{unit.kind}", number, TEXT_ROWS)
 
     def every(batches):
         take_worker("contexts")
@@ -203,7 +204,8 @@ def bodies(docs: DataFrame, unit: Unit, anchors: DataFrame, count: int) -> DataF
 def with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     """doc_id, text, spans and ``columns`` of every row of ``docs`` (doc_id, rk, text); ``spans`` (id, rk, spans)
     has the rows that lose something.  The texts of all others are not shuffled."""
-    spans = materialise(spans, "spans", 8 * docs.count())
+    number = docs.count()
+    spans = materialise(spans, "spans", 8 * number)
     count = spans.count()
     docs = docs.withColumn("id", row_id())
     if not count:
@@ -215,7 +217,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     some = docs.where("may")
     some = some.join(spans, (some["id"] == spans["of_id"]) & (some["rk"] == spans["of_rk"]), "left").select("doc_id", "text", "spans", *columns)
     rest = docs.where("not may").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), *columns)
-    return some.unionByName(rest)
+    return merged_partitions(some, number, TEXT_ROWS).unionByName(merged_partitions(rest, number, TEXT_ROWS))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .common import if_small, materialise, take_worker
+from .common import TEXT_ROWS, if_small, materialise, take_worker
 from .components import components
 from .repeats import keyed
 
@@ -168,10 +168,10 @@ def links(fps: DataFrame, n: int, cell: int = CELL) -> DataFrame:
     return grid.unionByName(finer).unionByName(hubs)
 
 
-def cluster(prints: DataFrame, cell: int = CELL) -> DataFrame:
+def cluster(prints: DataFrame, cell: int = CELL, rows: int | None = None) -> DataFrame:
     """A frame that has doc_id and fp, every row of it, with its component_id and the component's root (its
     least fingerprint, which tells apart components without any id)."""
-    prints = materialise(prints, "fingerprints")
+    prints = materialise(prints, "fingerprints", rows, TEXT_ROWS)
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes", prints.count())
     n = nodes.count()
     parts = materialise(components(links(nodes.select("fp"), n, cell)), "parts", n)
@@ -184,5 +184,5 @@ def cluster(prints: DataFrame, cell: int = CELL) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id of every row of ``docs``."""
-    out = cluster(fingerprint(docs), cell)
+    out = cluster(fingerprint(docs), cell, docs.count())
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
