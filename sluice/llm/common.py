@@ -59,7 +59,8 @@ def materialise(df: DataFrame, name: str, rows: int | None = None, per: int = TA
     path = new_folder(spark, name)
     if rows is not None:
         df = merged_partitions(df, rows, per)
-    df.write.option("compression", "zstd").parquet(path)
+    # nothing looks for a marker of success in these folders: a write that fails raises an error here
+    df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
