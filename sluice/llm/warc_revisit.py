@@ -4,8 +4,9 @@ Headers alone (page_id, digest, length) are shuffled by payload digest; a payloa
 of the one with the largest page_id.  The pages are then written as WARC 1.1 records: originals with
 their payload, revisits with headers only.  A record ends with an empty line twice over, which is the
 line separator of the text writer, so archives are written by Spark alone, to any file system, and a
-task that is run again rewrites its own file.  ``read_archives`` parses records by Content-Length and
-verifies each payload against its digest.
+task that is run again rewrites its own file.  ``read_archives`` streams them back by the text reader with
+the same separator, so no archive is held whole, parses records by Content-Length and verifies each payload
+against its digest; a payload that holds the separator arrives in several rows and is put together again.
 
 Defined results.  Null html: empty payload.  Payloads below ``SMALLEST`` bytes are always responses.
 Null page_id: never the original where another copy has an id; refers to it.  Copies whose ids are all
@@ -16,15 +17,14 @@ a url are written as spaces; a null url has no header.  Empty table: no rows.  O
 from __future__ import annotations
 
 import hashlib
-import uuid
-import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import if_small, materialise, shared_dir
+from .common import bounded_batches, if_small, materialise, new_folder
 
 SMALLEST = 1000
 END = "\r\n\r\n"
@@ -85,10 +85,11 @@ def write_archives(pages: DataFrame, path: str, smallest: int = SMALLEST, date:
 
 
 def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of one uncompressed archive that arrives in pieces."""
+    """(headers, block) of every record of uncompressed archives that arrive in pieces, one after the other."""
     held = b""
     done = False
     while not done or held:
+        held = held.lstrip(b"\r\n")
         while (at := held.find(b"\r\n\r\n")) < 0 and not done:
             piece = next(chunks, None)
             done = piece is None
@@ -115,46 +116,38 @@ def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         held = held[end + 4 :]
 
 
-def _pieces(packed: memoryview, step: int = 1 << 18) -> Iterator[bytes]:
-    inflate = zlib.decompressobj(47)
-    for i in range(0, len(packed), step):
-        data = packed[i : i + step]
-        while data:
-            yield inflate.decompress(data)
-            if not inflate.eof:
-                break
-            data = inflate.unused_data
-            inflate = zlib.decompressobj(47)
-
-
 def _read(batches):
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-    for b in batches:
-        for content in b.column("content"):
-            rows = []
-            for head, block in parse(_pieces(memoryview(content.as_buffer()))):
-                cut = block.index(b"\r\n\r\n") + 4
-                size = int(next(x.split(b": ", 1)[1] for x in block[:cut].split(b"\r\n") if x.lower().startswith(b"content-length")))
-                digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                if head["WARC-Type"] == "response" and (len(block) - cut != size or hashlib.sha1(block[cut:]).hexdigest() != digest):
-                    raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
-                page, to = head.get("X-Page"), head.get("X-Refers-To-Page")
-                rows.append((int(page) if page else None, head.get("WARC-Target-URI"), size, digest, head["WARC-Type"], int(to) if to else None, head["WARC-Record-ID"]))
-            for i in range(0, len(rows), 4096):
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 4096], strict=True), kinds, strict=True)], names=names)
+    end = END.encode()
+    pieces = (memoryview(value.as_buffer()).tobytes() + end for b in batches for value in b.column("value"))
+    records = parse(pieces)
+    while some := list(islice(map(_fields, records), 4096)):
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names=names)
+
+
+def _fields(record: tuple[dict[str, str], bytes]) -> tuple:
+    head, block = record
+    cut = block.index(b"\r\n\r\n") + 4
+    size = int(next(x.split(b": ", 1)[1] for x in block[:cut].split(b"\r\n") if x.lower().startswith(b"content-length")))
+    digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+    if head["WARC-Type"] == "response" and (len(block) - cut != size or hashlib.sha1(memoryview(block)[cut:]).hexdigest() != digest):
+        raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
+    page, to = head.get("X-Page"), head.get("X-Refers-To-Page")
+    return int(page) if page else None, head.get("WARC-Target-URI"), size, digest, head["WARC-Type"], int(to) if to else None, head["WARC-Record-ID"]
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to, record_id of every record."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(_read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string")
+    bounded_batches(spark)
+    rows = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+    return rows.select(F.col("value").cast("binary").alias("value")).mapInArrow(_read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string")
 
 
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the archives of ``pages`` and reads them back."""
     spark = pages.sparkSession
-    path = path or f"{shared_dir(spark)}/sluice/warc-{uuid.uuid4().hex}"
+    path = path or new_folder(spark, "warc")
     write_archives(pages, path)
     return read_archives(spark, path)
 
