@@ -8,7 +8,8 @@ by it, and the mix is the longest prefix whose size is within the total.
 
 Running sums never need one task to see a whole source or the whole corpus: documents fall into ranges
 of the sort key, ranges are summed first, and a document's running sum is its range's offset plus the
-running sum within the range.  The number of ranges follows the number of documents.  The end of the mix
+running sum within the range.  The number of ranges follows the number of documents, and ranges are summed
+by groups in the same way, so a task sees no more of a source's ranges than their root.  The end of the mix
 is found by summing copies into ``SLICES`` slices of finish time, and again within the slice that holds
 the end, until that has no more than ``LAST_COPIES`` copies, which are then sorted.
 
@@ -65,6 +66,22 @@ def source_targets(sized: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS)
     return per.select("sk", "place", "source_size", F.coalesce(F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")), F.col("cap").cast("double")).alias("target"))
 
 
+def range_offsets(ranges: DataFrame, low_bits: int) -> DataFrame:
+    """sk, range, offset: the sizes of the source's ranges before this one.
+
+    2^low_bits neighbouring ranges are a group: groups are summed first, then ranges within their group.
+    """
+    ranges = ranges.withColumn("group", F.shiftright("range", low_bits))
+    groups = ranges.groupBy("sk", "group").agg(F.sum("range_size").alias("group_size"))
+
+    def before(size: str, order: str, *by: str) -> Column:
+        return F.coalesce(F.sum(size).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = groups.select("sk", "group", before("group_size", "group", "sk").alias("base"))
+    inner = ranges.withColumn("inner", before("range_size", "range", "sk", "group"))
+    return inner.join(groups, ["sk", "group"]).select("sk", "range", (F.col("base") + F.col("inner")).alias("offset"))
+
+
 def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str = SEED, range_rows: int = RANGE_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken, and the columns of ``keep``: every document of ``docs``.
 
@@ -83,8 +100,8 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
     sized = sized.withColumn("range", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits))
     targets = materialise(source_targets(sized, cycle, repeats), "targets", n)
     ranges = sized.groupBy("sk", "range").agg(F.sum("size").alias("range_size"))
-    before = Window.partitionBy("sk").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = materialise(ranges.select("sk", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("offset")).join(targets, "sk"), "ranges", n)
+    ranges = range_offsets(materialise(ranges, "range-sizes", n), bits // 2)
+    ranges = materialise(ranges.join(targets, "sk"), "ranges", n)
     inside = Window.partitionBy("sk", "range").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     timed = sized.withColumn("within", F.sum("size").over(inside)).join(if_small(ranges, ranges.count()), ["sk", "range"])
     timed = materialise(timed.select("doc_id", "row", "size", "source_size", "target", "place", "key", "tie", (F.col("offset") + F.col("within")).alias("running")), "timed", n, TEXT_ROWS)
