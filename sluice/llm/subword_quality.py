@@ -1,8 +1,8 @@
 """Operator 10, quality classifier: supervised subword embeddings.
 
 A document's features are its words, pairs of neighbouring words (all pairs of one word twice share a
-feature) and the four-character pieces of its words, hashed to ``BUCKETS`` rows of an embedding table.
-Their vectors are averaged and a softmax layer gives the class.  Table and layer are trained together by
+feature) and the four-character pieces of its words, with a space beside them or without, hashed to
+``BUCKETS`` rows of an embedding table.  Their vectors are averaged and a softmax layer gives the class.  Table and layer are trained together by
 numpy stochastic gradient descent on a bounded sample of labelled documents.  The layer is linear in the
 average, so a trained model is one number a bucket: scoring a text is a sum over its features, in numpy,
 over the bytes of a whole Arrow batch.

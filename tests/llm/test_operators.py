@@ -363,6 +363,15 @@ def test_fair_mix_finds_the_end_in_slices(docs, monkeypatch):
     assert sorted(tuple(r) for r in fair_mix.mix(docs).collect()) == whole
 
 
+def test_offsets_by_groups(spark):
+    rng = random.Random(5)
+    rows = [(s, r, rng.randrange(50)) for s in "ab" for r in range(64) if rng.random() < 0.7]
+    want = [(s, r, sum(n for t, q, n in rows if t == s and q < r)) for s, r, _ in rows]
+    df = spark.createDataFrame(rows, "sk string, range long, range_size long")
+    for bits in (0, 3, 6):
+        same(fair_mix.range_offsets(df, bits), want)
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: i % 3 + 1 for i, s in enumerate(names)}
@@ -402,6 +411,17 @@ def test_warc(spark, sf, tmp_path):
         same(warc_revisit.round_trip(df).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), want)
 
 
+def test_separators_within_payloads(spark, tmp_path):
+    """Payloads that end in parts of the separator or hold it, cut into any pieces, come back whole."""
+    tails = ["", "\r", "\n", "\r\n", "\r\n\r", "\r\n\r\n", "\r\n\r\n\r\n", "\r\n\r\n\r\n\r\n", "\r\r\n\r\n", "\n\r\n\r\n"]
+    html = [t + "x" * n + t for t in tails for n in (0, 1, 999, 70_000)] + ["\r\n\r\n" * 3000, "é\r\n\r\n" * 40_000]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string").selectExpr("page_id", "cast(null as string) as url", "html")
+    path = f"file://{tmp_path}/warc"
+    warc_revisit.write_archives(df.repartition(3), path, records=7)
+    got = warc_revisit.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest")
+    same(got, [(i, len(h.encode()), hashlib.sha1(h.encode()).hexdigest()) for i, h in enumerate(html)])
+
+
 # --- operator 3
 
 
@@ -474,6 +494,40 @@ def test_features_do_not_depend_on_the_block():
     assert model.score(pa.array(t)) == pytest.approx(np.concatenate([model.score(pa.array([x], pa.string())) for x in t]))
 
 
+def plain_score(model, text):
+    """The same features and sum, one text and one feature at a time."""
+    buckets = len(model.weight)
+
+    def at(h):
+        return int(h) & (buckets - 1)
+
+    def rolled(x):
+        data = np.frombuffer(x, np.uint8)
+        return scan.byte_roller(data).spans(np.array([0]), np.array([len(data)]))[0]
+
+    mixed = lambda h: scan.mix(np.array([h], np.uint64))[0]
+    words = (text or "").encode().split()
+    found = [at(rolled(w)) for w in words]
+    for a, b in zip(words, words[1:], strict=False):
+        with np.errstate(over="ignore"):
+            found.append(at(mixed(np.uint64(7) if rolled(a) == rolled(b) else rolled(a) * subword_quality._PAIR + rolled(b))))
+    chars = text or ""
+    for i in range(len(chars) - 3):
+        piece = chars[i : i + 4]
+        if not any(c in " \t\n\x0b\x0c\r" for c in piece[1:3]):  # a piece may start or end with the space beside its word
+            found.append(at(mixed(rolled(piece.encode()))))
+    return 1 / (1 + math.exp(-(model.bias + (sum(model.weight[f] for f in found) / len(found) if found else 0))))
+
+
+def test_scores_of_a_trained_model_against_plain_sums(docs, odd, sf):
+    model = subword_quality.fit(docs, table(docs.sparkSession, sf, "labels"))
+    rows = [r for r in docs.orderBy("doc_id").limit(40).collect()] + [r for r in odd.collect() if len(r["text"] or "") < 9000]
+    import pyarrow as pa
+
+    got = model.score(pa.array([r["text"] for r in rows], pa.string()))
+    assert got == pytest.approx([plain_score(model, r["text"]) for r in rows], abs=1e-9)
+
+
 # --- operator 1
 
 
