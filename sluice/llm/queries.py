@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, fair_mix, license_scan, projected_ann, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
+from . import bpe, decision_list, fair_mix, license_scan, projected_ann, shards, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
 from .common import table
 
 #: Rows of a search's query set: those whose id this divides.
@@ -54,6 +54,10 @@ def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_projected_ann": op1_projected_ann,
     "op2_substring_dedup": op2_substring_dedup,
@@ -65,11 +69,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_fair_mix": op9_fair_mix,
     "op10_subword_quality": op10_subword_quality,
+    "op11_minimax_shards": op11_minimax_shards,
 }
 
 ORACLES: dict[str, str] = {
     "op4_warc_revisit": warc_revisit.ORACLE,
     "op9_fair_mix": fair_mix.ORACLE,
+    "op11_minimax_shards": shards.ORACLE,
     "op2_substring_dedup": r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
