@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, fair_mix, license_scan, projected_ann, shards, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
+from . import block_kmeans, bpe, decision_list, fair_mix, golden, license_scan, projected_ann, shards, simhash_dedup, subword_quality, substring_dedup, suffix_dedup, warc_revisit
 from .common import table
 
 #: Rows of a search's query set: those whose id this divides.
@@ -58,6 +58,14 @@ def op11_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op12_golden_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golden.survivors(table(spark, sf_dir, "clients"))
+
+
+def op13_block_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_projected_ann": op1_projected_ann,
     "op2_substring_dedup": op2_substring_dedup,
@@ -70,12 +78,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fair_mix": op9_fair_mix,
     "op10_subword_quality": op10_subword_quality,
     "op11_minimax_shards": op11_minimax_shards,
+    "op12_golden_record": op12_golden_record,
+    "op13_block_kmeans": op13_block_kmeans,
 }
 
 ORACLES: dict[str, str] = {
     "op4_warc_revisit": warc_revisit.ORACLE,
     "op9_fair_mix": fair_mix.ORACLE,
     "op11_minimax_shards": shards.ORACLE,
+    "op12_golden_record": golden.ORACLE,
+    "op13_block_kmeans": block_kmeans.ORACLE,
     "op2_substring_dedup": r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
