@@ -158,7 +158,7 @@ def smallest_cuts(root: Cell | None, shards: int, refine: Callable[[set[Cell]],
     """(capacity, the least key of each shard but the first).  ``refine`` gives the parts of cells."""
     if root is None:
         return 0, []
-    cells = Cells([root])
+    cells = Cells(refine({root}))
 
     def split() -> Cells:
         gone = set(cells.open)
