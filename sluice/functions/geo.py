@@ -48,14 +48,14 @@ def distance(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     return F.hypot(ax - bx, ay - by)
 
 
-def _steps(line: Column) -> Column:
+def edges(line: Column) -> Column:
     """The edges of a line: structs (a, b)."""
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(line) - 1, F.lit(1))), lambda i: F.struct(F.get(line, i - 1).alias("a"), F.get(line, i).alias("b")))
 
 
 def length(line: Column) -> Column:
     """Length of an array of structs (x, y); 0 for fewer than two points."""
-    whole = F.aggregate(_steps(line), F.lit(0.0), lambda s, e: s + F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]))
+    whole = F.aggregate(edges(line), F.lit(0.0), lambda s, e: s + F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]))
     return F.when(F.size(line) >= 2, whole).otherwise(0.0)
 
 
@@ -71,7 +71,7 @@ def _nearest(line: Column, x: Column, y: Column) -> Column:
         return F.struct(F.when(nearer, d).otherwise(s["d"]).alias("d"), F.when(nearer, s["run"] + t * size).otherwise(s["along"]).alias("along"), (s["run"] + size).alias("run"))
 
     start = F.struct(F.lit(float("inf")).alias("d"), F.lit(0.0).alias("along"), F.lit(0.0).alias("run"))
-    return F.aggregate(_steps(line), start, step)
+    return F.aggregate(edges(line), start, step)
 
 
 def line_distance(line: Column, x: Column, y: Column) -> Column:
@@ -97,10 +97,39 @@ def interpolate(line: Column, at: Column) -> Column:
         )
 
     start = F.struct(F.get(line, F.lit(0))["x"].alias("x"), F.get(line, F.lit(0))["y"].alias("y"), F.lit(0.0).alias("run"))
-    got = F.aggregate(_steps(line), start, step)
+    got = F.aggregate(edges(line), start, step)
     return F.struct(got["x"].alias("x"), got["y"].alias("y"))
 
 
+def measured(line: Column) -> Column:
+    """The points of a line as structs (x, y, d): d is the metres along the line."""
+
+    def step(s: Column, e: Column) -> Column:
+        last = F.element_at(s, -1)
+        return F.array_append(s, F.struct(e["b"]["x"].alias("x"), e["b"]["y"].alias("y"), (last["d"] + F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"])).alias("d")))
+
+    first = F.get(line, F.lit(0))
+    return F.aggregate(edges(line), F.array(F.struct(first["x"].alias("x"), first["y"].alias("y"), F.lit(0.0).alias("d"))), step)
+
+
+def cut(points: Column, at: Column) -> Column:
+    """The sub-lines of a measured line (``measured``) between neighbouring positions: ``at`` is a sorted array of
+    metres, from the first cut to the last; one line fewer than positions."""
+
+    def place(d: Column) -> Column:
+        low = F.coalesce(F.element_at(F.filter(points, lambda p: p["d"] <= d), -1), F.get(points, F.lit(0)))
+        high = F.coalesce(F.get(F.filter(points, lambda p: p["d"] > d), F.lit(0)), low)
+        t = F.when(high["d"] > low["d"], F.greatest(F.lit(0.0), (d - low["d"]) / (high["d"] - low["d"]))).otherwise(0.0)
+        return F.struct((low["x"] + t * (high["x"] - low["x"])).alias("x"), (low["y"] + t * (high["y"] - low["y"])).alias("y"))
+
+    def part(i: Column) -> Column:
+        a, b = F.get(at, i), F.get(at, i + 1)
+        inner = F.transform(F.filter(points, lambda p: (p["d"] > a) & (p["d"] < b)), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+        return F.concat(F.array(place(a)), inner, F.array(place(b)))
+
+    return F.when(F.size(at) > 1, F.transform(F.sequence(F.lit(0), F.size(at) - 2), part)).otherwise(F.array().cast("array<array<struct<x:double,y:double>>>"))
+
+
 def inside(ring: Column, x: Column, y: Column) -> Column:
     """Whether a point lies in a closed ring, by ray casting."""
 
@@ -109,7 +138,7 @@ def inside(ring: Column, x: Column, y: Column) -> Column:
         crosses = ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
         return F.when(F.coalesce(crosses, F.lit(False)), ~s).otherwise(s)
 
-    return F.aggregate(_steps(ring), F.lit(False), step)
+    return F.aggregate(edges(ring), F.lit(False), step)
 
 
 def cell_centre(row: Column, col: Column, bounds: tuple[float, float, float, float], ny: int, nx: int) -> tuple[Column, Column]:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio
 from ..functions.stats import top_share
+from ..state import if_small, settle
+from . import tree
 
 
 def lost_segments(edges: DataFrame, lost_nodes: DataFrame, removed: DataFrame) -> DataFrame:
@@ -15,23 +17,67 @@ def lost_segments(edges: DataFrame, lost_nodes: DataFrame, removed: DataFrame) -
     return by_node.unionByName(removed.select("scenario", "seg_id")).distinct()
 
 
-def failure_records(lost: DataFrame, segs: DataFrame, cells: DataFrame, economics: DataFrame, mix: DataFrame | None = None) -> DataFrame:
-    """One row a scenario (the removed seg_id): counts, areas by crop class and district, and money.
+def failure_records(lost: DataFrame, segs: DataFrame, cells: DataFrame, economics: DataFrame, mix: DataFrame | None = None, ids: bool = False) -> DataFrame:
+    """One row a scenario (the removed seg_id), from the pairs (scenario, seg_id) of what it cuts off; see ``records``.
 
-    ``segs``: seg_id, district, cost_inr; ``cells``: seg_id, district, crop_class, area_ha; ``economics``:
-    district, revenue_per_ha.  The revenue takes the removed segment's district for all hectares.
+    ``cells``: seg_id, district, crop_class, area_ha.  With ``ids``, lost_seg_ids has the sorted ids of what is cut off.
     """
-    counts = lost.groupBy("scenario").agg(F.count(F.lit(1)).alias("segments_cut_off"))
+    counts = lost.groupBy("scenario").agg(F.count(F.lit(1)).alias("segments_cut_off"), *([F.array_sort(F.collect_set("seg_id")).alias("lost_seg_ids")] if ids else []))
     area = lost.join(cells, "seg_id").groupBy("scenario", "district", "crop_class").agg(F.sum("area_ha").alias("ha"))
+    return records(counts, area, segs, economics, mix)
+
+
+def single_failures(edges: DataFrame, dominated: tree.Dominators, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(scenario, segments_cut_off; scenario, district, crop_class, ha) for the removal of every single edge.
+
+    What a removal cuts off is a subtree of the dominator forest (``tree.dominators``), so counts and areas are sums
+    below its head, kept by district and crop: no pairs of removed and lost segments are made.
+    """
+    d = dominated
+    e = settle(edges.select("seg_id", F.col("src").alias("node")))
+    head = d.fed.select("node", F.col("seg_id").alias("scenario"))
+    under = tree.below(d.ups, e.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "n").join(head, "node").select("scenario", "n")
+    counts = e.select(F.col("seg_id").alias("scenario")).join(under, "scenario", "left").select("scenario", (1 + F.coalesce("n", F.lit(0))).alias("segments_cut_off"))
+    own = settle(cells.groupBy("seg_id", "district", "crop_class").agg(F.sum("area_ha").alias("ha")))
+    area = tree.below(d.ups, e.join(own, "seg_id").select("node", "district", "crop_class", "ha"), "ha", by=("district", "crop_class")).join(head, "node").select("scenario", "district", "crop_class", "ha")
+    mine = own.join(e.select("seg_id"), "seg_id", "left_semi").withColumnRenamed("seg_id", "scenario")
+    return counts, area.unionByName(mine.select(*area.columns)).groupBy("scenario", "district", "crop_class").agg(F.sum("ha").alias("ha"))
+
+
+def cut_canals(edges: DataFrame, dominated: tree.Dominators, canals: DataFrame) -> DataFrame:
+    """scenario, canals: the named canals (``canals``: seg_id, canal) that each single failure cuts off, sorted.
+
+    Names, not segments, are carried up the dominator forest.
+    """
+    d = dominated
+    named = settle(canals.where("canal <> ''").select("seg_id", "canal").distinct())
+    at = edges.select("seg_id", F.col("src").alias("node")).join(named, "seg_id").select("node", "canal").distinct().withColumn("n", F.lit(1).cast("long"))
+    under = tree.below(d.ups, at, "n", by=("canal",)).join(d.fed, "node").select("seg_id", "canal")
+    return under.unionByName(named).groupBy(F.col("seg_id").alias("scenario")).agg(F.array_sort(F.collect_set("canal")).alias("canals"))
+
+
+def records(counts: DataFrame, area: DataFrame, segs: DataFrame, economics: DataFrame, mix: DataFrame | None = None) -> DataFrame:
+    """One row a scenario: what is cut off, areas by district and crop class, and money.
+
+    ``counts``: scenario, segments_cut_off and more; ``area``: scenario, district, crop_class, ha; ``segs``: seg_id,
+    district, cost_inr, and can_name, can_type, length_m if the record is to name them; ``economics``: district,
+    revenue_per_ha, and water_mm and dependency if it is to have them; ``mix``: district, crop, area.  The
+    revenue takes the removed segment's district for all hectares.
+    """
     by_district = area.groupBy("scenario", "district").agg(F.sum("ha").alias("ha")).groupBy("scenario").agg(F.sum("ha").alias("area_lost_ha"), F.array_sort(F.collect_list(F.struct((-F.col("ha")).alias("o"), "district", "ha"))).alias("_d"))
     by_crop = area.groupBy("scenario", "crop_class").agg(F.sum("ha").alias("ha")).groupBy("scenario").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("crop_class", "ha")))).alias("ha_by_crop"))
-    s = segs.select(F.col("seg_id").alias("scenario"), F.col("district").alias("own_district"), "cost_inr")
-    out = counts.join(s, "scenario").join(by_district, "scenario", "left").join(by_crop, "scenario", "left").join(F.broadcast(economics.withColumnRenamed("district", "own_district")), "own_district", "left")
+    has = segs.columns
+    named = [F.coalesce(F.nullif("can_name", F.lit("")), F.lit("(unnamed)")).alias("can_name")] if "can_name" in has else []
+    named += [F.col("can_type")] if "can_type" in has else []
+    named += [(F.col("length_m") / 1000).alias("length_km")] if "length_m" in has else []
+    s = segs.select(F.col("seg_id").alias("scenario"), F.col("district").alias("own_district"), F.col("cost_inr").alias("cost_inr"), *named)
+    eco = economics.withColumnsRenamed({"district": "own_district", "water_mm": "water_demand_mm", "dependency": "irrigation_dependency"})
+    out = counts.join(s, "scenario").join(by_district, "scenario", "left").join(by_crop, "scenario", "left").join(if_small(eco), "own_district", "left")
     out = out.withColumn("area_lost_ha", F.coalesce("area_lost_ha", F.lit(0.0)))
     out = out.withColumn("ha_by_district", F.transform(F.coalesce("_d", F.array().cast("array<struct<o:double,district:string,ha:double>>")), lambda x: F.struct(x["district"].alias("district"), x["ha"].alias("ha")))).drop("_d")
     out = out.withColumn("revenue_at_risk_inr", F.col("area_lost_ha") * F.col("revenue_per_ha"))
     out = out.withColumn("benefit_cost_ratio", ratio(F.col("revenue_at_risk_inr"), F.col("cost_inr")))
-    return out if mix is None else out.join(F.broadcast(top_share(mix, ["district"], "crop", "area").select(F.col("district").alias("own_district"), F.col("mix").alias("crop_mix_top3"))), "own_district", "left")
+    return out if mix is None else out.join(if_small(top_share(mix, ["district"], "crop", "area").select(F.col("district").alias("own_district"), F.col("mix").alias("crop_mix_top3"))), "own_district", "left")
 
 
 def combined_impact(lost: DataFrame, selected: DataFrame, segs: DataFrame, economics: DataFrame) -> DataFrame:
@@ -42,7 +88,7 @@ def combined_impact(lost: DataFrame, selected: DataFrame, segs: DataFrame, econo
     """
     cut = lost.join(selected.select("scenario").distinct(), "scenario", "left_semi").select("seg_id").distinct()
     d = cut.join(segs.select("seg_id", "district", "local_ha"), "seg_id").groupBy("district").agg(F.count(F.lit(1)).alias("segments"), F.sum("local_ha").alias("area_ha"))
-    return d.join(F.broadcast(economics), "district", "left").select("district", "segments", "area_ha", (F.col("area_ha") * F.col("revenue_per_ha")).alias("revenue_inr"))
+    return d.join(if_small(economics), "district", "left").select("district", "segments", "area_ha", (F.col("area_ha") * F.col("revenue_per_ha")).alias("revenue_inr"))
 
 
 def crop_split(impact: DataFrame, shares: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import first_by
 from ..state import ranked, settle
+from . import tree
 
 CAP = 10_000
 
@@ -94,30 +95,42 @@ def orient(edges: DataFrame, levels: DataFrame) -> DataFrame:
     return e.withColumns({"src": F.when(swap, F.col("dst")).otherwise(F.col("src")), "dst": F.when(swap, F.col("src")).otherwise(F.col("dst"))}).drop("_lu", "_lv")
 
 
-def downstream_sum(edges: DataFrame, value: str, pairs: DataFrame | None = None) -> DataFrame:
-    """seg_id, own, total: an edge's value and that of every other edge whose tail its head can reach."""
-    pairs = closure(edges) if pairs is None else pairs
-    below = edges.groupBy("src").agg(F.sum(value).alias("_here"))
-    from_node = pairs.join(below, F.col("des") == F.col("src")).groupBy("anc").agg(F.sum("_here").alias("_below"))
-    e = edges.select("seg_id", F.col("src").alias("_s"), F.col("dst").alias("_d"), F.col(value).cast("double").alias("own"))
-    e = e.join(below.withColumnRenamed("src", "_d"), "_d", "left").join(from_node.withColumnRenamed("anc", "_d"), "_d", "left")
-    loop = pairs.where("anc = des").select(F.col("anc").alias("_d"), F.lit(1).alias("_loop"))
-    # in a cycle the head reaches the edge's own tail: the edge itself counts once, and so does the head's own row
-    back = edges.select("seg_id", F.col("src").alias("_t"), F.col("dst").alias("_h")).join(pairs, (F.col("_h") == F.col("anc")) & (F.col("_t") == F.col("des"))).select("seg_id", F.lit(1).alias("_back"))
-    e = e.join(loop, "_d", "left").join(back, "seg_id", "left")
-    below_head = F.coalesce("_below", F.lit(0.0)) + F.when(F.col("_loop").isNull(), F.coalesce("_here", F.lit(0.0))).otherwise(0.0)
-    return e.select("seg_id", "own", (below_head + F.when(F.col("_back").isNull(), F.col("own")).otherwise(0.0)).alias("total"))
-
-
-def tree_betweenness(edges: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """seg_id, betweenness of a forest: (1 + ancestors of tail) * (1 + descendants of head) / (n (n - 1))."""
-    pairs = closure(edges) if pairs is None else pairs
-    up = pairs.groupBy(F.col("des").alias("src")).agg(F.count(F.lit(1)).alias("_up"))
-    down = pairs.groupBy(F.col("anc").alias("dst")).agg(F.count(F.lit(1)).alias("_down"))
-    n = edges.select(F.explode(F.array("src", "dst")).alias("node")).agg(F.countDistinct("node").alias("_n"))
-    e = edges.select("seg_id", "src", "dst").join(up, "src", "left").join(down, "dst", "left").join(F.broadcast(n))
-    b = (1 + F.coalesce("_up", F.lit(0))) * (1 + F.coalesce("_down", F.lit(0))) / (F.col("_n") * (F.col("_n") - 1)).cast("double")
-    return e.select("seg_id", b.alias("betweenness"))
+def downstream_sum(edges: DataFrame, value: str) -> DataFrame:
+    """seg_id, own, total: an edge's value and that of every other edge whose tail its head can reach.
+
+    On trees this is a sum below each head, by doubling.  Where edges meet again or go round, the whole trees below
+    the meeting nodes that a head reaches are added, each once (``tree.heads_reached``).
+    """
+    e = settle(edges.select("seg_id", F.col("src").alias("_s"), F.col("dst").alias("_d"), F.col(value).cast("double").alias("own")))
+    f = tree.forest(edges)
+    nodes = settle(tree.ends(edges))
+    here = e.groupBy(F.col("_s").alias("node")).agg(F.sum("own").alias("total"))
+    total, heads, top = tree.reach_sums(f, nodes, here, "total")
+    out = e.join(total.withColumnRenamed("node", "_d"), "_d")
+    if not f.plain:
+        # an edge whose tail its own head reaches is among what it reaches: it counts once
+        tails = out.select("seg_id", "_d", "_s").join(top.select(F.col("node").alias("_s"), F.col("top").alias("head")), "_s")
+        round_ = tails.join(heads.withColumnRenamed("node", "_d"), ["_d", "head"], "left_semi").select("seg_id", F.lit(True).alias("_back"))
+        out = out.join(round_, "seg_id", "left")
+    else:
+        out = out.withColumn("_back", F.lit(None).cast("boolean"))
+    loop = F.coalesce("_back", F.lit(False)) | (F.col("_s") == F.col("_d"))
+    return out.select("seg_id", "own", (F.col("total") + F.when(loop, 0.0).otherwise(F.col("own"))).alias("total"))
+
+
+def tree_betweenness(edges: DataFrame) -> DataFrame:
+    """seg_id, betweenness of a forest: (1 + ancestors of tail) * (1 + descendants of head) / (n (n - 1)).
+
+    Raises ValueError where a node has several entering edges or a cycle: ``betweenness`` is for those.
+    """
+    f = tree.forest(edges)
+    if not f.plain:
+        raise ValueError("not a forest: use betweenness")
+    nodes = settle(tree.ends(edges).withColumn("_k", F.lit(1).cast("long")))
+    n = nodes.count()
+    up, down = tree.above(f.ups, nodes, "_k"), tree.below(f.ups, nodes, "_k")
+    e = edges.select("seg_id", "src", "dst").join(up.select(F.col("node").alias("src"), F.col("_k").alias("_up")), "src").join(down.select(F.col("node").alias("dst"), F.col("_k").alias("_down")), "dst")
+    return e.select("seg_id", (F.col("_up") * F.col("_down") / float(max(1, n * (n - 1)))).alias("betweenness"))
 
 
 def betweenness(edges: DataFrame, weight: str = "length_m", most_edges: int = 1_000_000, parts: int = 64) -> DataFrame:
@@ -258,26 +271,15 @@ def reach_after_removal(edges: DataFrame, sources: DataFrame, scenarios: DataFra
     raise RuntimeError("supply within the regions did not settle")
 
 
-def losses(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """scenario, node for the removal of every single edge of an acyclic graph: one propagation for all.
+def losses(edges: DataFrame, sources: DataFrame, dominated: tree.Dominators | None = None) -> DataFrame:
+    """scenario, node for the removal of every single edge of an acyclic graph: what no source reaches any more.
 
-    A node that is no source is lost once all its edges come from lost nodes or are the removed one.
-    Scenarios whose removal loses nothing have no row.
+    What an edge's removal cuts off is what its head dominates (``tree.dominators``), so the pairs are read off a
+    forest, each once; sums over what is lost need no pairs (``failure.single_failures``).  Scenarios whose removal
+    loses nothing have no row.
     """
-    entering = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_in"))
-    entering = settle(entering.join(sources.select("node").distinct(), "node", "left_anti"))
-    lost = settle(edges.select(F.col("seg_id").alias("scenario"), F.col("dst").alias("node")).join(entering.where("_in = 1"), "node").select("scenario", "node"))
-    step = settle(edges.select("src", "dst"))
-    front = lost
-    for _ in range(CAP):
-        near = front.join(step, F.col("node") == F.col("src")).select("scenario", F.col("dst").alias("_d")).distinct()
-        whole = lost.join(step, F.col("node") == F.col("src")).select("scenario", F.col("dst").alias("_d")).join(near, ["scenario", "_d"], "left_semi")
-        full = whole.groupBy("scenario", "_d").agg(F.count(F.lit(1)).alias("_k")).join(entering, F.col("_d") == F.col("node")).where("_k = _in")
-        front = settle(full.select("scenario", F.col("_d").alias("node")).join(lost, ["scenario", "node"], "left_anti"))
-        if not front.limit(1).count():
-            return lost
-        lost = settle(lost.unionByName(front))
-    raise RuntimeError("losses did not settle")
+    d = dominated or tree.dominators(edges, sources)
+    return d.fed.select(F.col("node").alias("anc"), F.col("seg_id").alias("scenario")).join(tree.pairs(d.ups, tree.ends(edges)), "anc").select("scenario", "node")
 
 
 def nearest_node(nodes: DataFrame, x: float, y: float) -> DataFrame:

@@ -6,12 +6,15 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.params import VALUES
 from ..functions.scalar import clip, uniform
 from ..state import ranked, settle
+from . import graph, tree
 
 TARGET = VALUES["target_health"]
 
@@ -23,6 +26,54 @@ def supply_probability(segs: DataFrame, paths: DataFrame) -> DataFrame:
     return segs.select("seg_id").join(p, "seg_id", "left").select("seg_id", F.coalesce("p_supply", F.lit(1.0)).alias("p_supply"))
 
 
+class Routes(NamedTuple):
+    """The ways from the sources as a forest, a row a node: ``edges`` (seg_id, src, dst), ``nodes`` that are reached,
+    ``up`` (node, parent_seg) and the forest's steps.  It stands for the pairs of ``graph.supply_paths``."""
+
+    edges: DataFrame
+    nodes: DataFrame
+    up: DataFrame
+    ups: list[DataFrame]
+
+
+def routes(edges: DataFrame, levels: DataFrame) -> Routes:
+    up = settle(graph.parents(edges, levels))
+    return Routes(settle(edges.select("seg_id", "src", "dst")), settle(levels.select("node")), up.select("node", "parent_seg"), tree.steps(up.select("node", F.col("parent").alias("up"))))
+
+
+def route_probability(segs: DataFrame, way: Routes) -> DataFrame:
+    """seg_id, p_supply as ``supply_probability`` has it: sums of log health up the forest, by doubling."""
+    h = settle(segs.select("seg_id", F.ln(clip(F.col("health"), 0.01, 1.0)).alias("_l")))
+    entry = way.nodes.join(way.up, "node", "left").join(h.withColumnRenamed("seg_id", "parent_seg"), "parent_seg", "left").select("node", F.coalesce("_l", F.lit(0.0)).alias("_sum"))
+    at = tree.above(way.ups, entry, "_sum").withColumnRenamed("node", "src")
+    p = way.edges.join(h, "seg_id").join(at, "src").select("seg_id", F.exp(F.col("_l") + F.col("_sum")).alias("p_supply"))
+    return segs.select("seg_id").join(p, "seg_id", "left").select("seg_id", F.coalesce("p_supply", F.lit(1.0)).alias("p_supply"))
+
+
+def route_marginals(segs: DataFrame, way: Routes, target: float = TARGET) -> DataFrame:
+    """seg_id, marginal_ha as ``marginals`` has it: expected supply is summed below each segment, by doubling."""
+    s = segs.join(route_probability(segs, way), "seg_id").select("seg_id", (F.col("local_ha") * F.col("p_supply")).alias("_s"))
+    s = settle(way.edges.join(s, "seg_id"))
+    reached = s.join(way.nodes.withColumnRenamed("node", "src"), "src", "left_semi")
+    fed = tree.below(way.ups, way.nodes.join(reached.select(F.col("src").alias("node"), "_s"), "node", "left").select("node", F.coalesce("_s", F.lit(0.0)).alias("_s")), "_s")
+    under = way.up.join(fed, "node").select(F.col("parent_seg").alias("seg_id"), F.col("_s").alias("_under"))
+    served = reached.select("seg_id", "_s").join(under, "seg_id", "left").select("seg_id", (F.col("_s") + F.coalesce("_under", F.lit(0.0))).alias("_s"))
+    h = clip(F.col("health"), 0.01, 1.0)
+    return segs.join(served, "seg_id", "left").select("seg_id", ((F.greatest(h, F.lit(target)) / h - 1) * F.coalesce("_s", F.lit(0.0))).alias("marginal_ha"))
+
+
+def expected_loss(segs: DataFrame, probability: DataFrame) -> DataFrame:
+    """One row: at_risk_ha, the area that a failure along its path would leave dry, in expectation."""
+    return segs.join(probability, "seg_id").agg(F.sum(F.col("local_ha") * (1 - F.col("p_supply"))).alias("at_risk_ha"))
+
+
+def route_protected(segs: DataFrame, way: Routes, chosen: DataFrame) -> DataFrame:
+    """One row: protected_ha, what cleaning the chosen segments takes off the area at risk."""
+    a = expected_loss(segs, route_probability(segs, way))
+    b = expected_loss(segs, route_probability(cleaned(segs, chosen), way)).withColumnRenamed("at_risk_ha", "_after")
+    return a.join(b).select((F.col("at_risk_ha") - F.col("_after")).alias("protected_ha"))
+
+
 def at_risk(segs: DataFrame, paths: DataFrame) -> DataFrame:
     """One row: at_risk_ha, the area that a failure along its path would leave dry, in expectation."""
     return segs.join(supply_probability(segs, paths), "seg_id").agg(F.sum(F.col("local_ha") * (1 - F.col("p_supply"))).alias("at_risk_ha"))

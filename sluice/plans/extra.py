@@ -247,10 +247,10 @@ def _(spark, d):
 
 @query("G3_attach")
 def _(spark, d):
-    pieces = lines.node_lines(_polylines(spark, d, 20_000.0).where("id < 4"))
+    pieces = lines.node_lines(_polylines(spark, d, 100_000.0))
     e, n = lines.build_segments(pieces)
     e = e.withColumn("is_river", F.lit(0)).withColumn("is_virtual", F.lit(0)).select("seg_id", "src", "dst", "length_m", "geom", "is_river", "is_virtual")
-    e, n = lines.attach(e, n, 0.0, 0.0, tolerance=2000.0, rounds=20)
+    e, n = lines.attach(e, n, 0.0, 0.0)
     return e.select("seg_id", "src", "dst", F.round("length_m", 4).alias("length_m"), "is_virtual")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import scalar as S
 from ..functions import stats
-from ..operators import economics, failure, graph, health, naming, spatial, supply
+from ..operators import economics, failure, graph, health, naming, spatial, supply, tree
 from ..state import ranked, settle
 from ..streaming import events as ev
 from ..streaming import labels as lb
@@ -228,9 +228,8 @@ def ranking(spark, d):
     """The flagship: local area -> command area -> centrality -> health -> priority -> rank."""
     s = scored_segments(spark, d)
     s = settle(s)
-    pairs = graph.closure(s)
-    command = graph.downstream_sum(s, "local_ha", pairs).select("seg_id", F.col("total").alias("command_ha"))
-    central = graph.tree_betweenness(s, pairs)
+    command = graph.downstream_sum(s, "local_ha").select("seg_id", F.col("total").alias("command_ha"))
+    central = graph.tree_betweenness(s)
     j = s.select("seg_id", F.col("health").alias("health_score")).join(command, "seg_id").join(central, "seg_id")
     r = supply.rank_segments(j).withColumn("priority", F.round("priority", 4))
     r = ranked(r.drop("rank"), "rank", F.desc("priority"), F.asc("seg_id"))
@@ -246,25 +245,32 @@ def supplied(spark, d):
     return s, settle(graph.supply_paths(s, settle(graph.hops(s, root(spark), directed=True))))
 
 
+def routed(spark, d):
+    """(segments, routes from the root), both written out."""
+    s = settle(scored_segments(spark, d))
+    return s, supply.routes(s, settle(graph.hops(s, root(spark), directed=True)))
+
+
 @query("B1_supply", f"{PATHS} SELECT seg_id, round(p, 8) AS p_supply FROM lh")
 def _(spark, d):
-    return supply.supply_probability(*supplied(spark, d)).withColumn("p_supply", F.round("p_supply", 8))
+    return supply.route_probability(*routed(spark, d)).withColumn("p_supply", F.round("p_supply", 8))
 
 
 @query("A17_at_risk", f"{PATHS} SELECT round(sum(ha * (1 - p)), 4) AS at_risk_ha FROM lh")
 def _(spark, d):
-    return supply.at_risk(*supplied(spark, d)).withColumn("at_risk_ha", F.round("at_risk_ha", 4))
+    s, way = routed(spark, d)
+    return supply.expected_loss(s, supply.route_probability(s, way)).withColumn("at_risk_ha", F.round("at_risk_ha", 4))
 
 
 @query("B2_protected", f"{PATHS}, h2 AS (SELECT seg_id AS on_path, CASE WHEN seg_id % 40 = 0 THEN greatest(h, 0.95) ELSE h END AS h FROM hs), s2 AS (SELECT seg_id, exp(sum(ln(least(greatest(h, 0.01), 1.0)))) AS p2 FROM pa JOIN h2 USING (on_path) GROUP BY 1) SELECT round(sum(ha * (1 - p)) - sum(ha * (1 - p2)), 4) AS protected_ha FROM lh JOIN s2 USING (seg_id)")
 def _(spark, d):
-    s, p = supplied(spark, d)
-    return supply.protected(s, p, s.where("seg_id % 40 = 0")).withColumn("protected_ha", F.round("protected_ha", 4))
+    s, way = routed(spark, d)
+    return supply.route_protected(s, way, s.where("seg_id % 40 = 0")).withColumn("protected_ha", F.round("protected_ha", 4))
 
 
 @query("B3_first_pick", f"{PATHS}, sd AS (SELECT on_path AS seg_id, sum(ha * p) AS s FROM pa JOIN lh USING (seg_id) GROUP BY 1), mg AS (SELECT seg_id, (greatest(h, 0.95) / h - 1) * s AS g, length_m / 1000 * 239644 AS cost FROM sd JOIN hs USING (seg_id) JOIN seg USING (seg_id)) SELECT seg_id, round(g, 6) AS marginal_ha FROM mg")
 def _(spark, d):
-    return supply.marginals(*supplied(spark, d)).withColumn("marginal_ha", F.round("marginal_ha", 6))
+    return supply.route_marginals(*routed(spark, d)).withColumn("marginal_ha", F.round("marginal_ha", 6))
 
 
 @query("B3_greedy_plan")
@@ -323,9 +329,9 @@ LOST = f"WITH RECURSIVE {T.NET}, ind AS (SELECT dst, count(*) AS k FROM net GROU
 @query("B9_all_failures", f"{TREE}, {T.LOCAL}, ls AS (SELECT e.seg_id AS scenario, e.seg_id FROM seg e UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des) SELECT scenario, count(*)::BIGINT AS segments_cut_off, coalesce(sum(local_ha), 0)::DOUBLE AS area_lost_ha FROM ls LEFT JOIN loc USING (seg_id) GROUP BY 1")
 def _(spark, d):
     s = settle(T.segments(spark, d).select("seg_id", "src", "dst"))
-    nodes = graph.losses(s, root(spark))
-    lost = failure.lost_segments(s, nodes, s.select(F.col("seg_id").alias("scenario"), "seg_id"))
-    return lost.join(T.local_area(spark, d), "seg_id", "left").groupBy("scenario").agg(F.count(F.lit(1)).alias("segments_cut_off"), F.coalesce(F.sum("local_ha"), F.lit(0.0)).alias("area_lost_ha"))
+    cells = T.local_area(spark, d).select("seg_id", F.lit("d").alias("district"), F.lit("c").alias("crop_class"), F.col("local_ha").alias("area_ha"))
+    counts, area = failure.single_failures(s, tree.dominators(s, root(spark)), cells)
+    return counts.join(area, "scenario", "left").select("scenario", "segments_cut_off", F.coalesce("ha", F.lit(0.0)).alias("area_lost_ha"))
 
 
 @query("B9_parallel_feeds", f"WITH RECURSIVE {T.NET}, nd AS (SELECT DISTINCT dst AS node FROM net), e AS (SELECT seg_id, src, dst FROM net), sc AS (SELECT seg_id AS scenario FROM e), r(scenario, node) AS (SELECT scenario, 0 FROM sc UNION SELECT scenario, dst FROM r JOIN e ON src = node AND seg_id <> scenario) SELECT scenario, node::BIGINT AS node FROM sc, nd EXCEPT SELECT scenario, node FROM r")
@@ -333,17 +339,67 @@ def _(spark, d):
     return graph.losses(T.network(spark, d), root(spark))
 
 
-@query("B8_failure_record", f"{TREE}, {T.LOCAL}, ls AS (SELECT e.seg_id AS scenario, e.seg_id FROM seg e UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des), g AS (SELECT scenario, count(*) AS n, sum(local_ha) AS ha FROM ls LEFT JOIN loc USING (seg_id) GROUP BY 1) SELECT scenario, n::BIGINT AS segments_cut_off, ha AS area_lost_ha, round(ha * (100 + length(prj_name)), 4)::DOUBLE AS revenue_at_risk_inr, round(ha * (100 + length(prj_name)) / (length_m / 1000 * 239644), 6)::DOUBLE AS benefit_cost_ratio FROM g JOIN seg ON scenario = seg_id")
+_BELOW = "ls AS (SELECT e.seg_id AS scenario, e.seg_id FROM seg e UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des)"
+# the economy of a district (here a brand): its crop mix is the area of its types of canal
+_RECORD = f"""ce AS (SELECT seg_id, prj_name AS district, can_type AS crop, local_ha AS ha FROM loc JOIN seg USING (seg_id)),
+mx AS (SELECT district, crop, sum(ha) AS a, sum(ha) / sum(sum(ha)) OVER (PARTITION BY district) AS sh FROM ce GROUP BY 1, 2),
+m3 AS (SELECT district, string_agg(crop || ' ' || round_even(sh * 100, 0)::INT || '%', '; ' ORDER BY rn) AS mix FROM (SELECT *, row_number() OVER (PARTITION BY district ORDER BY sh DESC, crop) AS rn FROM mx) WHERE rn <= 3 GROUP BY 1),
+ec AS (SELECT district, sum(sh * 10 * length(crop) * 2.5::DOUBLE) AS rev, sum(sh * (100 + 10 * length(crop))) / sum(sh) AS mm FROM mx GROUP BY 1),
+ar AS (SELECT scenario, district, crop, sum(ha) AS ha FROM ls JOIN ce USING (seg_id) GROUP BY 1, 2, 3),
+ad AS (SELECT scenario, sum(ha) AS ha, string_agg(district || '=' || printf('%.1f', ha), ',' ORDER BY ha DESC, district) AS t FROM (SELECT scenario, district, sum(ha) AS ha FROM ar GROUP BY 1, 2) GROUP BY 1),
+ac AS (SELECT scenario, string_agg(crop || '=' || printf('%.1f', ha), ',' ORDER BY crop) AS t FROM (SELECT scenario, crop, sum(ha) AS ha FROM ar GROUP BY 1, 2) GROUP BY 1),
+cn AS (SELECT scenario, count(*)::BIGINT AS n, string_agg(CAST(seg_id AS VARCHAR), ',' ORDER BY seg_id) AS ids FROM ls GROUP BY 1),
+rec AS (SELECT c.scenario AS seg_id, CASE WHEN can_name = '' OR can_name IS NULL THEN '(unnamed)' ELSE can_name END AS can_name, can_type, round(length_m / 1000, 6) AS length_km, n AS segments_cut_off, coalesce(ad.ha, 0)::DOUBLE AS area_lost_ha,
+  round(coalesce(ad.ha, 0) * rev, 4) AS revenue_at_risk_inr, round(length_m / 1000 * 239644, 4) AS desilt_cost_inr, round(coalesce(ad.ha, 0) * rev / (length_m / 1000 * 239644), 6) AS benefit_cost_ratio, prj_name AS district,
+  round(rev, 6) AS revenue_per_ha, round(mm, 6) AS water_demand_mm, round(least(greatest(1 - 120 / mm, 0), 1), 8)::DOUBLE AS irrigation_dependency, mix AS crop_mix_top3, coalesce(ad.t, '') AS area_by_district, coalesce(ac.t, '') AS area_by_crop, ids
+  FROM cn c JOIN seg ON seg.seg_id = c.scenario LEFT JOIN ad USING (scenario) LEFT JOIN ac USING (scenario) LEFT JOIN ec ON ec.district = prj_name LEFT JOIN m3 ON m3.district = prj_name)"""
+
+
+def _economy(spark, d, s):
+    """(cells by segment, economics by district, areas of the mix) of the segments."""
+    cells = settle(T.local_area(spark, d).join(s.select("seg_id", F.col("prj_name").alias("district"), F.col("can_type").alias("crop_class")), "seg_id").withColumnRenamed("local_ha", "area_ha"))
+    mix = settle(cells.select("district", F.col("crop_class").alias("crop"), F.col("area_ha").alias("area")).groupBy("district", "crop").agg(F.sum("area").alias("area")))
+    sh = settle(economics.mix_shares(mix))
+    size, crops = F.length("crop").cast("double"), sh.select("crop").distinct()
+    revenue = economics.revenue_per_ha(sh, crops.select("crop", (10 * size).alias("price")), crops.select("crop", F.lit(2.5).alias("yield")))
+    water = economics.water_demand(sh, crops.select("crop", F.col("crop").alias("water_crop")), crops.select(F.col("crop").alias("water_crop"), F.lit(100.0).alias("min_mm"), (100 + 20 * size).alias("max_mm")))
+    eco = revenue.join(water, "district").withColumn("dependency", economics.irrigation_dependency(F.lit(120.0), F.col("water_mm")))
+    return cells, settle(eco), mix
+
+
+def _record(r):
+    """A failure record with its maps shown as text."""
+    shown = lambda xs, k, v: F.array_join(F.transform(xs, lambda x: F.concat(x[k], F.lit("="), F.format_string("%.1f", x[v]))), ",")
+    crops = F.array_sort(F.map_entries(F.coalesce("ha_by_crop", F.create_map().cast("map<string,double>"))))
+    return r.select(
+        F.col("scenario").alias("seg_id"), "can_name", "can_type", F.round("length_km", 6).alias("length_km"), "segments_cut_off", "area_lost_ha", F.round("revenue_at_risk_inr", 4).alias("revenue_at_risk_inr"), F.round("cost_inr", 4).alias("desilt_cost_inr"),
+        F.round("benefit_cost_ratio", 6).alias("benefit_cost_ratio"), F.col("own_district").alias("district"), F.round("revenue_per_ha", 6).alias("revenue_per_ha"), F.round("water_demand_mm", 6).alias("water_demand_mm"),
+        F.round("irrigation_dependency", 8).alias("irrigation_dependency"), "crop_mix_top3", shown(F.col("ha_by_district"), "district", "ha").alias("area_by_district"), shown(crops, "key", "value").alias("area_by_crop"),
+        *([F.array_join(F.transform("lost_seg_ids", lambda x: x.cast("string")), ",").alias("ids")] if "lost_seg_ids" in r.columns else []),
+    )
+
+
+def _costed(s):
+    return s.select("seg_id", "can_name", "can_type", "length_m", F.col("prj_name").alias("district"), economics.desilt_cost(F.col("length_m"), F.lit(1.0)).alias("cost_inr"))
+
+
+@query("B8_failure_record", f"{TREE}, {T.LOCAL}, {_BELOW}, {_RECORD} SELECT * EXCLUDE (ids) FROM rec")
+def _(spark, d):
+    """The whole record of every single failure."""
+    s = settle(T.segments(spark, d))
+    cells, eco, mix = _economy(spark, d, s)
+    counts, area = failure.single_failures(s, tree.dominators(s, root(spark)), cells)
+    return _record(failure.records(counts, area, _costed(s), eco, mix))
+
+
+@query("B8_ranked_failures", f"""{RANKED.split("SELECT seg_id, command AS command_ha")[0].rstrip()}, tp AS (SELECT seg_id FROM pp ORDER BY priority DESC, seg_id LIMIT 3), {_BELOW}, {_RECORD} SELECT * FROM rec WHERE seg_id IN (SELECT seg_id FROM tp)""")
 def _(spark, d):
+    """The failures of the three segments ranked highest, with the ids of what they cut off."""
     s = settle(T.segments(spark, d))
-    sc = s.select(F.col("seg_id").alias("scenario"), "seg_id")
-    nodes = graph.losses(s.select("seg_id", "src", "dst"), root(spark))
-    lost = failure.lost_segments(s, nodes, sc)
-    segs = s.select("seg_id", F.col("prj_name").alias("district"), economics.desilt_cost(F.col("length_m"), F.lit(1.0)).alias("cost_inr"))
-    cells = T.local_area(spark, d).join(s.select("seg_id", F.col("prj_name").alias("district"), F.col("can_type").alias("crop_class")), "seg_id").withColumnRenamed("local_ha", "area_ha")
-    eco = s.select(F.col("prj_name").alias("district"), (100.0 + F.length("prj_name")).alias("revenue_per_ha")).distinct()
-    r = failure.failure_records(lost, segs, cells, eco)
-    return r.select("scenario", "segments_cut_off", "area_lost_ha", F.round("revenue_at_risk_inr", 4).alias("revenue_at_risk_inr"), F.round("benefit_cost_ratio", 6).alias("benefit_cost_ratio"))
+    cells, eco, mix = _economy(spark, d, s)
+    top = settle(ranking(spark, d).where("rank <= 3").select(F.col("seg_id").alias("scenario"), "seg_id"))
+    lost = failure.lost_segments(s, graph.reach_after_removal(s, root(spark), top), top)
+    return _record(failure.failure_records(lost, _costed(s), cells, eco, mix, ids=True))
 
 
 @query("A26_combined_union", f"{TREE}, {T.LOCAL}, ls AS (SELECT e.seg_id FROM seg e WHERE e.seg_id IN (5, 11, 40) UNION SELECT s.seg_id FROM seg e JOIN seg s ON s.src = e.dst WHERE e.seg_id IN (5, 11, 40) UNION SELECT s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des WHERE e.seg_id IN (5, 11, 40)) SELECT prj_name AS district, count(*)::BIGINT AS segments, sum(coalesce(local_ha, 0))::DOUBLE AS area_ha FROM ls JOIN seg USING (seg_id) LEFT JOIN loc USING (seg_id) GROUP BY 1")
@@ -392,9 +448,7 @@ def _(spark, d):
 @query("N4_covered_canals", f"{TREE}, ls AS (SELECT e.seg_id AS scenario, s.seg_id FROM seg e JOIN seg s ON s.src = e.dst UNION ALL SELECT e.seg_id, s.seg_id FROM seg e JOIN cl ON anc = e.dst JOIN seg s ON s.src = des UNION ALL SELECT seg_id, seg_id FROM seg) SELECT scenario, string_agg(DISTINCT prj_name, ',' ORDER BY prj_name) AS canals FROM ls JOIN seg USING (seg_id) GROUP BY 1")
 def _(spark, d):
     s = settle(T.segments(spark, d).withColumn("canal", F.col("prj_name")))
-    sc = s.select(F.col("seg_id").alias("scenario"), "seg_id")
-    lost = failure.lost_segments(s, graph.losses(s.select("seg_id", "src", "dst"), root(spark)), sc)
-    return failure.covered_canals(lost, s).select("scenario", F.array_join("canals", ",").alias("canals"))
+    return failure.cut_canals(s, tree.dominators(s, root(spark)), s).select("scenario", F.array_join("canals", ",").alias("canals"))
 
 
 def _km(x: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.params import VALUES
-from ..operators import economics, failure, graph, health, naming, spatial, supply
+from ..operators import economics, failure, graph, health, naming, spatial, supply, tree
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ class Runner:
 
 
 def analysis(budget: float = VALUES["budget"]) -> list[Stage]:
-    """health -> closure -> command -> ranking -> paths -> plan -> losses -> failures -> names.
+    """health -> command -> ranking -> paths -> plan -> failures -> names.
 
     Inputs: segments (seg_id, src, dst, length_m, can_type, can_name, prj_name, district), sources (node),
     points (seg_id, p_impaired, pred_class), cells (seg_id, district, crop_class, area_ha), economics
@@ -64,19 +64,19 @@ def analysis(budget: float = VALUES["budget"]) -> list[Stage]:
         a = cells.groupBy("seg_id").agg(F.sum("area_ha").alias("local_ha"))
         return segments.join(a, "seg_id", "left").withColumn("local_ha", F.coalesce("local_ha", F.lit(0.0)))
 
-    def ranking(loc, pairs, h):
-        command = graph.downstream_sum(loc, "local_ha", pairs).select("seg_id", F.col("total").alias("command_ha"))
-        j = loc.join(command, "seg_id").join(graph.tree_betweenness(loc, pairs), "seg_id").join(h.select("seg_id", "health_score", "dominant_class"), "seg_id", "left")
+    def ranking(loc, h):
+        command = graph.downstream_sum(loc, "local_ha").select("seg_id", F.col("total").alias("command_ha"))
+        j = loc.join(command, "seg_id").join(graph.tree_betweenness(loc), "seg_id").join(h.select("seg_id", "health_score", "dominant_class"), "seg_id", "left")
         return supply.rank_segments(j)
 
     def plan(ranked, paths, multipliers):
         s = economics.with_cost(ranked, multipliers)
         return supply.greedy_plan(s, paths, s.sparkSession.createDataFrame([("default", float(budget))], "scenario string, budget double"))
 
-    def failures(ranked, losses, cells, eco, multipliers):
+    def failures(ranked, sources, cells, eco, multipliers):
         s = economics.with_cost(ranked, multipliers)
-        lost = failure.lost_segments(s, losses, s.select(F.col("seg_id").alias("scenario"), "seg_id"))
-        return failure.failure_records(lost, s.select("seg_id", "district", "cost_inr"), cells, eco)
+        counts, area = failure.single_failures(s, tree.dominators(s, sources), cells)
+        return failure.records(counts, area, s.select("seg_id", "district", "cost_inr", "can_name", "can_type", "length_m"), eco)
 
     def names(segments, sources):
         up = segments.select("seg_id", F.col("src").alias("n")).join(segments.groupBy(F.col("dst").alias("n")).agg(F.min("seg_id").alias("up")), "n").select("seg_id", "up")
@@ -85,12 +85,10 @@ def analysis(budget: float = VALUES["budget"]) -> list[Stage]:
     return [
         Stage("health", ("points",), health.segment_health),
         Stage("local", ("segments", "cells"), local),
-        Stage("pairs", ("segments",), graph.closure),
-        Stage("ranked", ("local", "pairs", "health"), ranking),
+        Stage("ranked", ("local", "health"), ranking),
         Stage("paths", ("segments", "sources"), lambda s, r: graph.supply_paths(s, graph.hops(s, r, directed=True))),
         Stage("plan", ("ranked", "paths", "multipliers"), plan),
-        Stage("losses", ("segments", "sources"), graph.losses),
-        Stage("failures", ("ranked", "losses", "cells", "economics", "multipliers"), failures),
+        Stage("failures", ("ranked", "sources", "cells", "economics", "multipliers"), failures),
         Stage("names", ("segments", "sources"), names),
     ]
 

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -75,6 +75,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``settle`` with the number of rows, which is counted while they are written."""
+    seen = Observation()
+    out = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return out, seen.get["rows"]
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes what ``settle`` and ``fresh`` have made; frames built on it can't be read any more."""
     for path in list(_made):
