@@ -22,6 +22,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 
 import numpy as np
@@ -304,32 +305,64 @@ _FOUND = "array<struct<paragraph:int,family:string,probability:double,similarity
 _FOUND_ARROW = pa.list_(pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_()), ("text", pa.string())]))
 
 
-def _units(m: Model, t: Templates, data: np.ndarray, off: np.ndarray, lines: np.ndarray, found: list[list[dict]], firsts: np.ndarray, taken: dict[int, list]) -> None:
+class Spans:
+    """Statements of one text by place: what overlaps a span is found by binary search among spans of like length."""
+
+    def __init__(self) -> None:
+        self.by: dict[int, list[tuple[int, int, int, int, dict]]] = {}
+        self.made = 0
+
+    def add(self, a: int, b: int, k: int, entry: dict) -> None:
+        self.made += 1
+        insort(self.by.setdefault((b - a).bit_length(), []), (a, self.made, b, k, entry), key=lambda x: x[:2])
+
+    def over(self, a: int, b: int) -> list[tuple[int, int, int, dict]]:
+        """The spans (start, end, family, entry) that overlap [a, b), in the order in which they were added."""
+        out = []
+        for bits, spans in self.by.items():
+            for x in spans[bisect_left(spans, a - (1 << bits), key=lambda x: x[0]) : bisect_left(spans, b, key=lambda x: x[0])]:
+                if x[2] > a:
+                    out.append(x)
+        return [(x[0], x[2], x[3], x[4]) for x in sorted(out, key=lambda x: x[1])]
+
+    def drop(self, entry: dict, a: int, b: int) -> None:
+        spans = self.by[(b - a).bit_length()]
+        at = bisect_left(spans, a, key=lambda x: x[0])
+        while spans[at][4] is not entry:
+            at += 1
+        del spans[at]
+
+
+def _units(m: Model, t: Templates, data: np.ndarray, off: np.ndarray, lines: np.ndarray, found: list[list[dict]], firsts: np.ndarray, taken: dict[int, Spans]) -> None:
     """Adds the statements of sentences and windows to what the lines of a block have shown: ``taken`` has
-    (start, end, family, entry) by document.  Of statements that overlap, the confirmed and likelier counts,
+    the statements so far by document.  Of statements that overlap, the confirmed and likelier counts,
     others only if a template confirms another family; a line's entry is confirmed by its sentence."""
     first, last, count, window, feats = unit_features(data, off)
     if not len(first):
         return
     none = m.families.index(NONE)
     p = m.probabilities(count, feats)
-    hits = []
+    hits, gone, seen = [], set(), {}
     for i in np.flatnonzero(p[:, none] < 0.5).tolist():
         k, a, b = int(p[i, :none].argmax()), int(first[i]), int(last[i])
         doc = int(np.searchsorted(off, a, "right")) - 1
         text = data[a:b].tobytes().decode("utf-8", "replace")
-        like = t.similarity(m.families[k], text)
+        if (k, text) not in seen:
+            seen[k, text] = t.similarity(m.families[k], text)
+        like = seen[k, text]
         if like < SIMILAR and window[i]:  # a statement may begin before the window or end after it
             around = data[max(int(off[doc]), a - 300) : min(int(off[doc + 1]), b + 300)].tobytes().decode("utf-8", "replace")
             like = max(like, t.within(m.families[k], around))
         if like >= SIMILAR or not window[i] or p[i, k] >= m.known:
             hits.append((like < SIMILAR, -float(p[i, k]), b - a, a, b, k, doc, like, text))
     for loose, q, _, a, b, k, doc, like, text in sorted(hits):
+        spans = taken.setdefault(doc, Spans())
         if not loose:  # unconfirmed pieces of a confirmed statement are no statements of their own
-            pieces = [x for x in taken.get(doc, []) if a <= x[0] and x[1] <= b and not x[3]["confirmed"]]
-            taken[doc] = [x for x in taken.get(doc, []) if all(x is not y for y in pieces)]
-            found[doc][:] = [e for e in found[doc] if all(e is not y[3] for y in pieces)]
-        over = [x for x in taken.get(doc, []) if x[0] < b and a < x[1]]
+            for x in spans.over(a, b):
+                if a <= x[0] and x[1] <= b and not x[3]["confirmed"]:
+                    spans.drop(x[3], x[0], x[1])
+                    gone.add(id(x[3]))
+        over = spans.over(a, b)
         same = [x for x in over if x[2] == k]
         if same and not loose:
             if not any(x[3]["confirmed"] for x in same):
@@ -338,10 +371,10 @@ def _units(m: Model, t: Templates, data: np.ndarray, off: np.ndarray, lines: np.
             at = int(np.searchsorted(lines, a, "right")) - 1
             family = m.families[k] if -q >= m.known or not loose else UNKNOWN
             entry = {"paragraph": at - int(firsts[doc]), "family": family, "probability": -q, "similarity": like, "confirmed": not loose, "text": text}
-            taken.setdefault(doc, []).append((a, b, k, entry))
+            spans.add(a, b, k, entry)
             found[doc].append(entry)
     for doc in {x[6] for x in hits}:
-        found[doc].sort(key=lambda e: e["paragraph"])
+        found[doc][:] = sorted((e for e in found[doc] if id(e) not in gone), key=lambda e: e["paragraph"])
 
 
 def scan_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -365,14 +398,14 @@ def scan_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 number[row:end] = per
                 firsts = np.concatenate([[0], np.cumsum(per)[:-1]])
                 p = m.probabilities(count, feats)
-                taken: dict[int, list] = {}
+                taken: dict[int, Spans] = {}
                 for i in np.flatnonzero(p[:, none] < 0.5).tolist():
                     k = int(p[i, :none].argmax())
                     text = data[start[i] : stop[i]].tobytes().decode("utf-8", "replace").strip()
                     like = t.similarity(m.families[k], text)
                     family = m.families[k] if p[i, k] >= m.known or like >= SIMILAR else UNKNOWN
                     found[row + owner[i]].append({"paragraph": i - int(firsts[owner[i]]), "family": family, "probability": float(p[i, k]), "similarity": like, "confirmed": like >= SIMILAR, "text": text})
-                    taken.setdefault(int(owner[i]), []).append((int(start[i]), int(stop[i]), k, found[row + owner[i]][-1]))
+                    taken.setdefault(int(owner[i]), Spans()).add(int(start[i]), int(stop[i]), k, found[row + owner[i]][-1])
                 _units(m, t, data, off, start, found[row:end], firsts, taken)
             yield pa.record_batch([b.column("doc_id"), pa.array(number), pa.array(found, _FOUND_ARROW)], names=["doc_id", "n_paragraphs", "found"])
 

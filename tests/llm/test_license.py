@@ -1,8 +1,12 @@
 """Operator 8: the classifier, its scoring and the documents that it scans."""
 
+import random
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import license_scan as ls
 from sluice.llm.common import table
@@ -101,3 +105,30 @@ def test_probabilities_against_plain_sums():
         e = np.exp(z - z.max())
         assert np.allclose(p, e / e.sum())
     assert m.families[int(got[0].argmax())] == "apache" and m.families[int(got[2].argmax())] == ls.NONE
+
+
+def test_many_statements_in_one_text(spark, model):
+    """A megabyte of statements takes seconds: what overlaps is searched, not scanned."""
+    lines = ["Released under the MIT License."] * 30_000
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    t = time.perf_counter()
+    got = ls.scan_documents(docs, model).select("n_paragraphs", F.size("found"), F.array_distinct("found.family"), F.array_distinct("found.confirmed")).first()
+    assert tuple(got) == (len(lines), len(lines), ["mit"], [True])
+    assert time.perf_counter() - t < 90
+
+
+def test_spans_by_search_equal_a_scan():
+    rng = random.Random(2)
+    spans, plain = ls.Spans(), []
+    for i in range(400):
+        a = rng.randrange(5000)
+        b = a + rng.choice([1, 3, 40, 700, 4000])
+        entry = {"i": i}
+        spans.add(a, b, i % 3, entry)
+        plain.append((a, b, i % 3, entry))
+        if i % 7 == 3:
+            a, b, _, entry = plain.pop(rng.randrange(len(plain)))
+            spans.drop(entry, a, b)
+        a = rng.randrange(5000)
+        b = a + rng.choice([1, 90, 1000])
+        assert spans.over(a, b) == [x for x in plain if x[0] < b and a < x[1]]
