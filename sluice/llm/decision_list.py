@@ -198,10 +198,11 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, least: fl
 
 
 def fit(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DecisionList:
-    """Learns from at most ``sample`` labelled documents that pass the base rule."""
+    """Learns from at most ``sample`` labelled documents that pass the base rule; of rows that share an id, from the
+    one with the least statistics, so the rules don't depend on the order of rows."""
     labels = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     labels = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = stats.where(~base_failed()).join(F.broadcast(labels), "doc_id").dropDuplicates(["doc_id"])
+    rows = stats.where(~base_failed()).join(F.broadcast(labels), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*STATS)).alias("s")).select("doc_id", "quality", "s.*")
     got = rows.select("doc_id", "quality", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("fold"), *[c.alias(k) for k, c in features().items()]).toPandas().sort_values("doc_id")
     return learn({k: got[k].to_numpy() for k in features()}, got["quality"].to_numpy() == 0, got["fold"].to_numpy())
 

@@ -99,12 +99,15 @@ def _sparse(batches):
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, quality and sparse features of at most ``sample`` labelled documents that aren't held out."""
+    """doc_id, quality and sparse features of at most ``sample`` labelled documents that aren't held out; of rows that
+    share an id, of the one whose text has the least hash (then the least text), so reruns learn the same."""
     bounded_batches(docs.sparkSession)
     labels = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     labels = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(labels), "doc_id")
+    one = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x"))
+    rows = one.select("doc_id", F.col("x.text").alias("text"), "quality").repartition(docs.sparkSession.sparkContext.defaultParallelism, "doc_id")
     return rows.mapInArrow(_sparse, "doc_id long, quality int, index array<int>, weight array<float>")
 
 
@@ -143,7 +146,7 @@ def train(index: list[np.ndarray], weight: list[np.ndarray], label: np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    got = sample_of(docs, labels, sample).toArrow().to_pandas().drop_duplicates("doc_id").sort_values("doc_id")
+    got = sample_of(docs, labels, sample).toArrow().to_pandas().sort_values("doc_id")
     return train([np.asarray(x) for x in got["index"]], [np.asarray(x) for x in got["weight"]], got["quality"].to_numpy(dtype=np.int64))
 
 

@@ -467,6 +467,16 @@ def test_rules_are_learned():
     assert (hit == bad).mean() > 0.97 and len(rules.rules) <= 6
 
 
+def test_models_do_not_depend_on_the_order_of_rows(spark, docs, sf):
+    """Ids that occur with two texts: the same row is learned from, however rows are dealt."""
+    labels = table(spark, sf, "labels")
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.reverse("text"), F.lit(" # $ % *")))).select("doc_id", "text")
+    rules = [decision_list.fit(decision_list.statistics(twice.repartition(k)), labels) for k in (1, 3, 5)]
+    assert rules[0] == rules[1] == rules[2]
+    models = [subword_quality.fit(twice.repartition(k), labels) for k in (1, 3, 5)]
+    assert all((m.weight == models[0].weight).all() and m.bias == models[0].bias for m in models[1:])
+
+
 # --- operator 10
 
 
