@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..state import settle
+
 
 def quantile(x: Column, q: float) -> Column:
     """Exact quantile by linear interpolation."""
@@ -52,3 +54,18 @@ def top_share(df: DataFrame, keys: list[str], name: str, value: str, k: int = 3)
     s = df.withColumn("_s", F.col(value) / F.sum(value).over(w)).withColumn("_rn", F.row_number().over(w.orderBy(F.desc("_s"), F.asc(name)))).where(F.col("_rn") <= k)
     text = F.concat(F.col(name), F.lit(" "), F.bround(F.col("_s") * 100, 0).cast("int").cast("string"), F.lit("%"))
     return s.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", text.alias("t")))), lambda x: x["t"]), "; ").alias("mix"))
+
+
+def running(df: DataFrame, name: str, value: str, *order: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows before each, in a total order: rows are dealt by range, ranges are
+    summed, and a row's sum is its range's start plus the sum within the range, so no task sees the whole table."""
+    dealt = settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sums = sorted((r["_range"], r["s"]) for r in dealt.groupBy("_range").agg(F.sum(value).alias("s")).collect())  # a row a partition
+    starts, at = [], 0
+    for r, s in sums:
+        starts.append((r, at))
+        at += s or 0
+    kind = df.schema[value].dataType.simpleString()
+    starts = df.sparkSession.createDataFrame(starts, f"_range int, _start {kind}")
+    before = F.coalesce(F.sum(value).over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.withColumn("_before", before).join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_before")).drop("_range", "_start", "_before")

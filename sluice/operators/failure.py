@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio
@@ -107,16 +107,18 @@ def canal_rollup(segs: DataFrame) -> DataFrame:
 
 def decision_score(rows: DataFrame) -> DataFrame:
     """Adds score, 0 to 100, relative to these rows: revenue 0.40, poor health 0.35, area 0.25."""
-    one = Window.partitionBy(F.lit(0))
-    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.max(c).over(one)), F.lit(0.0))
-    return rows.withColumn("score", 100 * (0.40 * share("revenue_inr") + 0.35 * (1 - F.col("health")) + 0.25 * share("area_ha")))
+    top = rows.agg(F.max("revenue_inr").alias("_r"), F.max("area_ha").alias("_a"))  # one row
+    share = lambda c, m: F.coalesce(F.try_divide(F.col(c), F.col(m)), F.lit(0.0))
+    score = 100 * (0.40 * share("revenue_inr", "_r") + 0.35 * (1 - F.col("health")) + 0.25 * share("area_ha", "_a"))
+    return rows.join(F.broadcast(top)).withColumn("score", score).drop("_r", "_a")
 
 
 def verdict(scored: DataFrame, key: str = "canal") -> DataFrame:
     """One row: winner, runner_up and gap; none for fewer than two rows."""
-    w = Window.orderBy(F.desc("score"), key)
-    r = scored.withColumn("_rn", F.row_number().over(w)).withColumn("runner_up", F.lead(key).over(w)).withColumn("gap", F.col("score") - F.lead("score").over(w))
-    return r.where("_rn = 1 and runner_up is not null").select(F.col(key).alias("winner"), "score", "runner_up", "gap")
+    best = scored.select(key, "score").orderBy(F.desc("score"), key).limit(2)
+    two = best.agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), F.col(key).alias("key"), "score"))).alias("_t")).where(F.size("_t") > 1)
+    first, second = F.col("_t")[0], F.col("_t")[1]
+    return two.select(first["key"].alias("winner"), first["score"].alias("score"), second["key"].alias("runner_up"), (first["score"] - second["score"]).alias("gap"))
 
 
 def covered_canals(lost: DataFrame, segs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..operators import health, lines
 from ..sources import grids, kml, tables
 from ..state import fresh as _fresh
 from ..state import settle
-from ..streaming import events
+from ..streaming import chunks, events
 from . import stages
 from . import testmap as T
 from .network import root, scored_segments
@@ -132,6 +132,24 @@ def _(spark, d):
     return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("K4_replace", "SELECT o_orderkey, o_orderpriority, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0)::BIGINT AS seen_before FROM orders")
+def _(spark, d):
+    """A table is replaced while a reader has it; a write that fails midway leaves the old version to be read."""
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    path = _fresh(spark, "replaced")
+    tables.replace(o.where("o_orderkey % 2 = 0"), path)
+    reader = tables.read_current(spark, path)
+    broken = o.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 == 3, F.raise_error(F.lit("a write that fails")).cast("long")).otherwise(F.col("o_orderkey")))
+    try:
+        tables.replace(broken, path, attempts=1)
+    except Exception:  # noqa: BLE001 - the point of the query
+        pass
+    n = tables.read_current(spark, path).count()
+    tables.replace(o, path)
+    seen = reader.agg(F.when(F.count(F.lit(1)) == n, F.lit(n)).alias("seen_before"))  # the old version, still there
+    return tables.read_current(spark, path).join(F.broadcast(seen))
+
+
 @query("K7_model_save")
 def _(spark, d):
     from pyspark.ml import PipelineModel
@@ -154,8 +172,10 @@ def _(spark, d):
 
 @query("M5_permutation_importance")
 def _(spark, d):
-    rows = settle(_labelled(spark, d))
-    return health.permutation_importance(health.train_forest(rows, ["a", "b"], "label", trees=10), rows, ["a", "b"], "label", 1)
+    """20 dealings of each feature over the groups that were held out of the training, beside the forest's Gini importance."""
+    rows = settle(health.held_out_groups(_labelled(spark, d), "source"))
+    model = health.train_forest(rows.where("not held_out"), ["a", "b"], "label", trees=100)
+    return health.permutation_importance(model, rows.where("held_out").drop("held_out"), ["a", "b"], "label")
 
 
 @query("M6_class_probabilities")
@@ -176,6 +196,30 @@ def _(spark, d):
     return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("T1_chunks", "SELECT event_type, count(*)::BIGINT AS n, round(sum(value * 2), 6) AS total FROM events WHERE value IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    """Extraction in chunks of 400: every third chunk fails at first and is tried again, every tenth fails in the whole
+    first run; the second run extracts just what is missing, and every row lands once."""
+    e = T.table(spark, d, "events").where("value is not null").select("event_id", "event_type", "value")
+    out, kinds = _fresh(spark, "chunks"), "event_id long, event_type string, twice double"
+    for run in (0, 1):
+        chunks.resume(spark, e, _fetch(run), kinds, out, "event_id", pause=0.0)
+    return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("twice"), 6).alias("total"))
+
+
+def _fetch(run: int):
+    calls: dict[int, int] = {}
+
+    def fetch(pdf):
+        k = int(pdf["chunk"].iloc[0])
+        calls[k] = calls.get(k, 0) + 1
+        if (k % 3 == 0 and calls[k] == 1) or (k % 10 == 9 and run == 0):
+            raise OSError("no answer")
+        return pdf.assign(twice=pdf["value"] * 2)
+
+    return fetch
+
+
 @query("M9_class_guard", "WITH g AS (SELECT source AS klass, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY 1) SELECT klass, n::BIGINT AS n, CASE WHEN count(*) OVER () < 2 THEN 'labels of two classes at least are needed' WHEN n < 5 THEN 'only ' || n || ' rows' ELSE '' END AS warning FROM g WHERE klass IS NOT NULL")
 def _(spark, d):
     rows = T.table(spark, d, "documents").select("doc_id", "source").join(T.table(spark, d, "labels").where("toxic = 1"), "doc_id")

@@ -193,11 +193,11 @@ def _(spark, d):
     return spatial.sample_points(s).select("point_id", "k", "chainage_m")
 
 
-@query("X7_cell_centres", "SELECT r AS row, c AS col, round(-0.5 + (c + 0.5) / 20, 10)::DOUBLE AS x, round(0.5 - (r + 0.5) / 20, 10)::DOUBLE AS y FROM (SELECT unnest(range(20)) AS r), (SELECT unnest(range(20)) AS c)")
+@query("X7_cell_centres", f"WITH {_CELLS} SELECT row, col, round(-0.5 + (col + 0.5) / 20, 10)::DOUBLE AS x, round(0.5 - (row + 0.5) / 20, 10)::DOUBLE AS y, n::BIGINT AS n FROM ce")
 def _(spark, d):
-    g = spark.range(400).select(F.floor(F.col("id") / 20).cast(L).alias("row"), (F.col("id") % 20).alias("col"))
+    """The centres of the cells that hold points."""
     x, y = geo.cell_centre(F.col("row"), F.col("col"), BOUNDS, 20, 20)
-    return g.select("row", "col", F.round(x, 10).alias("x"), F.round(y, 10).alias("y"))
+    return _indexed(spark, d).groupBy("row", "col").agg(F.count(F.lit(1)).alias("n")).select("row", "col", F.round(x, 10).alias("x"), F.round(y, 10).alias("y"), "n")
 
 
 @query("X8_cell_index", f"WITH {_CELLS} SELECT id, row, col FROM ix")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..functions import stats
 from ..operators import economics, failure, health
-from ..state import if_small, ranked
+from ..state import if_small, ranked, settle
 from . import testmap as T
 from .registry import query
 
@@ -45,11 +45,14 @@ def _(spark, d):
 _TYPES = "VALUES ('STANDARD', 2.0), ('PROMO', 1.5), ('ECONOMY', 0.7)"
 
 
-@query("S10_constant_table", f"SELECT t AS can_type, m::DOUBLE AS multiplier FROM ({_TYPES}) v(t, m)")
+@query("S10_constant_table", f"SELECT p_partkey AS seg_id, p_size * coalesce(m, 1.0)::DOUBLE AS scaled FROM part LEFT JOIN ({_TYPES}) v(t, m) ON split_part(p_type, ' ', 1) = t")
 def _(spark, d):
+    """Constants as a table that the parts are joined to."""
     from ..functions.params import mapping
 
-    return mapping(spark, {"STANDARD": 2.0, "PROMO": 1.5, "ECONOMY": 0.7}, "can_type", "multiplier")
+    m = mapping(spark, {"STANDARD": 2.0, "PROMO": 1.5, "ECONOMY": 0.7}, "can_type", "multiplier")
+    p = T.table(spark, d, "part").select(F.col("p_partkey").alias("seg_id"), "p_size", F.split("p_type", " ")[0].alias("can_type"))
+    return p.join(F.broadcast(m), "can_type", "left").select("seg_id", (F.col("p_size") * F.coalesce("multiplier", F.lit(1.0))).alias("scaled"))
 
 
 @query("K8_json_payload", "SELECT n_nationkey::BIGINT AS k, '{\"id\":' || n_nationkey || ',\"name\":\"' || n_name || '\"}' AS payload FROM nation")
@@ -412,7 +415,11 @@ def _(spark, d):
 
 @query("W6_percentile", f"WITH {T.SEG} SELECT seg_id, round(percent_rank() OVER (ORDER BY length_m), 8) AS p FROM seg")
 def _(spark, d):
-    return T.segments(spark, d).select("seg_id", F.round(F.percent_rank().over(Window.orderBy("length_m")), 8).alias("p"))
+    # lengths are counted first: a row's place is the number of rows that are shorter
+    s = settle(T.segments(spark, d).select("seg_id", "length_m"))
+    per = stats.running(s.groupBy("length_m").agg(F.count(F.lit(1)).alias("n")), "below", "n", "length_m")
+    n = s.count()
+    return s.join(per, "length_m").select("seg_id", F.round(F.col("below") / F.lit(float(max(1, n - 1))), 8).alias("p"))
 
 
 @query("W7_number_collisions", f"WITH {T.SEG} SELECT seg_id, CASE WHEN count(*) OVER (PARTITION BY prj_name) > 1 THEN prj_name || ' #' || row_number() OVER (PARTITION BY prj_name ORDER BY seg_id) ELSE prj_name END AS name FROM seg")
@@ -468,7 +475,8 @@ def _(spark, d):
 
 @query("O5_seeded_shuffle", "SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id))::BIGINT AS pos FROM documents")
 def _(spark, d):
-    return T.table(spark, d, "documents").select("doc_id", F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))))).cast(L).alias("pos"))
+    k = T.table(spark, d, "documents").select("doc_id", F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))).alias("k"))
+    return ranked(k, "pos", "k").select("doc_id", "pos")
 
 
 @query("O6_group_order", f"WITH {T.SEG} SELECT seg_id, dense_rank() OVER (ORDER BY best, prj_name)::BIGINT AS g, row_number() OVER (PARTITION BY prj_name ORDER BY length_m, seg_id)::BIGINT AS i FROM (SELECT *, min(seg_id) OVER (PARTITION BY prj_name) AS best FROM seg)")
@@ -604,9 +612,9 @@ def _(spark, d):
     return economics.with_cost(T.segments(spark, d), m).select("seg_id", F.round("cost_inr", 4).alias("cost"))
 
 
-@query("F17_gross_revenue", "SELECT round(2369 * 10 * 3.45 * 1.0, 4)::DOUBLE AS inr_per_ha")
+@query("F17_gross_revenue", "SELECT l_partkey AS seg_id, round(sum(l_quantity) * (2369 * 10 * 3.45 * 1.0), 2)::DOUBLE AS revenue_inr FROM lineitem GROUP BY 1")
 def _(spark, d):
-    return spark.range(1).select(F.round(F.lit(economics.paddy_revenue_per_ha()), 4).alias("inr_per_ha"))
+    return T.local_area(spark, d).select("seg_id", F.round(F.col("local_ha") * economics.paddy_revenue_per_ha(), 2).alias("revenue_inr"))
 
 
 @query("F18_dependency", "SELECT c_custkey AS k, round(-c_acctbal / 100, 8) AS deficit, round(CASE WHEN c_acctbal > 0 THEN least(greatest(1 - 500 / c_acctbal, 0.0), 1.0) ELSE 0.5 END, 8)::DOUBLE AS dependency FROM customer")

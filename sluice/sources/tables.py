@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +67,59 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+CURRENT = "CURRENT"
+
+
+def _files(spark: SparkSession, path: str):
+    """(file context, a Hadoop path maker) of the store that holds ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return hadoop.FileContext.getFileContext(at.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def replace(df: DataFrame, path: str, attempts: int = 3, keep: int = 2) -> str:
+    """Replaces a table in one step: returns the version that ``read_current`` reads from now on.
+
+    The rows are written to a folder of their own, with ``attempts`` tries; only when all are there does a pointer
+    file, renamed over the old one, name that folder.  Until then, and if the write fails, readers have the old
+    version; the last ``keep`` versions stay for those that are still reading.
+    """
+    spark = df.sparkSession
+    files, at = _files(spark, path)
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    for k in range(attempts):
+        try:
+            df.write.mode("overwrite").parquet(f"{path}/{version}")
+            break
+        except Exception:
+            if k == attempts - 1:
+                files.delete(at(f"{path}/{version}"), True)
+                raise
+    note = f"{path}/.{version}"
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.text(note)
+    part = next(x for x in files.util().listStatus(at(note)) if x.getPath().getName().startswith("part-")).getPath()
+    how = spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    over = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    over[0] = spark._jvm.java.lang.Enum.valueOf(how, "OVERWRITE")
+    files.rename(part, at(f"{path}/{CURRENT}"), over)
+    files.delete(at(note), True)
+    for old in versions(spark, path)[:-keep]:
+        files.delete(at(f"{path}/{old}"), True)
+    return version
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions of a replaced table that are still there, oldest first."""
+    files, at = _files(spark, path)
+    return sorted(x.getPath().getName() for x in files.util().listStatus(at(path)) if re.fullmatch(r"v\d{20}-\w{8}", x.getPath().getName()))
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The version of a replaced table that its pointer names; it stays the same for this frame."""
+    name = spark.read.text(f"{path}/{CURRENT}").first()[0]
+    return spark.read.parquet(f"{path}/{name}")
+
+
 def read_polygons(spark: SparkSession, path: str, name: str) -> DataFrame:
     """name, ring of the polygons in GeoJSON feature collections: outer rings, a row for each part of a
     multi-polygon; ``name`` is the property that names a feature."""
