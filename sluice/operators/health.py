@@ -175,7 +175,7 @@ def permutation_importance(model, rows: DataFrame, features: list[str], label: s
     dealt = base.join(deal).withColumn("_j", (F.col("_a") * F.col("_i") + F.col("_b")) % n)
     given = base.select(F.col("_i").alias("_j"), *[F.col(f).alias(f"_v_{f}") for f in features])
     mixed = dealt.join(given, "_j").withColumns({f: F.when(F.col("_f") == f, F.col(f"_v_{f}")).otherwise(F.col(f)) for f in features})
-    mixed = mixed.select(*rows.columns, F.col("_f").alias("dealt"), F.col("_r").alias("deal"))
+    mixed = settle(mixed.select(*rows.columns, F.col("_f").alias("dealt"), F.col("_r").alias("deal")))
     hit = F.avg((F.col("pred_class") == F.col(label)).cast("double"))
     whole = predict_forest(model, base.drop("_i"), []).agg(hit).first()[0]
     drop = predict_forest(model, mixed, []).groupBy("dealt", "deal").agg(hit.alias("_s")).groupBy("dealt").agg(F.avg(F.lit(whole) - F.col("_s")).alias("drop"))
