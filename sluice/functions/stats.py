@@ -56,7 +56,7 @@ def top_share(df: DataFrame, keys: list[str], name: str, value: str, k: int = 3)
     return s.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", text.alias("t")))), lambda x: x["t"]), "; ").alias("mix"))
 
 
-def running(df: DataFrame, name: str, value: str, *order: str) -> DataFrame:
+def running(df: DataFrame, name: str, value: str, *order: Column | str) -> DataFrame:
     """``df`` with the sum of ``value`` over the rows before each, in a total order: rows are dealt by range, ranges are
     summed, and a row's sum is its range's start plus the sum within the range, so no task sees the whole table."""
     dealt = settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))

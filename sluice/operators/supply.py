@@ -149,6 +149,68 @@ def greedy_plan(segs: DataFrame, paths: DataFrame, budgets: DataFrame, target: f
     return budgets.select("scenario", F.col("budget").cast("double")).groupBy("scenario").applyInPandas(run, kinds)
 
 
+#: Candidates of a batch of picks that the driver knows at once.
+CANDIDATES = 5_000
+
+
+def route_plan(segs: DataFrame, way: Routes, budgets: DataFrame, target: float = TARGET, most: int = CANDIDATES) -> DataFrame:
+    """The plan of ``greedy_plan`` without the pairs of paths.
+
+    A pick raises what the segments below it serve by a factor, and what those above it serve by an amount, and changes
+    nothing else.  So a batch of picks needs only the ``most`` best candidates, with their places in the forest
+    (``tree.intervals``): it goes on as long as the best of them beats a bound on what any other could have risen to.
+    Then all gains are summed anew, by doubling, with the picks' healths raised.  Where all candidates fit, one batch
+    makes the whole plan.
+    """
+    import numpy as np
+
+    spark = segs.sparkSession
+    h = clip(F.col("health"), 0.01, 1.0)
+    segs = settle(segs.select("seg_id", F.col("local_ha").cast("double").alias("local_ha"), h.alias("health"), F.col("cost_inr").cast("double").alias("cost_inr"), "rank"))
+    at = tree.intervals(way.ups, way.nodes)
+    head = way.up.join(at, "node").select(F.col("parent_seg").alias("seg_id"), F.col("enter").alias("low"), (F.col("enter") + F.col("size")).alias("high"))
+    place = settle(way.edges.join(at.select(F.col("node").alias("src"), F.col("enter").alias("at")), "src").select("seg_id", "at").join(head, "seg_id", "left"))
+    rise = F.greatest(F.col("health"), F.lit(target)) / F.col("health") - 1
+    out = []
+    for scenario, budget in budgets.select("scenario", F.col("budget").cast("double")).collect():  # a few
+        picked, spent, total = [], 0.0, 0.0
+        while True:
+            now = cleaned(segs, spark.createDataFrame([(k,) for k in picked], segs.select("seg_id").schema), target) if picked else segs
+            gain = route_marginals(now, way, target).where("marginal_ha > 0")
+            able = settle(gain.join(now, "seg_id").where(F.col("cost_inr") <= budget - spent).join(place, "seg_id").withColumn("rise", rise).withColumn("per", F.col("marginal_ha") / F.greatest("cost_inr", F.lit(1.0))))
+            top = able.orderBy(F.desc("per"), "rank", "seg_id").limit(most).collect()
+            if not top:
+                break
+            top.sort(key=lambda r: (r["rank"], r["seg_id"]))
+            full = len(top) < most
+            least = 0.0 if full else min(r["per"] for r in top)
+            rate = 0.0 if full else able.agg(F.max(F.col("rise") / F.greatest("cost_inr", F.lit(1.0)))).first()[0]
+            col = lambda c: np.array([np.nan if r[c] is None else r[c] for r in top], dtype=float)  # noqa: E731,B023
+            cost, up, low, high, pos = col("cost_inr"), col("rise"), col("low"), col("high"), col("at")
+            served, grown, added, made = col("marginal_ha") / up, 1.0, 0.0, 0
+            while True:
+                score = np.where((spent + cost <= budget) & (up * served > 0), up * served / np.maximum(cost, 1.0), -1.0)
+                b = int(score.argmax())
+                if score[b] <= 0 or (made and not full and score[b] <= least * grown + rate * added):
+                    break
+                gain_b, factor = up[b] * served[b], 1 + up[b]
+                made, spent, total = made + 1, spent + cost[b], total + gain_b
+                picked.append(top[b]["seg_id"])
+                out.append((scenario, len(picked), top[b]["seg_id"], float(cost[b]), float(gain_b), float(total)))
+                under = (pos >= low[b]) & (pos < high[b])
+                under[b] = True
+                over = (low <= pos[b]) & (pos[b] < high)
+                over[b] = False
+                grown, added = grown * factor, added * factor + gain_b
+                served[over] += gain_b
+                served[under] *= factor
+                up[b] = 0.0
+            if full:
+                break
+    kinds = f"scenario {budgets.schema['scenario'].dataType.simpleString()}, work_order int, seg_id {segs.schema['seg_id'].dataType.simpleString()}, cost_inr double, marginal_ha double, cumulative_ha double"
+    return spark.createDataFrame(out, kinds)
+
+
 def complaint_weight(health, length_m):
     """How likely a segment is to be picked by complaint: poor and long ones more."""
     return F.greatest((1 - health) * F.sqrt(length_m), F.lit(1e-9))

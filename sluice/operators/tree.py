@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import running
 from ..state import settle, settle_counted
 
 CAP = 10_000
@@ -82,6 +83,18 @@ def pairs(ups: list[DataFrame], nodes: DataFrame) -> DataFrame:
     return p
 
 
+def intervals(ups: list[DataFrame], nodes: DataFrame) -> DataFrame:
+    """node, enter, size: a numbering in which the nodes below a node, itself included, are those from enter to
+    enter + size - 1.  A node's number is the sum, up to its root, of the sizes of earlier siblings, and one a level."""
+    size = below(ups, nodes.select("node").withColumn("size", F.lit(1).cast("long")), "size")
+    up = ups[0] if ups else nodes.select("node", F.col("node").alias("up")).limit(0)
+    kin = size.join(up, "node", "left")
+    kin = settle(running(kin, "prior", "size", F.col("up").asc_nulls_first(), F.col("node").asc()))
+    first = kin.groupBy("up").agg(F.min("prior").alias("_first")).withColumnRenamed("up", "_u")
+    step = kin.join(first, F.col("up").eqNullSafe(F.col("_u"))).select("node", (F.col("prior") - F.col("_first") + F.col("up").isNotNull().cast("long")).alias("enter"))
+    return settle(above(ups, step, "enter").join(size, "node"))
+
+
 def ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
 

@@ -275,10 +275,10 @@ def _(spark, d):
 
 @query("B3_greedy_plan")
 def _(spark, d):
-    s, p = supplied(spark, d)
+    s, way = routed(spark, d)
     s = s.withColumn("cost_inr", economics.desilt_cost(F.col("length_m"), F.lit(1.0))).withColumn("rank", F.col("seg_id"))
     budgets = spark.createDataFrame([("small", 5e6), ("large", 5e7)], "scenario string, budget double")
-    plan = supply.greedy_plan(s, p, budgets)
+    plan = supply.route_plan(s, way, budgets)
     return plan.select("scenario", "work_order", "seg_id", "cost_inr", F.round("marginal_ha", 4).alias("marginal_ha"), F.round("cumulative_ha", 4).alias("cumulative_ha"))
 
 

@@ -182,6 +182,19 @@ def test_greedy(net, spark):
         assert supply.protected(segs, paths, chosen).first()[0] == pytest.approx(own[-1]["cumulative_ha"])
 
 
+def test_plan_by_routes_is_the_greedy_plan(net, spark):
+    """One batch, and batches of few candidates, make the picks that the pairs of paths make."""
+    tree_, _, _, segs, paths = net
+    e = edges(spark, *tree_)
+    way = supply.routes(e, graph.hops(e, nodes(spark, 0), directed=True))
+    budgets = spark.createDataFrame([("a", 500.0), ("b", 2500.0)], "scenario string, budget double")
+    want = sorted(supply.greedy_plan(segs, paths, budgets).collect())
+    for most in (100, 9):
+        got = sorted(supply.route_plan(segs, way, budgets, most=most).collect())
+        assert [r[:4] for r in got] == [r[:4] for r in want]
+        assert [x for r in got for x in r[4:]] == pytest.approx([x for r in want for x in r[4:]])
+
+
 def test_baseline_trials(net, spark):
     _, _, _, segs, paths = net
     orders = supply.weighted_orders(segs.withColumn("weight", F.lit(1.0)), 6)

@@ -106,6 +106,16 @@ def test_routes_stand_for_paths(spark):
     assert supply.route_protected(segs, way, some).first()[0] == pytest.approx(supply.protected(segs, paths, some).first()[0])
 
 
+def test_intervals_number_what_lies_below(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(i), i) for i in range(1, 30)] + [(50, 51), (50, 52)] + [(60, 61 + i) for i in range(12)]
+    e = build(spark, rows)
+    got = {r["node"]: (r["enter"], r["size"]) for r in tree.intervals(tree.forest(e).ups, tree.ends(e)).collect()}
+    assert sorted(a for a, _ in got.values()) == list(range(len(got)))
+    for v, (a, n) in got.items():
+        assert {u for u, (b, _) in got.items() if a <= b < a + n} == reached(rows, [v])
+
+
 def test_a_long_chain(spark):
     """20,000 edges in a row: passes grow with the logarithm of the depth."""
     n = 20_000
