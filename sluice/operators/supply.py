@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import functools
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions.params import VALUES
 from ..functions.scalar import clip, uniform
-from ..state import ranked, settle
+from ..state import if_small, ranked, settle, settle_counted
 from . import graph, tree
 
 TARGET = VALUES["target_health"]
+CAP = 10_000
 
 
 def supply_probability(segs: DataFrame, paths: DataFrame) -> DataFrame:
@@ -219,25 +221,39 @@ def complaint_weight(health, length_m):
 def weighted_orders(segs: DataFrame, trials: int, seed: int = 42) -> DataFrame:
     """trial, pos, seg_id, cost_inr: for each trial a weighted random order, by exponential keys -ln(u) / weight."""
     t = segs.select("seg_id", "cost_inr", "weight").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
-    t = t.withColumn("_k", -F.ln(uniform(F.lit(seed), F.col("trial"), F.col("seg_id"))) / F.col("weight"))
-    return t.withColumn("pos", F.row_number().over(Window.partitionBy("trial").orderBy("_k", "seg_id"))).select("trial", "pos", "seg_id", "cost_inr")
+    t = ranked(t.withColumn("_k", -F.ln(uniform(F.lit(seed), F.col("trial"), F.col("seg_id"))) / F.col("weight")), "_n", "trial", "_k", "seg_id")
+    first = t.groupBy("trial").agg(F.min("_n").alias("_first"))
+    return t.join(if_small(first, trials), "trial").select("trial", (F.col("_n") - F.col("_first") + 1).cast("int").alias("pos"), "seg_id", "cost_inr")
+
+
+#: Items of a trial that one range of positions is made for.
+RANGE_ITEMS = 2000
 
 
 def skip_fill(orders: DataFrame, budget: float) -> DataFrame:
-    """trial, seg_id of the items taken: each in turn if it still fits.  One task walks through one trial."""
-    import pandas as pd
+    """trial, seg_id of the items taken: each in turn if it still fits.
 
-    def run(items: pd.DataFrame) -> pd.DataFrame:
-        items = items.sort_values("pos")
-        spent, keep = 0.0, []
-        for cost in items["cost"].to_numpy():
-            keep.append(spent + cost <= budget)
-            spent += cost if keep[-1] else 0.0
-        return items.loc[keep, ["trial", "seg_id"]]
-
-    rows = orders.select("trial", "pos", "seg_id", F.col("cost_inr").cast("double").alias("cost"))
-    kinds = {c: orders.schema[c].dataType.simpleString() for c in ("trial", "seg_id")}
-    return rows.groupBy("trial").applyInPandas(run, f"trial {kinds['trial']}, seg_id {kinds['seg_id']}")
+    A round takes, in every trial, the longest run of items from the front that fits as a whole, which the walk would take
+    too, passes the one that ends it, and drops what is dearer than what is left.  Costs are summed by ranges of
+    positions first, so a trial is spread over tasks.  Every round takes one item at least, and mostly many.
+    """
+    left = orders.select("trial", F.col("pos").cast("long").alias("pos"), "seg_id", F.col("cost_inr").cast("double").alias("cost"), F.lit(float(budget)).alias("rest"))
+    left = left.where(F.col("cost") <= F.col("rest"))
+    out = []
+    for _ in range(CAP):
+        left, n = settle_counted(left)
+        if not n and out:
+            return functools.reduce(DataFrame.unionByName, out)
+        part = F.floor(F.col("pos") / RANGE_ITEMS).alias("part")
+        sums = left.groupBy("trial", part).agg(F.sum("cost").alias("s"))
+        ahead = sums.select("trial", "part", F.coalesce(F.sum("s").over(Window.partitionBy("trial").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("ahead"))
+        run = F.sum("cost").over(Window.partitionBy("trial", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+        x = settle(left.withColumn("part", part).withColumn("run", run).join(ahead, ["trial", "part"]).withColumn("sum", F.col("ahead") + F.col("run")).drop("part", "run", "ahead"))
+        fits = F.col("sum") <= F.col("rest")  # sums grow along a trial, so what fits is its front
+        out.append(x.where(fits).select("trial", "seg_id"))
+        per = x.groupBy("trial").agg(F.min(F.when(~fits, F.col("pos"))).alias("stop"), F.coalesce(F.max(F.when(fits, F.col("sum"))), F.lit(0.0)).alias("spent"))
+        left = x.where(~fits).join(per, "trial").where("pos > stop").withColumn("rest", F.col("rest") - F.col("spent")).where("cost <= rest").select("trial", "pos", "seg_id", "cost", "rest")
+    raise RuntimeError("items were left after the last round")
 
 
 def trial_outcomes(segs: DataFrame, paths: DataFrame, taken: DataFrame, target: float = TARGET) -> DataFrame:
