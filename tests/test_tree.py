@@ -43,10 +43,10 @@ def test_losses_by_dominators(spark, seed):
     rows = acyclic(seed)
     e, sources = build(spark, rows), spark.createDataFrame([(0,), (200,)], "node long")
     want = brute_losses(rows, [0, 200])
-    d = tree.dominators(e, sources)
-    assert {(r["scenario"], r["node"]) for r in graph.losses(e, sources, d).collect()} == want
+    forest = tree.dominators(e, sources)
+    assert {(r["scenario"], r["node"]) for r in graph.losses(e, sources, forest).collect()} == want
     cells = e.select("seg_id", F.when(F.col("src") % 2 == 0, "D").otherwise("E").alias("district"), F.when(F.col("dst") % 3 == 0, "x").otherwise("y").alias("crop_class"), F.col("v").alias("area_ha"))
-    counts, area = failure.single_failures(e, d, cells)
+    counts, area = failure.single_failures(e, forest, cells)
     lost = {f"e{i}": {j for j, (s, _) in enumerate(rows) if j == i or (f"e{i}", s) in want} for i in range(len(rows))}
     assert {r["scenario"]: r["segments_cut_off"] for r in counts.collect()} == {k: len(x) for k, x in lost.items()}
     sums = {}
@@ -57,7 +57,7 @@ def test_losses_by_dominators(spark, seed):
             sums[key] = sums.get(key, 0) + 3 ** (j % 7) + j
     assert {(r["scenario"], r["district"], r["crop_class"]): r["ha"] for r in area.collect()} == sums
     canals = e.select("seg_id", F.when(F.col("dst") % 4 > 0, F.concat(F.lit("c"), (F.col("dst") % 4).cast("string"))).otherwise("").alias("canal"))
-    got = {r["scenario"]: r["canals"] for r in failure.cut_canals(e, d, canals).collect()}
+    got = {r["scenario"]: r["canals"] for r in failure.cut_canals(e, forest, canals).collect()}
     named = {k: sorted({f"c{rows[j][1] % 4}" for j in x if rows[j][1] % 4}) for k, x in lost.items()}
     assert got == {k: x for k, x in named.items() if x}
 
