@@ -543,7 +543,7 @@ def test_scores_of_a_trained_model_against_plain_sums(docs, odd, sf):
 
 def test_ann(spark, sf):
     df = table(spark, sf, "embeddings")
-    for frame, options in ((df, {}), (df, {"sample": 100})):
+    for frame, options in ((df, {}), (df, {"sample": 100}), (df, {"dim": 8, "confidence": 0.98})):
         check_ann(frame, projected_ann.search(frame, F.col("vec_id") % 20 == 0, **options).collect(), 0.95)
     nan, v = float("nan"), [1.0, 2.0]
     rows = [(0, [1.0, 0.0]), (20, v), (40, [0.0, 0.0]), (60, None), (80, [nan, 1.0]), (1, v), (2, v), (3, [None, 1.0]), (4, [1.0]), (5, [float("inf"), 0.0]), (None, v), (6, [-1.0, -2.0]), (1, v)]
@@ -573,6 +573,27 @@ def check_ann(frame, got, least):
     assert hits / total >= least
 
 
+def test_ann_leaves_out_over_half(spark, sf):
+    """Even on vectors without structure the test by points stops before half of a block; in groups, long before."""
+    m = np.vstack([r["embedding"] for r in table(spark, sf.replace("0.001", "0.1"), "embeddings").select("embedding").where("size(embedding) = 64").collect()]).astype(float)
+    assert verified(m) < 0.5
+    rng = np.random.default_rng(5)
+    assert verified(rng.standard_normal((40, 64))[rng.integers(0, 40, 2000)] + rng.standard_normal((2000, 64)) / 20) < 0.1
+
+
+def verified(m):
+    top = float((m * m).sum(axis=1).max()) * (1 + 1e-12)
+    planes = np.linalg.qr(np.random.default_rng(11).standard_normal((m.shape[1] + 1, projected_ann.DIM)))[0] * math.sqrt(m.shape[1] + 1)
+    index = projected_ann.Index(m.shape[1], top, planes, None, projected_ann.chi2_quantile(projected_ann.CONFIDENCE, projected_ann.DIM))
+    block = projected_ann.Block(np.arange(len(m)), m, index)
+    some, seen = m[::20], 0
+    for q, shadow in zip(some, index.project(some, True), strict=True):
+        ids, scores, n = block.search(q, shadow, top, -math.inf, 21)
+        assert (np.diff(scores) <= 0).all() and len(ids) == 21
+        seen += n
+    return seen / len(some) / len(m)
+
+
 def test_chi_square():
     assert projected_ann.chi2_quantile(0.95, 2) == pytest.approx(-2 * math.log(0.05))
     assert projected_ann.chi2_quantile(0.99, 8) == pytest.approx(20.090235, abs=1e-4)
