@@ -18,6 +18,8 @@ BROADCAST_ROWS = 500_000
 #: Short rows, and texts, that one task writes into one file where there are many small partitions.
 TASK_ROWS = 250_000
 TEXT_ROWS = 8_000
+#: Bytes of text that one task takes at most where small partitions are merged.
+TEXT_BYTES = 64 << 20
 #: Rows of one Arrow batch of texts.
 BATCH_ROWS = 1_000
 _made: set[str] = set()
@@ -52,7 +54,7 @@ def materialise(df: DataFrame, name: str, rows: int | None = None, per: int = TA
     Cuts the lineage with files that outlive any executor, and frees the result of its partitioning,
     so that a later join has a fresh exchange on either side, which AQE can split where a key is hot.
     If ``rows`` is given, a bound on the rows that the table is made from, a task makes its share of ``per`` of
-    them (``TASK_ROWS`` short ones, ``TEXT_ROWS`` texts), so that hundreds of small partitions don't become as
+    them (``TASK_ROWS`` short ones, ``TEXT_ROWS`` texts, weighed by ``text_weight``), so that hundreds of small partitions don't become as
     many small files.  Partitions that hold more than that stay as they are.
     """
     spark = df.sparkSession
@@ -69,6 +71,18 @@ def merged_partitions(df: DataFrame, rows: int, per: int) -> DataFrame:
     return df.coalesce(max(1, -(-rows // per)))
 
 
+def text_weight(rows: int, size: int) -> int:
+    """``rows``, or more where their ``size`` in bytes is more than TEXT_BYTES for every TEXT_ROWS of them: what
+    ``merged_partitions`` takes as rows of texts."""
+    return max(rows, -(-size * TEXT_ROWS // TEXT_BYTES))
+
+
+def text_rows(docs: DataFrame, column: str = "text") -> int:
+    """``text_weight`` of ``docs``, by one partial aggregate."""
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(column).cast("long"))).first()
+    return text_weight(int(rows), int(size or 0))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path for a new table in the shared folder, which is deleted with the others in the end."""
     path = f"{shared_dir(spark)}/sluice/{name}-{uuid.uuid4().hex}"

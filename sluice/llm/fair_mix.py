@@ -26,7 +26,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TEXT_ROWS, WORD, if_small, materialise
+from .common import TEXT_ROWS, WORD, if_small, materialise, text_rows
 
 #: Times that a document may be in the mix, and with it the most that a source's target is of its size.
 REPEATS = 3
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, cycle: int = CYCLE, repeats: int = REPEATS, seed: str =
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), F.md5(F.coalesce("text", F.lit(""))))), F.lit(f":{seed}"))).alias("key"),
         F.xxhash64("text").alias("tie"),
     )
-    sized = materialise(sized, "sized", docs.count(), TEXT_ROWS)
+    sized = materialise(sized, "sized", text_rows(docs), TEXT_ROWS)
     n = sized.count()
     bits = max(0, min(31, (n // range_rows).bit_length()))
     sized = sized.withColumn("range", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, sketch
-from .common import TEXT_ROWS, bounded_batches, materialise, merged_partitions, take_worker
+from .common import TEXT_ROWS, bounded_batches, materialise, merged_partitions, take_worker, text_rows, text_weight
 
 OCCURRENCES = "id long, rk long, akey long, c1 long, c2 long, n int, starts array<int>"
 #: What stands for a null doc_id in ``id``: larger than any other.
@@ -139,8 +139,9 @@ def occurrences(docs: DataFrame, unit: Unit, most_blocks: int = sketch.MOST_BLOC
     they are found; a larger one stays a table, and the contexts, which are digests only, meet it by a join.
     """
     spark = docs.sparkSession
-    number = docs.count()
-    expected = 2 * sketch.total_bytes(docs) // (unit.window - unit.gram + 2) // (1 if unit.kind == "byte" else 4)
+    size = sketch.total_bytes(docs)
+    number = text_weight(docs.count(), size)
+    expected = 2 * size // (unit.window - unit.gram + 2) // (1 if unit.kind == "byte" else 4)
     blocks = sketch.blocks_for(expected)
     table = sketch.merged(sketch.partition_sketches(docs.select("text"), lambda b: anchor_keys(unit, b), blocks))
     rows = docs.select(row_id(), "rk", "text")
@@ -217,6 +218,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     some = docs.where("may")
     some = some.join(spans, (some["id"] == spans["of_id"]) & (some["rk"] == spans["of_rk"]), "left").select("doc_id", "text", "spans", *columns)
     rest = docs.where("not may").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), *columns)
+    number = text_rows(docs)
     return merged_partitions(some, number, TEXT_ROWS).unionByName(merged_partitions(rest, number, TEXT_ROWS))
 
 

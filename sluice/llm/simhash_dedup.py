@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .common import TEXT_ROWS, if_small, materialise, take_worker
+from .common import TEXT_ROWS, if_small, materialise, take_worker, text_rows
 from .components import components
 from .repeats import keyed
 
@@ -184,5 +184,5 @@ def cluster(prints: DataFrame, cell: int = CELL, rows: int | None = None) -> Dat
 
 def near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id of every row of ``docs``."""
-    out = cluster(fingerprint(docs), cell, docs.count())
+    out = cluster(fingerprint(docs), cell, text_rows(docs))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

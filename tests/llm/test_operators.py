@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from sluice.llm import bpe, components, decision_list, fair_mix, projected_ann, repeats, scan, simhash_dedup, sketch, subword_quality, substring_dedup, suffix_dedup, warc_revisit
-from sluice.llm.common import table
+from sluice.llm.common import TEXT_ROWS, merged_partitions, table, text_rows, text_weight
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words long, score double, kept string, row string, spans string"
 LONG = " ".join(f"w{i % 997}x{i % 61}" for i in range(9000))
@@ -594,6 +594,16 @@ def verified(m):
     return seen / len(some) / len(m)
 
 
+def test_partitions_follow_bytes(spark):
+    """Few long texts are not merged into one task as many short ones are."""
+    assert text_weight(10, 1000) == 10 and text_weight(0, 0) == 0
+    long = spark.range(0, 16, 1, 16).select(F.col("id").alias("doc_id"), F.repeat(F.lit("é"), 8 << 20).alias("text"))
+    assert merged_partitions(long, text_rows(long), TEXT_ROWS).rdd.getNumPartitions() == 4
+    short = spark.range(0, 16, 1, 16).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    assert merged_partitions(short, text_rows(short), TEXT_ROWS).rdd.getNumPartitions() == 1
+    assert text_rows(short.limit(0)) == 0
+
+
 def test_chi_square():
     assert projected_ann.chi2_quantile(0.95, 2) == pytest.approx(-2 * math.log(0.05))
     assert projected_ann.chi2_quantile(0.99, 8) == pytest.approx(20.090235, abs=1e-4)
