@@ -45,7 +45,7 @@ BLOCK_ROWS = 4096
 MOST_LEAVES = 4096
 BUCKET = 128
 #: Points that are verified before the test is made again.
-STEP = 64
+STEP = 256
 
 
 def chi2_quantile(p: float, dof: int) -> float:
@@ -174,10 +174,11 @@ class Block:
         gap = np.maximum(0, np.maximum(self.low - shadow, shadow - self.high))
         at = np.flatnonzero(np.repeat((gap * gap).sum(axis=1) <= limit(), self.width))
         away = self.norm[at] - 2 * (self.points[at] @ shadow) + float(shadow @ shadow)
-        order = np.argsort(away, kind="stable")
+        near = np.flatnonzero(away <= limit() * (1 + 1e-9))  # what the bound leaves out at once is not sorted
+        order = near[np.argsort(away[near], kind="stable")]
         at, away = at[order], away[order]
         ids, scores, verified = np.zeros(0, np.int64), np.zeros(0), 0
-        while verified < len(at) and away[verified] <= limit() + 1e-9 * (1 + abs(away[verified])):
+        while verified < len(at) and away[verified] <= limit() * (1 + 1e-9):
             some = at[verified : verified + STEP]
             verified += len(some)
             take = some[self.vectors[some] @ q >= bound - 1e-9 * (1 + abs(bound))]
