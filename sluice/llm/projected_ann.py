@@ -44,8 +44,8 @@ BLOCK_ROWS = 4096
 #: Leaves of the tree, which the driver holds: beyond them, a leaf has more blocks.
 MOST_LEAVES = 4096
 BUCKET = 128
-#: Points that are verified before the test is made again.
-STEP = 256
+#: Points that are verified before the test is made for the second time, and then each time.
+FIRST, STEP = 64, 256
 
 
 def chi2_quantile(p: float, dof: int) -> float:
@@ -179,7 +179,7 @@ class Block:
         at, away = at[order], away[order]
         ids, scores, verified = np.zeros(0, np.int64), np.zeros(0), 0
         while verified < len(at) and away[verified] <= limit() * (1 + 1e-9):
-            some = at[verified : verified + STEP]
+            some = at[verified : verified + (STEP if verified else FIRST)]
             verified += len(some)
             take = some[self.vectors[some] @ q >= bound - 1e-9 * (1 + abs(bound))]
             if not len(take):
