@@ -6,14 +6,19 @@ not settled within a cap.  No operator collects nodes or edges to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+import math
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import first_by
-from ..state import ranked, settle
+from ..state import ranked, settle, settle_counted
 from . import tree
 
 CAP = 10_000
+#: Tables of a loop's rounds that are added up at a time.
+FOLD = 32
 
 
 def simple_edges(edges: DataFrame, order: str = "seq") -> DataFrame:
@@ -133,57 +138,75 @@ def tree_betweenness(edges: DataFrame) -> DataFrame:
     return e.select("seg_id", (F.col("_up") * F.col("_down") / float(max(1, n * (n - 1)))).alias("betweenness"))
 
 
-def betweenness(edges: DataFrame, weight: str = "length_m", most_edges: int = 1_000_000, parts: int = 64) -> DataFrame:
+def betweenness(edges: DataFrame, weight: str = "length_m", sources: int = 2_000, pivots: int | None = None, risk: float = 0.01) -> DataFrame:
     """seg_id, betweenness on weighted shortest directed paths, ties split, over n (n - 1).
 
-    Brandes' accumulation, one run a source; sources are dealt over ``parts`` groups and every task
-    holds the edges, so their number is checked.
+    Tables of (source, node) rows, ``sources`` sources at a time: least distances by relaxing what the last round
+    improved, then the arcs of all shortest paths, numbers of paths carried down them and shares carried back up
+    (``_carried``).  Rounds are as many as the edges of the longest shortest path; nothing is held by a task or
+    the driver.  Every pair within reach is met, so on a large network ``pivots`` takes that many sources, of least
+    hash, instead of all, and adds the column ``error``: no edge's estimate is off by more, except with
+    probability ``risk`` (Hoeffding).  Loops lie on no path; weights that are null, NaN, or not above 0 raise.
     """
     e = settle(edges.select("seg_id", "src", "dst", F.col(weight).cast("double").alias("w")))
-    if (m := e.count()) > most_edges:
-        raise ValueError(f"{m} edges are too many to hold in a task; use tree_betweenness or split components")
-    nodes = e.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    n = nodes.count()
-    sent = e.sparkSession.sparkContext.broadcast(e.toPandas())
-
-    def run(pdf):
-        import heapq
-
-        import pandas as pd
-
-        t = sent.value
-        out: dict = {}
-        for s, a, b, w in zip(t["seg_id"], t["src"], t["dst"], t["w"], strict=True):
-            out.setdefault(a, []).append((b, w, s))
-        total = dict.fromkeys(t["seg_id"], 0.0)
-        for source in pdf["node"]:
-            dist, paths, via, order, heap = {source: 0.0}, {source: 1.0}, {source: []}, [], [(0.0, source)]
-            done = set()
-            while heap:
-                d, u = heapq.heappop(heap)
-                if u in done:
-                    continue
-                done.add(u)
-                order.append(u)
-                for v, w, s in out.get(u, []):
-                    nd = d + w
-                    if v not in dist or nd < dist[v] - 1e-12:
-                        dist[v], paths[v], via[v] = nd, paths[u], [(u, s)]
-                        heapq.heappush(heap, (nd, v))
-                    elif abs(nd - dist[v]) <= 1e-12 and v not in done:
-                        paths[v] += paths[u]
-                        via[v].append((u, s))
-            owed = dict.fromkeys(order, 0.0)
-            for v in reversed(order):
-                for u, s in via[v]:
-                    c = paths[u] / paths[v] * (1.0 + owed[v])
-                    total[s] += c
-                    owed[u] += c
-        return pd.DataFrame({"seg_id": list(total), "b": list(total.values())})
-
-    kind = e.schema["seg_id"].dataType.simpleString()
-    part = nodes.withColumn("_p", F.pmod(F.xxhash64("node"), F.lit(parts))).groupBy("_p").applyInPandas(run, f"seg_id {kind}, b double")
-    return part.groupBy("seg_id").agg((F.sum("b") / float(max(1, n * (n - 1)))).alias("betweenness"))
+    if e.where("w is null or isnan(w) or w <= 0").limit(1).count():
+        raise ValueError("weights have to be positive")
+    nodes, n = settle_counted(tree.ends(edges).select("node"))
+    if pivots is not None and pivots < n:
+        chosen, k = settle(nodes.orderBy(F.xxhash64("node"), "node").limit(pivots)), pivots
+    else:
+        chosen, k = nodes, n
+    steps = settle(e.where("src <> dst").select("seg_id", F.col("src").alias("u"), F.col("dst").alias("v"), "w"))
+    batches = max(1, -(-k // sources))
+    dealt = chosen.withColumn("_batch", F.pmod(F.xxhash64(F.lit("batch"), "node"), F.lit(batches)))
+    shares = [settle(_path_shares(steps, dealt.where(F.col("_batch") == i).select(F.col("node").alias("source")))) for i in range(batches)]
+    total = functools.reduce(DataFrame.unionByName, shares).groupBy("seg_id").agg(F.sum("share").alias("share"))
+    out = e.select("seg_id").distinct().join(total, "seg_id", "left")
+    out = out.select("seg_id", (F.coalesce("share", F.lit(0.0)) / float(max(1, k * (n - 1)))).alias("betweenness"))
+    if pivots is None:
+        return out
+    bound = 0.0 if k == n else math.sqrt(math.log(2 * max(1, e.count()) / risk) / (2 * k))
+    return out.withColumn("error", F.lit(bound))
+
+
+def _tie(d: Column) -> Column:
+    """How far apart two sums may lie that count as equal."""
+    return F.lit(1e-12) * (1 + d)
+
+
+def _path_shares(steps: DataFrame, chosen: DataFrame) -> DataFrame:
+    """seg_id, share: the shares of shortest paths from ``chosen`` (source) that pass an edge of ``steps`` (seg_id, u, v, w)."""
+    best = settle(chosen.select("source", F.col("source").alias("node"), F.lit(0.0).alias("d"), F.lit(True).alias("better")))
+    moved = True
+    while moved:
+        tried = best.where("better").join(steps, F.col("node") == F.col("u")).select("source", F.col("v").alias("node"), (F.col("d") + F.col("w")).alias("d"), F.lit(None).cast("double").alias("was"))
+        both = best.select("source", "node", "d", F.col("d").alias("was")).unionByName(tried).groupBy("source", "node").agg(F.min("d").alias("d"), F.min("was").alias("was"))
+        better = F.col("was").isNull() | (F.col("d") < F.col("was") - _tie(F.col("was")))
+        seen = Observation()
+        best = settle(both.select("source", "node", F.when(better, F.col("d")).otherwise(F.col("was")).alias("d"), better.alias("better")).observe(seen, F.count_if("better").alias("rows")))
+        moved = seen.get["rows"] > 0
+    a = best.select("source", F.col("node").alias("u"), F.col("d").alias("_du"))
+    b = best.select("source", F.col("node").alias("v"), F.col("d").alias("_dv"))
+    on_path = (F.abs(F.col("_du") + F.col("w") - F.col("_dv")) <= _tie(F.col("_dv"))) & (F.col("_du") < F.col("_dv"))
+    arcs = settle(a.join(steps, "u").join(b, ["source", "v"]).where(on_path).select("source", "seg_id", "u", "v"))
+    paths = settle(_carried(arcs, chosen.select("source", F.col("source").alias("node"), F.lit(1.0).alias("x")), "u", "v"))
+    # a node's part of the paths to all that lies behind it, by its own number of paths
+    behind = _carried(arcs, paths.select("source", "node", (1 / F.col("x")).alias("x")), "v", "u")
+    out = arcs.join(paths.select("source", F.col("node").alias("u"), F.col("x").alias("_paths")), ["source", "u"])
+    out = out.join(behind.select("source", F.col("node").alias("v"), F.col("x").alias("_behind")), ["source", "v"])
+    return out.groupBy("seg_id").agg(F.sum(F.col("_paths") * F.col("_behind")).alias("share"))
+
+
+def _carried(arcs: DataFrame, start: DataFrame, tail: str, head: str) -> DataFrame:
+    """source, node, x: ``start`` and what walks of every length along ``arcs`` (acyclic) carry from tails to heads, summed."""
+    held, front, rows = [settle(start)], start, 1
+    while rows:
+        step = front.withColumnRenamed("node", tail).join(arcs, ["source", tail]).groupBy("source", F.col(head).alias("node")).agg(F.sum("x").alias("x"))
+        front, rows = settle_counted(step)
+        held.append(front)
+        if len(held) == FOLD or not rows:
+            held = [settle(functools.reduce(DataFrame.unionByName, held).groupBy("source", "node").agg(F.sum("x").alias("x")))]
+    return held[0]
 
 
 def parents(edges: DataFrame, levels: DataFrame) -> DataFrame:

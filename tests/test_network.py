@@ -97,6 +97,44 @@ def test_betweenness_splits_ties(spark, diamond):
     assert b["e0-1"] == pytest.approx((1 + 0.5 + 0.5) / n) and b["e3-4"] == pytest.approx(4 / n)
 
 
+def plain_betweenness(nodes, arcs):
+    """By the counts of shortest paths between all pairs; weights are integers."""
+    far = {(s, t): 0 if s == t else math.inf for s in nodes for t in nodes}
+    for _, u, v, w in arcs:
+        far[u, v] = min(far[u, v], w) if u != v else 0
+    for m in nodes:
+        for s in nodes:
+            for t in nodes:
+                far[s, t] = min(far[s, t], far[s, m] + far[m, t])
+    ways = {}
+    for s in nodes:
+        for t in sorted(nodes, key=lambda t: far[s, t]):
+            into = [ways[s, u] for _, u, v, w in arcs if v == t and u != v and far[s, u] < math.inf and far[s, u] + w == far[s, t]]
+            ways[s, t] = 1 if s == t else sum(into)
+    n = len(nodes)
+    return {
+        i: sum(ways[s, u] * ways[v, t] / ways[s, t] for s in nodes for t in nodes if s != t and u != v and far[s, t] < math.inf and far[s, u] + w + far[v, t] == far[s, t]) / (n * (n - 1))
+        for i, u, v, w in arcs
+    }
+
+
+def test_betweenness_against_all_pairs(spark):
+    """Cycles, ties, edges side by side, loops and a part of its own; one batch of sources or several."""
+    rng = random.Random(8)
+    arcs = [(f"r{i}", rng.randrange(14), rng.randrange(14), rng.randrange(1, 4)) for i in range(40)] + [("twin", 0, 1, 1), ("twin2", 0, 1, 1), ("far", 20, 21, 5), ("loop", 20, 20, 1)]
+    e = spark.createDataFrame(arcs, "seg_id string, src long, dst long, length_m long")
+    nodes = sorted({x for _, u, v, _ in arcs for x in (u, v)})
+    want = plain_betweenness(nodes, arcs)
+    assert dict(pairs(graph.betweenness(e), "seg_id", "betweenness")) == pytest.approx(want)
+    assert dict(pairs(graph.betweenness(e, sources=6), "seg_id", "betweenness")) == pytest.approx(want)
+    got = graph.betweenness(e, pivots=9).collect()
+    assert {r["seg_id"] for r in got} == set(want) and all(0 < r["error"] and abs(r["betweenness"] - want[r["seg_id"]]) <= r["error"] for r in got)
+    for bad in (0, None):
+        with pytest.raises(ValueError, match="positive"):
+            graph.betweenness(spark.createDataFrame([("a", 0, 1, 1), ("b", 1, 2, bad)], "seg_id string, src long, dst long, length_m long"))
+    assert graph.betweenness(e.limit(0)).count() == 0
+
+
 def test_downstream_sum_in_a_cycle(spark):
     e = edges(spark, (1, 2, 1), (2, 3, 10), (3, 1, 100), (3, 4, 1000)).withColumn("v", F.col("length_m"))
     assert dict(pairs(graph.downstream_sum(e, "v"), "seg_id", "total")) == {"e1-2": 1111, "e2-3": 1111, "e3-1": 1111, "e3-4": 1000}
