@@ -203,3 +203,11 @@ def test_containment_and_lines(spark):
     r = r.select(geo.length(F.col("g")).alias("n"), geo.inside(F.col("g"), F.lit(3.0), F.lit(1.0)).alias("a"), geo.inside(F.col("g"), F.lit(1.0), F.lit(2.0)).alias("b"), geo.project(F.col("g"), F.lit(5.0), F.lit(2.0)).alias("p"), geo.interpolate(F.col("g"), F.lit(5.5)).alias("i")).first()
     assert (r["n"], r["a"], r["b"], r["p"]) == (12.0, True, False, 6.0) and (r["i"]["x"], r["i"]["y"]) == (4.0, 1.5)
     assert math.isclose(r["n"], 12)
+
+
+def test_crore_rounds_the_scaled_double(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    spark.createDataFrame([(1, 5750.0), (2, 5450.0), (3, 4450.0), (4, 50.0), (5, -10.0)], "c_custkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["k"]: r["t"] for r in queries()["F23_crore"](spark, str(tmp_path)).collect()}
+    assert got == {1: "0.57 Cr", 2: "0.55 Cr", 3: "0.44 Cr", 4: "0.00 Cr", 5: "-0.00 Cr"}
