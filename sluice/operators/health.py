@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import above, clip, known
 from ..functions.stats import average_rank, quantile, quartile_bins, smallest_mode
-from ..state import ranked, settle
+from ..state import fresh, ranked, settle
 
 
 def season_composite(obs: DataFrame, keys: list[str], value: str, ok: Column) -> DataFrame:
@@ -103,8 +103,12 @@ def _assembled(rows: DataFrame, features: list[str]):
 
 
 def train_forest(rows: DataFrame, features: list[str], label: str, trees: int = 400, depth: int = 8, leaf: int = 3, seed: int = 42):
-    """A random forest on balanced classes, as a pipeline model; needs two classes at least."""
-    from pyspark.ml import Pipeline
+    """A random forest on balanced classes, as a pipeline model; needs two classes at least.
+
+    The model is saved and loaded: as fitted, it drags the summary of its training along, with the plan over the
+    training rows, into every task that predicts, which fails where that can't be serialised.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer
 
@@ -114,7 +118,9 @@ def train_forest(rows: DataFrame, features: list[str], label: str, trees: int =
     rows = class_weights(rows, label)
     index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc")
     forest = RandomForestClassifier(featuresCol="_x", labelCol="_y", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed)
-    return Pipeline(stages=[index, *_assembled(rows, features), forest]).fit(rows)
+    path = fresh(rows.sparkSession, "model")
+    Pipeline(stages=[index, *_assembled(rows, features), forest]).fit(rows).save(path)
+    return PipelineModel.load(path)
 
 
 def class_guard(rows: DataFrame, label: str, few: int = 5) -> DataFrame:

@@ -220,3 +220,10 @@ def test_format_of_long_numbers(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey long, p_size int, p_type string, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     got = {r["seg_id"]: (r["km"], r["id"]) for r in queries()["F5_format"](spark, str(tmp_path)).collect()}
     assert got == {7: ("1.2", "B_000007"), 1234567: ("0.3", "B_123456")}
+
+
+def test_forest_leaves_its_training_behind(spark):
+    df = spark.createDataFrame([(i, float(i), float(i % 5), "x" if i > 30 else "y") for i in range(60)], "id long, a double, b double, label string")
+    m = health.train_forest(df, ["a", "b"], "label", trees=5)
+    assert not m.stages[-1].hasSummary
+    assert health.predict_forest(m, df, ["x"]).where("pred_class = label").count() > 55
