@@ -9,8 +9,9 @@ from __future__ import annotations
 import functools
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.params import VALUES
 from ..functions.scalar import clip, uniform
@@ -151,7 +152,7 @@ def greedy_plan(segs: DataFrame, paths: DataFrame, budgets: DataFrame, target: f
     return budgets.select("scenario", F.col("budget").cast("double")).groupBy("scenario").applyInPandas(run, kinds)
 
 
-#: Candidates of a batch of picks that the driver knows at once.
+#: Candidates that a plan starts with, and that it takes on at a time.
 CANDIDATES = 5_000
 
 
@@ -159,10 +160,10 @@ def route_plan(segs: DataFrame, way: Routes, budgets: DataFrame, target: float =
     """The plan of ``greedy_plan`` without the pairs of paths.
 
     A pick raises what the segments below it serve by a factor, and what those above it serve by an amount, and changes
-    nothing else.  So a batch of picks needs only the ``most`` best candidates, with their places in the forest
-    (``tree.intervals``): it goes on as long as the best of them beats a bound on what any other could have risen to.
-    Then all gains are summed anew, by doubling, with the picks' healths raised.  Where all candidates fit, one batch
-    makes the whole plan.
+    nothing else.  So gains are summed once, by doubling, and followed from pick to pick by places in the forest
+    (``tree.intervals``).  The driver plans over the ``most`` best candidates; then every other segment is led through
+    these picks, and those that would have beaten one of them become candidates too (the earliest first, ``most`` at a
+    time), until there are none: the plan is then that over all segments.
     """
     import numpy as np
 
@@ -171,48 +172,92 @@ def route_plan(segs: DataFrame, way: Routes, budgets: DataFrame, target: float =
     segs = settle(segs.select("seg_id", F.col("local_ha").cast("double").alias("local_ha"), h.alias("health"), F.col("cost_inr").cast("double").alias("cost_inr"), "rank"))
     at = tree.intervals(way.ups, way.nodes)
     head = way.up.join(at, "node").select(F.col("parent_seg").alias("seg_id"), F.col("enter").alias("low"), (F.col("enter") + F.col("size")).alias("high"))
-    place = settle(way.edges.join(at.select(F.col("node").alias("src"), F.col("enter").alias("at")), "src").select("seg_id", "at").join(head, "seg_id", "left"))
+    place = way.edges.join(at.select(F.col("node").alias("src"), F.col("enter").alias("at")), "src").select("seg_id", "at").join(head, "seg_id", "left")
     rise = F.greatest(F.col("health"), F.lit(target)) / F.col("health") - 1
+    able = route_marginals(segs, way, target).where("marginal_ha > 0").join(segs, "seg_id").join(place, "seg_id").withColumn("up", rise)
+    none = F.lit(-1).cast("long")  # segments that nothing lies below
+    able = settle(able.select("seg_id", "rank", "cost_inr", "up", (F.col("marginal_ha") / F.col("up")).alias("served"), "at", F.coalesce("low", none).alias("low"), F.coalesce("high", none).alias("high")))
+    per = F.col("up") * F.col("served") / F.greatest("cost_inr", F.lit(1.0))
+    kept = StructType([*able.schema.fields, StructField("_t", IntegerType()), StructField("_score", DoubleType())])
     out = []
     for scenario, budget in budgets.select("scenario", F.col("budget").cast("double")).collect():  # a few
-        picked, spent, total = [], 0.0, 0.0
-        while True:
-            now = cleaned(segs, spark.createDataFrame([(k,) for k in picked], segs.select("seg_id").schema), target) if picked else segs
-            gain = route_marginals(now, way, target).where("marginal_ha > 0")
-            able = settle(gain.join(now, "seg_id").where(F.col("cost_inr") <= budget - spent).join(place, "seg_id").withColumn("rise", rise).withColumn("per", F.col("marginal_ha") / F.greatest("cost_inr", F.lit(1.0))))
-            top = able.orderBy(F.desc("per"), "rank", "seg_id").limit(most).collect()
-            if not top:
-                break
+        top = able.where(F.col("cost_inr") <= budget).orderBy(per.desc(), "rank", "seg_id").limit(most).collect()
+        for _ in range(CAP):
             top.sort(key=lambda r: (r["rank"], r["seg_id"]))
-            full = len(top) < most
-            least = 0.0 if full else min(r["per"] for r in top)
-            rate = 0.0 if full else able.agg(F.max(F.col("rise") / F.greatest("cost_inr", F.lit(1.0)))).first()[0]
-            col = lambda c: np.array([np.nan if r[c] is None else r[c] for r in top], dtype=float)  # noqa: E731,B023
-            cost, up, low, high, pos = col("cost_inr"), col("rise"), col("low"), col("high"), col("at")
-            served, grown, added, made = col("marginal_ha") / up, 1.0, 0.0, 0
-            while True:
-                score = np.where((spent + cost <= budget) & (up * served > 0), up * served / np.maximum(cost, 1.0), -1.0)
-                b = int(score.argmax())
-                if score[b] <= 0 or (made and not full and score[b] <= least * grown + rate * added):
-                    break
-                gain_b, factor = up[b] * served[b], 1 + up[b]
-                made, spent, total = made + 1, spent + cost[b], total + gain_b
-                picked.append(top[b]["seg_id"])
-                out.append((scenario, len(picked), top[b]["seg_id"], float(cost[b]), float(gain_b), float(total)))
-                under = (pos >= low[b]) & (pos < high[b])
-                under[b] = True
-                over = (low <= pos[b]) & (pos[b] < high)
-                over[b] = False
-                grown, added = grown * factor, added * factor + gain_b
-                served[over] += gain_b
-                served[under] *= factor
-                up[b] = 0.0
-            if full:
+            picks = _greedy(np, top, budget)
+            late = able.mapInPandas(_beaten(picks, {r["seg_id"] for r in top}, budget), kept)
+            late = late.orderBy("_t", F.desc("_score"), "rank", "seg_id").limit(most).drop("_t", "_score").collect()
+            if not late:
                 break
+            top += late
+        else:
+            raise RuntimeError("segments outside the candidates were still better after the last round")
+        total = 0.0
+        for n, p in enumerate(picks):
+            total += p.gain
+            out.append((scenario, n + 1, p.row["seg_id"], p.row["cost_inr"], p.gain, total))
     kinds = f"scenario {budgets.schema['scenario'].dataType.simpleString()}, work_order int, seg_id {segs.schema['seg_id'].dataType.simpleString()}, cost_inr double, marginal_ha double, cumulative_ha double"
     return spark.createDataFrame(out, kinds)
 
 
+class _Pick(NamedTuple):
+    row: Row
+    score: float
+    spent: float  # before it
+    gain: float
+
+
+def _greedy(np, top: list[Row], budget: float) -> list[_Pick]:
+    """The picks among these candidates, which are in the order of ties."""
+    col = lambda c, kind: np.array([r[c] for r in top], dtype=kind)
+    cost, up, served = col("cost_inr", float), col("up", float), col("served", float)
+    at, low, high = col("at", np.int64), col("low", np.int64), col("high", np.int64)
+    picks, spent = [], 0.0
+    while len(top):
+        score = np.where((spent + cost <= budget) & (up * served > 0), up * served / np.maximum(cost, 1.0), -1.0)
+        b = int(score.argmax())
+        if score[b] <= 0:
+            break
+        gain = float(up[b] * served[b])
+        picks.append(_Pick(top[b], float(score[b]), spent, gain))
+        spent += float(cost[b])
+        served[(low <= at[b]) & (at[b] < high)] += gain
+        served[(at >= low[b]) & (at < high[b])] *= 1 + up[b]
+        up[b] = 0.0
+    return picks
+
+
+def _beaten(picks: list[_Pick], known: set, budget: float):
+    """Rows that are no candidates and would have come before a pick, or after the last one: with the first such place
+    and their score there.  Their gains go through the very steps that those of candidates go through."""
+
+    def run(batches):
+        import numpy as np
+
+        for pdf in batches:
+            pdf = pdf[~pdf["seg_id"].isin(known) & (pdf["cost_inr"] <= budget)]
+            cost, up, served = (pdf[c].to_numpy(dtype=float) for c in ("cost_inr", "up", "served"))
+            served, at, low, high = served.copy(), pdf["at"].to_numpy(), pdf["low"].to_numpy(), pdf["high"].to_numpy()
+            rank, ids, base = pdf["rank"].to_numpy(), pdf["seg_id"].to_numpy(), np.maximum(cost, 1.0)
+            first, best, spent = np.full(len(pdf), -1, dtype=np.int32), np.zeros(len(pdf)), 0.0
+            for t, p in enumerate(picks):
+                score, r = up * served / base, p.row
+                near = np.flatnonzero((score >= p.score) & (first < 0))
+                if len(near):
+                    tied = (rank[near] < r["rank"]) | ((rank[near] == r["rank"]) & (ids[near] < r["seg_id"]))
+                    near = near[(p.spent + cost[near] <= budget) & ((score[near] > p.score) | tied)]
+                    first[near], best[near] = t, score[near]
+                served[(low <= r["at"]) & (r["at"] < high)] += p.gain
+                served[(at >= r["low"]) & (at < r["high"])] *= 1 + r["up"]
+                spent = p.spent + r["cost_inr"]
+            left = (first < 0) & (spent + cost <= budget) & (up * served > 0)
+            first[left], best[left] = len(picks), (up * served / base)[left]
+            pdf = pdf.assign(_t=first, _score=best)
+            yield pdf[pdf["_t"] >= 0]
+
+    return run
+
+
 def complaint_weight(health, length_m):
     """How likely a segment is to be picked by complaint: poor and long ones more."""
     return F.greatest((1 - health) * F.sqrt(length_m), F.lit(1e-9))
@@ -266,6 +311,21 @@ def trial_outcomes(segs: DataFrame, paths: DataFrame, taken: DataFrame, target:
     return taken.select("trial").distinct().join(got, "trial", "left").select("trial", F.coalesce("protected_ha", F.lit(0.0)).alias("protected_ha"))
 
 
+def route_outcomes(segs: DataFrame, way: Routes, taken: DataFrame, target: float = TARGET) -> DataFrame:
+    """trial, protected_ha as ``trial_outcomes`` has it, without the pairs of paths: what an item protects alone, times the
+    rises of the trial's items above it, summed.  Ways up are followed for the items taken only."""
+    h = clip(F.col("health"), 0.01, 1.0)
+    items = settle(taken.select("trial", "seg_id").distinct())
+    once = settle(items.select("seg_id").distinct().join(way.edges.select("seg_id", "src"), "seg_id"))
+    above = tree.pairs(way.ups, once.select(F.col("src").alias("node")).distinct())
+    above = above.join(way.up.withColumnRenamed("node", "anc"), "anc").select(F.col("node").alias("src"), F.col("parent_seg").alias("above"))
+    above = settle(above.join(once.select(F.col("seg_id").alias("above")), "above", "left_semi").join(once, "src").select("seg_id", "above"))
+    rise = segs.select(F.col("seg_id").alias("above"), F.ln(F.greatest(h, F.lit(target)) / h).alias("_r"))
+    lifted = items.join(above, "seg_id").join(items.withColumnRenamed("seg_id", "above"), ["trial", "above"]).join(rise, "above").groupBy("trial", "seg_id").agg(F.sum("_r").alias("_r"))
+    got = items.join(route_marginals(segs, way, target), "seg_id").join(lifted, ["trial", "seg_id"], "left").groupBy("trial").agg(F.sum(F.col("marginal_ha") * F.exp(F.coalesce("_r", F.lit(0.0)))).alias("protected_ha"))
+    return items.select("trial").distinct().join(got, "trial", "left").select("trial", F.coalesce("protected_ha", F.lit(0.0)).alias("protected_ha"))
+
+
 def trial_summary(outcomes: DataFrame, plan_ha: float) -> DataFrame:
     """trials, mean, median, p10, p90, factor of the plan over the mean, share of trials that the plan beats."""
     x = F.col("protected_ha")

@@ -233,6 +233,24 @@ def test_plan_by_routes_is_the_greedy_plan(net, spark):
         assert [x for r in got for x in r[4:]] == pytest.approx([x for r in want for x in r[4:]])
 
 
+def test_plan_and_outcomes_without_pairs(net, spark, monkeypatch):
+    """One candidate at the start: the others are found by what they would have beaten, and gains are summed but once."""
+    tree_, _, _, segs, paths = net
+    e = edges(spark, *tree_)
+    way = supply.routes(e, graph.hops(e, nodes(spark, 0), directed=True))
+    budgets = spark.createDataFrame([("a", 2500.0)], "scenario string, budget double")
+    want = sorted(supply.greedy_plan(segs, paths, budgets).collect())
+    sums, whole = [], supply.route_marginals
+    monkeypatch.setattr(supply, "route_marginals", lambda *a, **k: sums.append(1) or whole(*a, **k))
+    got = sorted(supply.route_plan(segs, way, budgets, most=4).collect())
+    assert [r[:4] for r in got] == [r[:4] for r in want] and len(sums) == 1
+    assert [x for r in got for x in r[4:]] == pytest.approx([x for r in want for x in r[4:]])
+    ids = [r["seg_id"] for r in segs.select("seg_id").collect()]
+    taken = spark.createDataFrame([(t, s) for t in range(4) for k, s in enumerate(sorted(ids)) if k % (t + 1) == 0], f"trial int, seg_id {segs.schema['seg_id'].dataType.simpleString()}")
+    a, b = ({r["trial"]: r["protected_ha"] for r in f(segs, x, taken).collect()} for f, x in ((supply.trial_outcomes, paths), (supply.route_outcomes, way)))
+    assert b == pytest.approx(a)
+
+
 def test_baseline_trials(net, spark):
     _, _, _, segs, paths = net
     orders = supply.weighted_orders(segs.withColumn("weight", F.lit(1.0)), 6)
