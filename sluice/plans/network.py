@@ -306,11 +306,11 @@ def _(spark, d):
 
 @query("B6_trials")
 def _(spark, d):
-    s, p = supplied(spark, d)
+    s, way = routed(spark, d)
     taken = settle(supply.skip_fill(_orders(spark, d), BUDGET))
     costed = s.withColumn("cost_inr", economics.desilt_cost(F.col("length_m"), F.lit(1.0))).withColumn("rank", F.col("seg_id"))
-    plan = supply.greedy_plan(costed, p, spark.createDataFrame([("plan", BUDGET)], "scenario string, budget double"))
-    out = supply.trial_summary(supply.trial_outcomes(s, p, taken), plan.agg(F.max("cumulative_ha")).first()[0] or 0.0)
+    plan = supply.route_plan(costed, way, spark.createDataFrame([("plan", BUDGET)], "scenario string, budget double"))
+    out = supply.trial_summary(supply.route_outcomes(s, way, taken), plan.agg(F.max("cumulative_ha")).first()[0] or 0.0)
     return out.select(*[F.round(c, 6).alias(c) if c != "trials" else F.col(c) for c in out.columns])
 
 
