@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.params import VALUES
 from ..operators import economics, failure, graph, health, naming, spatial, supply, tree
+from ..state import settle
 
 
 @dataclass(frozen=True)
@@ -69,9 +70,10 @@ def analysis(budget: float = VALUES["budget"]) -> list[Stage]:
         j = loc.join(command, "seg_id").join(graph.tree_betweenness(loc), "seg_id").join(h.select("seg_id", "health_score", "dominant_class"), "seg_id", "left")
         return supply.rank_segments(j)
 
-    def plan(ranked, paths, multipliers):
-        s = economics.with_cost(ranked, multipliers)
-        return supply.greedy_plan(s, paths, s.sparkSession.createDataFrame([("default", float(budget))], "scenario string, budget double"))
+    def plan(ranked, sources, multipliers):
+        s = settle(economics.with_cost(ranked, multipliers))
+        way = supply.routes(s, settle(graph.hops(s, sources, directed=True)))
+        return supply.route_plan(s, way, s.sparkSession.createDataFrame([("default", float(budget))], "scenario string, budget double"))
 
     def failures(ranked, sources, cells, eco, multipliers):
         s = economics.with_cost(ranked, multipliers)
@@ -87,7 +89,7 @@ def analysis(budget: float = VALUES["budget"]) -> list[Stage]:
         Stage("local", ("segments", "cells"), local),
         Stage("ranked", ("local", "health"), ranking),
         Stage("paths", ("segments", "sources"), lambda s, r: graph.supply_paths(s, graph.hops(s, r, directed=True))),
-        Stage("plan", ("ranked", "paths", "multipliers"), plan),
+        Stage("plan", ("ranked", "sources", "multipliers"), plan),
         Stage("failures", ("ranked", "sources", "cells", "economics", "multipliers"), failures),
         Stage("names", ("segments", "sources"), names),
     ]
