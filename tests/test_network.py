@@ -443,3 +443,13 @@ def test_noding_and_betweenness_take_whole_tables(spark, sf):
     assert {r["seg_id"] for r in q["G7_betweenness"](spark, sf).collect()} == edges
     ids = {r["vec_id"] for r in T.table(spark, sf, "embeddings").select("vec_id").collect()}
     assert {r["id"] for r in q["X4_noding"](spark, sf).select("id").distinct().collect()} == ids
+
+
+def test_betweenness_batches_follow_reach(spark, monkeypatch):
+    rows = [(i, (i + 1) // 2, i + 1, 1.0 + i % 3) for i in range(40)] + [(100 + s, 3 * s + 1, 7 * s + 11, 2.0) for s in range(1, 4)]
+    e = spark.createDataFrame(rows, "seg_id long, src long, dst long, length_m double")
+    made, shares = [], graph._path_shares
+    monkeypatch.setattr(graph, "_path_shares", lambda *a: made.append(1) or shares(*a))
+    want = {r["seg_id"]: r["betweenness"] for r in graph.betweenness(e).collect()}
+    got = {r["seg_id"]: r["betweenness"] for r in graph.betweenness(e, sources=5).collect()}
+    assert len(made) == 2 and got == pytest.approx(want)  # one batch each, where five sources a batch had made nine
