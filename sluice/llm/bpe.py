@@ -23,8 +23,6 @@ import hashlib
 import json
 import re as _re
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -35,10 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, take_worker, worker_cache
 
-#: Pieces whose ids a worker remembers.  When the table is full it is emptied; nothing else changes.
-REMEMBERED = 150_000
+#: Pieces whose ids a worker remembers twice over: a full table becomes the old one, which is asked before a piece is
+#: encoded anew, so frequent pieces stay known; nothing else changes.
+REMEMBERED = 250_000
 #: Pairs of tokens whose compatibility a worker remembers, in the same way.
-PAIRS = 250_000
+PAIRS = 400_000
 #: Bytes of the longest piece worth remembering.
 LONGEST = 64
 NO_RANK = 1 << 62
@@ -52,6 +51,26 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def plain(pattern: str):
+    """The same pattern for ``re``, which is faster than ``regex``, with letters, numbers and white space spelled out
+    as sets; it holds for texts without characters beyond U+FFFF.  None if the pattern has other escapes."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    held = {k: "".join(f"{_re.escape(m[0])}-{_re.escape(m[-1])}" for m in regex.findall(f"{k}+", every)) for k in (r"\p{L}", r"\p{N}", r"\s")}
+
+    def spelled(m) -> str:
+        if m[0] == r"\S":
+            return f"[^{held[r'\s']}]"
+        inside = "".join(held[k] for k in _re.findall(r"\\p\{[LN]\}|\\s", m[0]))
+        return f"[{'^' * m[0].startswith('[^')}{inside}]"
+
+    atom = r"\[\^?(?:\\p\{[LN]\}|\\s)+\]|\\p\{[LN]\}|\\s|\\S"
+    return None if "\\" in _re.sub(atom, "", pattern) else _re.compile(_re.sub(atom, spelled, pattern))
+
+
+#: A character that ``plain`` does not know.
+BEYOND = _re.compile("[\U00010000-\U0010ffff]")
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary file, with what encoding and decoding need."""
 
@@ -62,7 +81,7 @@ class Vocabulary:
         if model["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec.get("normalizer") or model.get("ignore_merges") or model.get("byte_fallback"):
             raise ValueError("only byte-level BPE files without a normalizer are read")
         to_byte = {c: b for b, c in byte_letters().items()}
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.plain = regex.compile(pattern), plain(pattern)
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("added tokens with matching rules are not read")
@@ -129,23 +148,21 @@ class Vocabulary:
         n = len(raw)
         if n == 1:
             return [self.single[raw[0]]]
-        single, compatible = self.single, self.compatible
-        last = [-1] * (n + 1)
-        start = [0] * (n + 1)
-        done = 0
-        for end, hits in groupby(self.automaton.iter(raw.decode("latin-1")), itemgetter(0)):
-            for q in range(done, end):  # bytes at which no longer token ends
-                last[q + 1], start[q + 1] = single[raw[q]], q
-            for _, (size, t) in sorted(hits, reverse=True):
-                p = end + 1 - size
-                if p == 0 or compatible(last[p], t):
-                    last[end + 1], start[end + 1] = t, p
-                    break
-            else:
-                last[end + 1], start[end + 1] = single[raw[end]], end
-            done = end + 1
-        for q in range(done, n):
-            last[q + 1], start[q + 1] = single[raw[q]], q
+        single, known = self.single, self.known.get
+        last = [-1, *[single[b] for b in raw]]  # where no longer token is compatible, the last byte alone
+        start = list(range(-1, n))
+        done = -1
+        for end, (size, t) in self.automaton.iter(raw.decode("latin-1")):  # those of one end come longest first
+            if end == done:
+                continue
+            p = end + 1 - size
+            if p:
+                fits = known(last[p] << 24 | t)
+                if fits is None:
+                    fits = self.compatible(last[p], t)
+                if not fits:
+                    continue
+            last[end + 1], start[end + 1], done = t, p, end
         out = []
         at = n
         while at:
@@ -156,14 +173,15 @@ class Vocabulary:
     def said(self, text: str) -> list[tuple[str, int, bytes]]:
         """Of every piece of a text: the decimal ids joined by commas, their number, their bytes."""
         parts = self.split_added.split(text) if self.split_added else [text]
+        pieces = (self.pattern if self.plain is None or BEYOND.search(text) else self.plain).findall
         if len(parts) == 1:
-            return list(map(self.memory.__getitem__, self.pattern.findall(text)))
+            return list(map(self.memory.__getitem__, pieces(text)))
         out: list[tuple[str, int, bytes]] = []
         for i, part in enumerate(parts):
             if i % 2:
                 out.append((str(self.added[part]), 1, self.bytes[self.added[part]]))
             else:
-                out += map(self.memory.__getitem__, self.pattern.findall(part))
+                out += map(self.memory.__getitem__, pieces(part))
         return out
 
     def encode_text(self, text: str) -> str:
@@ -189,12 +207,17 @@ class Memory(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.names = [str(i) for i in range(len(vocabulary.bytes))]
+        self.old: dict[str, tuple[str, int, bytes]] = {}
 
     def __missing__(self, piece: str) -> tuple[str, int, bytes]:
-        ids = self.vocabulary.piece(piece.encode("utf-8"))
-        got = (",".join(map(str, ids)), len(ids), b"".join(map(self.vocabulary.bytes.__getitem__, ids)))
+        got = self.old.get(piece)
+        if got is None:
+            ids = self.vocabulary.piece(piece.encode("utf-8"))
+            got = (",".join(map(self.names.__getitem__, ids)), len(ids), b"".join(map(self.vocabulary.bytes.__getitem__, ids)))
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = got
         return got

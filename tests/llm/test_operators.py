@@ -307,6 +307,27 @@ def test_bpe_equals_library(docs, odd, empty):
     assert bpe.tokenise(empty, path, pattern).count() == 0
 
 
+def test_bpe_splits_alike_and_keeps_frequent_pieces(monkeypatch):
+    path, pattern = bpe.default_vocabulary()
+    v = bpe.Vocabulary(path, pattern)
+    for k in [*range(0x3100), *range(0xD7A0, 0xD800), *range(0xE000, 0x10000), 0x1D7D8, 0x1F600]:
+        c = chr(k)
+        text = f"a{c}{c} {c}1 {c}{c}  {c}'ll  "
+        if not bpe.BEYOND.search(text):
+            assert v.plain.findall(text) == v.pattern.findall(text), hex(k)
+        assert b"".join(p[2] for p in v.said(text)).decode() == text
+    assert bpe.plain(r"\d+|\p{L}") is None
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    made = []
+    v.memory.clear()
+    v.memory.old.clear()
+    monkeypatch.setattr(v, "piece", lambda raw, piece=v.piece: made.append(raw) or piece(raw))
+    for word in ("qa", "qb", "qc", "qd", "qe", "qf"):
+        v.said("the")
+        v.said(word)
+    assert made.count(b"the") <= 1
+
+
 def test_bpe_on_random_strings():
     from tokenizers import Tokenizer
 
