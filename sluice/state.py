@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -16,6 +17,9 @@ _shipped: set[str] = set()
 _made: set[str] = set()
 #: A side of a join is sent to every executor only if it has been counted and has no more rows than this.
 BROADCAST_ROWS = 500_000
+#: While a table is settled, a side of a join goes through the driver by its size alone up to so many bytes.
+BROADCAST_BYTES = 256 << 10
+_AUTO = "spark.sql.autoBroadcastJoinThreshold"
 
 
 def session(name: str = "sluice", **conf: str) -> SparkSession:
@@ -69,10 +73,29 @@ def fresh(spark: SparkSession, name: str = "table") -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """``df`` written out and read again: a loop's plan stays short, and a lost executor loses nothing."""
-    path = fresh(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written out and read again: a loop's plan stays short, and a lost executor loses nothing.
+
+    Its joins shuffle sides of more than ``BROADCAST_BYTES`` that have no hint: loops have hundreds of joins, and each
+    broadcast passes the driver, so all together they would send it many times the tables."""
+    spark = df.sparkSession
+    path = fresh(spark)
+    with _few_broadcasts(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def _few_broadcasts(spark: SparkSession):
+    was = spark.conf.get(_AUTO)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(was)
+    if size <= BROADCAST_BYTES:  # -1: none at all
+        yield
+        return
+    spark.conf.set(_AUTO, str(BROADCAST_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_AUTO, was)
 
 
 def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
