@@ -34,3 +34,14 @@ def test_large_sides_are_not_broadcast_while_settled(spark, monkeypatch):
         seen.append(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
         assert "BroadcastHashJoin" not in spark.range(5000).join(spark.range(5000), "id")._jdf.queryExecution().executedPlan().toString()
     assert seen == ["1000"] and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == was
+
+
+def test_closure_makes_each_pair_once(spark, settled):
+    rng = random.Random(5)
+    pairs = [(i // 2, i) for i in range(1, 14)] + [(rng.randrange(14), rng.randrange(14)) for _ in range(4)] + [(20, 21), (21, 22), (22, 20), (22, 23), (30, 30)]
+    want = {(a, b) for a, b in pairs}
+    while more := {(a, d) for a, b in want for c, d in want if b == c} - want:
+        want |= more
+    got = [tuple(r) for r in graph.closure(made(spark, pairs)).select("anc", "des").collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert not any(set(c) == {"anc", "des"} and "Aggregate" in plan for c, plan in settled)
