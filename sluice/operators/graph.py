@@ -232,14 +232,15 @@ def parents(edges: DataFrame, levels: DataFrame) -> DataFrame:
 
 
 def supply_paths(edges: DataFrame, levels: DataFrame) -> DataFrame:
-    """seg_id, on_path: each edge and the edges on the shortest path to its tail; by pointer doubling."""
+    """seg_id, on_path: each edge and the edges on the shortest path to its tail; by pointer doubling.
+
+    Only tails are led up their ways, and each pair is made once."""
     up = settle(parents(edges, levels))
-    pairs = closure(up.select(F.col("parent").alias("src"), F.col("node").alias("dst")))
-    on = up.select(F.col("node").alias("on_node"), "parent_seg")
-    upper = edges.select("seg_id", F.col("src").alias("tail")).join(pairs.withColumnRenamed("des", "tail"), "tail").select("seg_id", F.col("anc").alias("on_node"))
-    tail = edges.select("seg_id", F.col("src").alias("on_node"))
+    tails = settle(edges.select("seg_id", F.col("src").alias("tail")))
+    ways = tree.pairs(tree.steps(up.select("node", F.col("parent").alias("up"))), tails.select(F.col("tail").alias("node")).distinct())
+    on = ways.join(up.select(F.col("node").alias("anc"), "parent_seg"), "anc").select(F.col("node").alias("tail"), "parent_seg")
     reach = edges.join(levels, F.col("src") == F.col("node"), "left_semi").select("seg_id", F.col("seg_id").alias("on_path"))
-    return upper.unionByName(tail).join(on, "on_node").select("seg_id", F.col("parent_seg").alias("on_path")).unionByName(reach)
+    return tails.join(on, "tail").select("seg_id", F.col("parent_seg").alias("on_path")).unionByName(reach)
 
 
 def chainage(edges: DataFrame, sources: DataFrame, weight: str = "length_m") -> DataFrame:

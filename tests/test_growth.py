@@ -45,3 +45,17 @@ def test_closure_makes_each_pair_once(spark, settled):
     got = [tuple(r) for r in graph.closure(made(spark, pairs)).select("anc", "des").collect()]
     assert len(got) == len(want) and set(got) == want
     assert not any(set(c) == {"anc", "des"} and "Aggregate" in plan for c, plan in settled)
+
+
+def test_supply_paths_make_each_pair_once(spark, settled):
+    e = made(spark, [(i // 2, i) for i in range(1, 14)])
+    got = [tuple(r) for r in graph.supply_paths(e, graph.hops(e, spark.createDataFrame([(0,)], "node long"), directed=True)).collect()]
+    up = {i: i // 2 for i in range(1, 14)}
+    want = set()
+    for i in up:
+        n = i
+        while n in up:
+            want.add((i - 1, n - 1))
+            n = up[n]
+    assert len(got) == len(want) and set(got) == want
+    assert not any(set(c) == {"anc", "des"} and "Aggregate" in plan for c, plan in settled)
