@@ -283,9 +283,12 @@ def reach_after_removal(edges: DataFrame, sources: DataFrame, scenarios: DataFra
 
     Exact on any graph.  Only what lies below a removed edge can be lost, so a scenario's work is its region:
     the nodes that the edge's head reaches.  Of these, a source, or a node that an edge from outside the
-    region still feeds, keeps its supply and passes it on within the region; the others are lost.
+    region still feeds, keeps its supply and passes it on within the region; the others are lost.  Where every scenario
+    removes one edge of an acyclic graph, regions are not walked: what is lost is read off the dominator forest.
     """
-    gone = scenarios.select("scenario", "seg_id").distinct()
+    gone = settle(scenarios.select("scenario", "seg_id").distinct())
+    if (d := _single(edges, sources, gone)) is not None:
+        return tree.under(d.ups, d.fed.join(gone, "seg_id"), "scenario").select("scenario", "node")
     none = F.array().cast("array<" + scenarios.schema["scenario"].dataType.simpleString() + ">")
     e = edges.select("seg_id", "src", "dst").join(gone.groupBy("seg_id").agg(F.collect_set("scenario").alias("removed_in")), "seg_id", "left")
     e = settle(e.withColumn("removed_in", F.coalesce("removed_in", none)))
@@ -309,6 +312,17 @@ def reach_after_removal(edges: DataFrame, sources: DataFrame, scenarios: DataFra
     raise RuntimeError("supply within the regions did not settle")
 
 
+def _single(edges: DataFrame, sources: DataFrame, gone: DataFrame) -> tree.Dominators | None:
+    """The dominators, if each scenario (scenario, seg_id) removes one edge and the graph has no cycle of feeds."""
+    of_edges = edges.select("seg_id").join(gone.select("seg_id").distinct(), "seg_id").groupBy("seg_id").count().where("count > 1")
+    if gone.groupBy("scenario").count().where("count > 1").limit(1).count() or of_edges.limit(1).count():
+        return None
+    try:
+        return tree.dominators(edges, sources)
+    except ValueError:
+        return None
+
+
 def losses(edges: DataFrame, sources: DataFrame, dominated: tree.Dominators | None = None) -> DataFrame:
     """scenario, node for the removal of every single edge of an acyclic graph: what no source reaches any more.
 
@@ -317,7 +331,7 @@ def losses(edges: DataFrame, sources: DataFrame, dominated: tree.Dominators | No
     loses nothing have no row.
     """
     d = dominated or tree.dominators(edges, sources)
-    return d.fed.select(F.col("node").alias("anc"), F.col("seg_id").alias("scenario")).join(tree.pairs(d.ups, tree.ends(edges)), "anc").select("scenario", "node")
+    return tree.under(d.ups, d.fed.withColumnRenamed("seg_id", "scenario"), "scenario").select("scenario", "node")
 
 
 def nearest_node(nodes: DataFrame, x: float, y: float) -> DataFrame:

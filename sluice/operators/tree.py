@@ -83,6 +83,15 @@ def pairs(ups: list[DataFrame], nodes: DataFrame) -> DataFrame:
     return p
 
 
+def under(ups: list[DataFrame], tops: DataFrame, *columns: str) -> DataFrame:
+    """node, ``columns``: every node of ``tops`` (node, columns) and each node below it, with that row's columns; from the top
+    down by doubling, so each pair is made once and none but those asked for."""
+    p = settle(tops.select("node", *columns))
+    for up in ups:
+        p = settle(p.unionByName(p.withColumnRenamed("node", "up").join(up, "up").select("node", *columns)))
+    return p
+
+
 def intervals(ups: list[DataFrame], nodes: DataFrame) -> DataFrame:
     """node, enter, size: a numbering in which the nodes below a node, itself included, are those from enter to
     enter + size - 1.  A node's number is the sum, up to its root, of the sizes of earlier siblings, and one a level."""

@@ -59,3 +59,25 @@ def test_supply_paths_make_each_pair_once(spark, settled):
             n = up[n]
     assert len(got) == len(want) and set(got) == want
     assert not any(set(c) == {"anc", "des"} and "Aggregate" in plan for c, plan in settled)
+
+
+def test_single_removals_walk_no_regions(spark, monkeypatch):
+    e = made(spark, [(i // 2, i) for i in range(1, 14)] + [(2, 7), (3, 10)])
+    gone = e.selectExpr("seg_id as scenario", "seg_id")
+    src = spark.createDataFrame([(0,)], "node long")
+    edges = [(r["seg_id"], r["src"], r["dst"]) for r in e.collect()]
+
+    def reached(without):
+        seen, front = {0}, [0]
+        while front:
+            front = [b for i, a, b in edges if i != without and a in front and b not in seen]
+            seen |= set(front)
+        return seen
+
+    want = {(i, n) for i, _, _ in edges for n in reached(None) - reached(i)}
+
+    def walked(*_, **__):
+        raise AssertionError("a region was walked")
+
+    monkeypatch.setattr(graph, "hops", walked)
+    assert {tuple(r) for r in graph.reach_after_removal(e, src, gone).select("scenario", "node").collect()} == want
