@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row, Window
@@ -15,7 +16,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.params import VALUES
 from ..functions.scalar import clip, uniform
-from ..state import if_small, ranked, settle, settle_counted
+from ..state import if_small, ranked, settle, settle_counted, spread
 from . import graph, tree
 
 TARGET = VALUES["target_health"]
@@ -263,12 +264,70 @@ def complaint_weight(health, length_m):
     return F.greatest((1 - health) * F.sqrt(length_m), F.lit(1e-9))
 
 
+#: Rows of a trial that one task ranks, about.
+RANGE_ROWS = 100_000
+
+
+def _keys(segs: DataFrame, trials: int, seed: int, low: float | None = None, high: float | None = None) -> DataFrame:
+    """trial, seg_id, cost_inr, _k = -ln(u) / weight, which orders a trial, from ``low`` to below ``high``; a missing weight
+    comes first.  Keys are held to the bounds where they are made, so that each is made once."""
+    t = spread(segs, "seg_id").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    k = F.coalesce(F.nanvl(-F.ln(uniform(F.lit(seed), F.col("trial"), F.col("seg_id"))) / F.col("weight"), F.lit(math.inf)), F.lit(-1.0))
+    within = lambda x: (F.lit(True) if low is None else x >= low) & (F.lit(True) if high is None else x < high)
+    return t.select("trial", "seg_id", "cost_inr", k.alias("_k") if low is high is None else F.explode(F.filter(F.array(k), within)).alias("_k"))
+
+
+def _placed(t: DataFrame, n: int) -> DataFrame:
+    """``t`` (trial, seg_id, _k and more, of ``n`` segments) with each row's place in its trial as pos, from 1.
+
+    Rows meet by trial and range of ln(_k), and ranges are counted before.  Whatever the weights, no more than 1 / e of a
+    trial's keys are expected in a range of width 1 (the density of ln(-ln(u)) has its maximum there), so a width for
+    ``RANGE_ROWS`` rows is known without a sample, and rows are shuffled once.
+    """
+    width = min(1.0, math.e * RANGE_ROWS / max(1, n))
+    t = t.withColumn("_b", F.coalesce(F.floor(F.ln("_k") / width), F.lit(-(2**62))))
+    counts, ranges = settle_counted(t.groupBy("trial", "_b").agg(F.count(F.lit(1)).alias("_n")))
+    ahead = Window.partitionBy("trial").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("trial", "_b", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_first"))
+    own = F.row_number().over(Window.partitionBy("trial", "_b").orderBy("_k", "seg_id"))
+    return t.withColumn("_own", own).join(if_small(first, ranges), ["trial", "_b"]).withColumn("pos", F.col("_first") + F.col("_own")).drop("_b", "_own", "_first")
+
+
 def weighted_orders(segs: DataFrame, trials: int, seed: int = 42) -> DataFrame:
     """trial, pos, seg_id, cost_inr: for each trial a weighted random order, by exponential keys -ln(u) / weight."""
-    t = segs.select("seg_id", "cost_inr", "weight").withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
-    t = ranked(t.withColumn("_k", -F.ln(uniform(F.lit(seed), F.col("trial"), F.col("seg_id"))) / F.col("weight")), "_n", "trial", "_k", "seg_id")
-    first = t.groupBy("trial").agg(F.min("_n").alias("_first"))
-    return t.join(if_small(first, trials), "trial").select("trial", (F.col("_n") - F.col("_first") + 1).cast("int").alias("pos"), "seg_id", "cost_inr")
+    s, n = settle_counted(segs.select("seg_id", "cost_inr", "weight"))
+    return _placed(settle(_keys(s, trials, seed)), n).select("trial", F.col("pos").cast("int").alias("pos"), "seg_id", "cost_inr")
+
+
+#: Rows of a trial's front that ``weighted_fill`` ranks first, about, and by how much each next front is longer.
+FRONT, LONGER = 2000, 16
+
+
+def weighted_fill(segs: DataFrame, trials: int, budget: float, seed: int = 42, front: int = FRONT) -> DataFrame:
+    """trial, seg_id as ``skip_fill`` has them for ``weighted_orders``, without ranking whole trials.
+
+    The fronts of all trials, keys below some bound, are filled first.  Of what comes later only items that cost no more
+    than what is left can be taken, so every next front has only those; it ends when there are none, or with the last key.
+    """
+    spark = segs.sparkSession
+    s = settle(segs.select("seg_id", F.col("cost_inr").cast("double").alias("cost_inr"), "weight"))
+    rest = spark.range(trials).select(F.col("id").cast("int").alias("trial"), F.lit(float(budget)).alias("rest"))
+    n, weight = s.agg(F.count(F.lit(1)), F.sum(F.when(~F.isnan("weight"), F.col("weight")))).first()
+    out, low, share = [], None, front
+    while True:
+        most = rest.agg(F.max("rest")).first()[0]
+        able, items = settle_counted(s.where(F.col("cost_inr") <= F.lit(most)))
+        if out and not items:
+            break
+        high = None if share >= n or not weight else share / weight  # no more than share keys are expected below it
+        t = settle(_keys(able, trials, seed, low, high).join(if_small(rest, trials), "trial").where(F.col("cost_inr") <= F.col("rest")))
+        out.append(settle(_filled(_placed(t, items).withColumnRenamed("cost_inr", "cost"))))
+        if high is None:
+            break
+        spent = out[-1].groupBy("trial").agg(F.sum("cost").alias("_s"))
+        rest = settle(rest.join(spent, "trial", "left").select("trial", (F.col("rest") - F.coalesce("_s", F.lit(0.0))).alias("rest")))
+        low, share = high, share * LONGER
+    return functools.reduce(DataFrame.unionByName, out).select("trial", "seg_id")
 
 
 #: Items of a trial that one range of positions is made for.
@@ -276,14 +335,19 @@ RANGE_ITEMS = 2000
 
 
 def skip_fill(orders: DataFrame, budget: float) -> DataFrame:
-    """trial, seg_id of the items taken: each in turn if it still fits.
+    """trial, seg_id of the items taken: each in turn if it still fits."""
+    left = orders.select("trial", "pos", "seg_id", F.col("cost_inr").cast("double").alias("cost"), F.lit(float(budget)).alias("rest"))
+    return _filled(left.where(F.col("cost") <= F.col("rest"))).select("trial", "seg_id")
+
+
+def _filled(left: DataFrame) -> DataFrame:
+    """trial, seg_id, cost of the items taken from ``left`` (trial, pos, seg_id, cost, rest: what the trial has left).
 
     A round takes, in every trial, the longest run of items from the front that fits as a whole, which the walk would take
     too, passes the one that ends it, and drops what is dearer than what is left.  Costs are summed by ranges of
     positions first, so a trial is spread over tasks.  Every round takes one item at least, and mostly many.
     """
-    left = orders.select("trial", F.col("pos").cast("long").alias("pos"), "seg_id", F.col("cost_inr").cast("double").alias("cost"), F.lit(float(budget)).alias("rest"))
-    left = left.where(F.col("cost") <= F.col("rest"))
+    left = left.select("trial", F.col("pos").cast("long").alias("pos"), "seg_id", "cost", "rest")
     out = []
     for _ in range(CAP):
         left, n = settle_counted(left)
@@ -295,7 +359,7 @@ def skip_fill(orders: DataFrame, budget: float) -> DataFrame:
         run = F.sum("cost").over(Window.partitionBy("trial", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
         x = settle(left.withColumn("part", part).withColumn("run", run).join(ahead, ["trial", "part"]).withColumn("sum", F.col("ahead") + F.col("run")).drop("part", "run", "ahead"))
         fits = F.col("sum") <= F.col("rest")  # sums grow along a trial, so what fits is its front
-        out.append(x.where(fits).select("trial", "seg_id"))
+        out.append(x.where(fits).select("trial", "seg_id", "cost"))
         per = x.groupBy("trial").agg(F.min(F.when(~fits, F.col("pos"))).alias("stop"), F.coalesce(F.max(F.when(fits, F.col("sum"))), F.lit(0.0)).alias("spent"))
         left = x.where(~fits).join(per, "trial").where("pos > stop").withColumn("rest", F.col("rest") - F.col("spent")).where("cost <= rest").select("trial", "pos", "seg_id", "cost", "rest")
     raise RuntimeError("items were left after the last round")

@@ -286,14 +286,13 @@ TRIALS, BUDGET = 200, 5_000_000.0
 _ORDER = f"{HEALTH}, wt AS (SELECT seg_id, length_m / 1000 * 239644 AS cost, greatest((1 - h) * sqrt(length_m), 1e-9) AS w FROM seg JOIN hs USING (seg_id)), ky AS (SELECT trial, seg_id, cost, -ln((CAST('0x' || substr(md5('42:' || trial || ':' || seg_id), 1, 12) AS BIGINT) + 1.0) / 281474976710656.0) / w AS k FROM wt, (SELECT unnest(range({TRIALS})) AS trial)), od AS (SELECT *, row_number() OVER (PARTITION BY trial ORDER BY k, seg_id) AS pos FROM ky)"
 
 
-def _orders(spark, d):
-    s = scored_segments(spark, d).withColumns({"cost_inr": economics.desilt_cost(F.col("length_m"), F.lit(1.0)), "weight": supply.complaint_weight(F.col("health"), F.col("length_m"))})
-    return supply.weighted_orders(s, TRIALS)
+def _weighted(spark, d):
+    return scored_segments(spark, d).withColumns({"cost_inr": economics.desilt_cost(F.col("length_m"), F.lit(1.0)), "weight": supply.complaint_weight(F.col("health"), F.col("length_m"))})
 
 
 @query("B4_weighted_order", f"WITH {T.SEG}, {_ORDER} SELECT trial::BIGINT AS trial, seg_id, pos::BIGINT AS pos FROM od")
 def _(spark, d):
-    return _orders(spark, d).select(F.col("trial").cast(L), "seg_id", F.col("pos").cast(L))
+    return supply.weighted_orders(_weighted(spark, d), TRIALS).select(F.col("trial").cast(L), "seg_id", F.col("pos").cast(L))
 
 
 _FILL = f"it AS (SELECT trial, list({{'c': cost::DOUBLE, 's': seg_id}} ORDER BY pos) AS xs FROM od GROUP BY 1), fl AS (SELECT trial, list_reduce(xs, lambda a, x: CASE WHEN a.spent + x.c <= {BUDGET} THEN {{'spent': a.spent + x.c, 'taken': list_append(a.taken, x.s)}} ELSE a END, {{'spent': 0.0::DOUBLE, 'taken': []::BIGINT[]}}) AS r FROM it)"
@@ -301,13 +300,13 @@ _FILL = f"it AS (SELECT trial, list({{'c': cost::DOUBLE, 's': seg_id}} ORDER BY
 
 @query("B5_skip_fill", f"WITH RECURSIVE {T.SEG}, {_ORDER}, w(trial, pos, spent, took, seg_id) AS (SELECT trial, 1::BIGINT, CASE WHEN cost <= {BUDGET} THEN cost ELSE 0.0 END, cost <= {BUDGET}, seg_id FROM od WHERE pos = 1 UNION ALL SELECT w.trial, o.pos, CASE WHEN w.spent + o.cost <= {BUDGET} THEN w.spent + o.cost ELSE w.spent END, w.spent + o.cost <= {BUDGET}, o.seg_id FROM w JOIN od o ON o.trial = w.trial AND o.pos = w.pos + 1) SELECT trial::BIGINT AS trial, seg_id FROM w WHERE took")
 def _(spark, d):
-    return supply.skip_fill(_orders(spark, d), BUDGET).select(F.col("trial").cast(L), "seg_id")
+    return supply.weighted_fill(_weighted(spark, d), TRIALS, BUDGET).select(F.col("trial").cast(L), "seg_id")
 
 
 @query("B6_trials")
 def _(spark, d):
     s, way = routed(spark, d)
-    taken = settle(supply.skip_fill(_orders(spark, d), BUDGET))
+    taken = settle(supply.weighted_fill(_weighted(spark, d), TRIALS, BUDGET))
     costed = s.withColumn("cost_inr", economics.desilt_cost(F.col("length_m"), F.lit(1.0))).withColumn("rank", F.col("seg_id"))
     plan = supply.route_plan(costed, way, spark.createDataFrame([("plan", BUDGET)], "scenario string, budget double"))
     out = supply.trial_summary(supply.route_outcomes(s, way, taken), plan.agg(F.max("cumulative_ha")).first()[0] or 0.0)

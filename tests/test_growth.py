@@ -81,3 +81,22 @@ def test_single_removals_walk_no_regions(spark, monkeypatch):
 
     monkeypatch.setattr(graph, "hops", walked)
     assert {tuple(r) for r in graph.reach_after_removal(e, src, gone).select("scenario", "node").collect()} == want
+
+
+@pytest.mark.parametrize(("budget", "front"), [(60.0, 5), (900.0, 5), (1e9, 5), (0.5, 5), (60.0, 10_000)])
+def test_fronts_take_what_whole_trials_take(spark, budget, front):
+    rng = random.Random(3)
+    rows = [(i, float(rng.randint(1, 40)), rng.choice([None, 1e-9, 0.5, 2.0, 30.0])) for i in range(150)]
+    s = spark.createDataFrame(rows, "seg_id long, cost_inr double, weight double")
+    orders = supply.weighted_orders(s, 4).collect()
+    cost, want = {i: c for i, c, _ in rows}, set()
+    for trial in range(4):
+        mine = sorted((r["pos"], r["seg_id"]) for r in orders if r["trial"] == trial)
+        assert [p for p, _ in mine] == list(range(1, 151))
+        left = budget
+        for _, i in mine:
+            if cost[i] <= left:
+                left -= cost[i]
+                want.add((trial, i))
+    got = [tuple(r) for r in supply.weighted_fill(s, 4, budget, front=front).collect()]
+    assert len(got) == len(want) and set(got) == want
