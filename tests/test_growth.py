@@ -5,7 +5,7 @@ import random
 import pytest
 
 from sluice import state
-from sluice.operators import graph, supply, tree
+from sluice.operators import graph, spatial, supply, tree
 
 
 @pytest.fixture
@@ -100,3 +100,27 @@ def test_fronts_take_what_whole_trials_take(spark, budget, front):
                 want.add((trial, i))
     got = [tuple(r) for r in supply.weighted_fill(s, 4, budget, front=front).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_clusters_link_cells_not_points(spark, monkeypatch):
+    rng = random.Random(8)
+    pts = [(i, rng.uniform(0, 400), rng.uniform(0, 400)) for i in range(150)] + [(200 + i, 500 + rng.uniform(0, 3), 500 + rng.uniform(0, 3)) for i in range(150)]
+    pts += [(400 + i, 20.0, 20.0) for i in range(50)] + [(500, None, 1.0), (501, float("nan"), 1.0), (502, float("nan"), 1.0), (503, float("inf"), 1.0)]
+    root = list(range(len(pts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, x, y) in enumerate(pts):
+        for j, (_, u, v) in enumerate(pts[:i]):
+            if x is not None and u is not None and (x - u) ** 2 + (y - v) ** 2 <= 25.0**2:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    seen = []
+    whole = graph.components
+    monkeypatch.setattr(spatial, "components", lambda e: seen.append(e.count()) or whole(e))
+    got = {r["id"]: r["cluster"] for r in spatial.cluster_points(spark.createDataFrame(pts, "id long, x double, y double"), 25.0).collect()}
+    assert got == {p[0]: pts[find(i)][0] for i, p in enumerate(pts)}
+    assert seen[0] <= 12 * 204  # the 150 points of one cell have no links of their own, which would be 11,175
