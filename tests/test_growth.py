@@ -1,5 +1,6 @@
 """What steps make, rather than what they return: pairs made once, fronts instead of whole trials, regions not walked."""
 
+import math
 import random
 
 import pytest
@@ -124,3 +125,24 @@ def test_clusters_link_cells_not_points(spark, monkeypatch):
     got = {r["id"]: r["cluster"] for r in spatial.cluster_points(spark.createDataFrame(pts, "id long, x double, y double"), 25.0).collect()}
     assert got == {p[0]: pts[find(i)][0] for i, p in enumerate(pts)}
     assert seen[0] <= 12 * 204  # the 150 points of one cell have no links of their own, which would be 11,175
+
+
+def test_nearest_by_rank_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(9)
+    spot = lambda i: (i, rng.gauss(0, 30), rng.gauss(0, 30))
+    left = [spot(i) for i in range(300)] + [(i, 5.0, 5.0) for i in range(300, 330)] + [(330, None, 1.0), (331, float("nan"), 1.0), (332, 500.0, 500.0)]
+    right = [(*spot(i), i % 3) for i in range(1000, 1600)] + [(i, 300 + rng.uniform(0, 1e-3), 300.0, 1) for i in range(1600, 2200)]
+    right += [(i, 6.0, 5.0, 2) for i in range(2300, 2200, -1)] + [(2301, float("nan"), 1.0, 0), (2302, float("inf"), 1.0, 0)]
+    left += [(400 + i, 300 + rng.uniform(-6, 6), 300 + rng.uniform(-6, 6)) for i in range(100)]  # around a clump of 600
+    want = {}
+    for i, x, y in left:
+        got = [(r, math.hypot(x - u, y - v), j) for j, u, v, r in right if x is not None and math.hypot(x - u, y - v) <= 7.0]
+        if got:
+            want[i] = min(got)[::2]
+    seen = []
+    whole = spatial._nearer
+    monkeypatch.setattr(spatial, "_nearer", lambda held, *a: seen.append(held.count()) or whole(held, *a))
+    df = spark.createDataFrame(left, "id long, x double, y double"), spark.createDataFrame(right, "id long, x double, y double, rank int")
+    assert {r["id"]: (r["rank"], r["rid"]) for r in spatial.best_within(*df, 7.0).collect()} == want
+    # all pairs within the radius would be over 60,000 at the clump alone
+    assert len(seen) > 2 and max(seen) < 20 * len(left)
