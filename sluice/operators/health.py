@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import above, clip, known
 from ..functions.stats import average_rank, quantile, quartile_bins, smallest_mode
-from ..state import fresh, ranked, settle
+from ..state import fresh, ranked, settle, spread
 
 
 def season_composite(obs: DataFrame, keys: list[str], value: str, ok: Column) -> DataFrame:
@@ -106,16 +106,18 @@ def train_forest(rows: DataFrame, features: list[str], label: str, trees: int =
     """A random forest on balanced classes, as a pipeline model; needs two classes at least.
 
     The model is saved and loaded: as fitted, it drags the summary of its training along, with the plan over the
-    training rows, into every task that predicts, which fails where that can't be serialised.
+    training rows, into every task that predicts, which fails where that can't be serialised.  The rows are written out,
+    as the stages read them a dozen times: dealt to all cores and in order, so that reruns draw the same samples.
     """
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer
 
+    rows = settle(spread(rows.select(label, *features)).sortWithinPartitions(label, *features))
     kinds = rows.groupBy(label).count().collect()
     if len(kinds) < 2:
         raise ValueError("labels of two classes at least are needed")
-    rows = class_weights(rows, label)
+    rows = settle(class_weights(rows, label))
     index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc")
     forest = RandomForestClassifier(featuresCol="_x", labelCol="_y", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed)
     path = fresh(rows.sparkSession, "model")

@@ -14,7 +14,7 @@ from ..state import settle
 from ..streaming import chunks, events
 from . import stages
 from . import testmap as T
-from .network import root, scored_segments
+from .network import labelled, root, scored_segments
 from .registry import QUERIES, query
 
 L = "bigint"
@@ -154,33 +154,28 @@ def _(spark, d):
 def _(spark, d):
     from pyspark.ml import PipelineModel
 
-    rows = _labelled(spark, d)
+    rows = labelled(spark, d)
     path = _fresh(spark, "model")
     health.train_forest(rows, ["a", "b"], "label", trees=10).save(path)
     return health.predict_forest(PipelineModel.load(path), rows, ["bad"]).select("doc_id", "pred_class")
 
 
-def _labelled(spark, d):
-    letters = (F.length("text") - F.length(F.regexp_replace("text", "[^a-z ]", ""))).cast("double")
-    return T.table(spark, d, "documents").join(T.table(spark, d, "labels"), "doc_id").select("doc_id", "source", F.col("n_chars").cast("double").alias("a"), letters.alias("b"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
-
-
 @query("M3_group_cv")
 def _(spark, d):
-    return health.cross_validate(_labelled(spark, d), ["a", "b"], "label", "source", folds=3, trees=10)
+    return health.cross_validate(labelled(spark, d), ["a", "b"], "label", "source", folds=3, trees=10)
 
 
 @query("M5_permutation_importance")
 def _(spark, d):
     """20 dealings of each feature over the groups that were held out of the training, beside the forest's Gini importance."""
-    rows = settle(health.held_out_groups(_labelled(spark, d), "source"))
+    rows = settle(health.held_out_groups(labelled(spark, d), "source"))
     model = health.train_forest(rows.where("not held_out"), ["a", "b"], "label", trees=100)
     return health.permutation_importance(model, rows.where("held_out").drop("held_out"), ["a", "b"], "label")
 
 
 @query("M6_class_probabilities")
 def _(spark, d):
-    rows = _labelled(spark, d)
+    rows = labelled(spark, d)
     return health.predict_forest(health.train_forest(rows, ["a", "b"], "label", trees=10), rows, ["bad"]).select("doc_id", "p_bad", "p_good", "p_impaired")
 
 

@@ -9,7 +9,7 @@ from ..functions import geo
 from ..functions import scalar as S
 from ..functions import stats
 from ..operators import economics, failure, graph, health, naming, spatial, supply, tree
-from ..state import ranked, settle
+from ..state import ranked, settle, spread
 from ..streaming import events as ev
 from ..streaming import labels as lb
 from . import testmap as T
@@ -544,9 +544,18 @@ def _(spark, d):
     return health.stratified_queue(p, ["lang", "b"], 300, F.md5(F.concat_ws(":", F.lit(42), "doc_id"))).select("doc_id")
 
 
+def labelled(spark, d):
+    """doc_id, source, a, b, label of the labelled documents, written out: features are made before the join, which then
+    moves no texts, and texts are read once, however often a forest reads its rows."""
+    letters = (F.length("text") - F.length(F.regexp_replace("text", "[^a-z ]", ""))).cast("double")
+    docs = T.table(spark, d, "documents").select("doc_id", "source", F.col("n_chars").cast("double").alias("a"), letters.alias("b"))
+    rows = docs.join(T.table(spark, d, "labels"), "doc_id").select(*docs.columns, F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
+    return settle(spread(rows, "doc_id"))
+
+
 @query("M1_forest")
 def _(spark, d):
-    rows = T.table(spark, d, "documents").join(T.table(spark, d, "labels"), "doc_id").select("doc_id", "source", F.col("n_chars").cast("double").alias("a"), (F.length("text") - F.length(F.regexp_replace("text", "[^a-z ]", ""))).cast("double").alias("b"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
+    rows = labelled(spark, d)
     model = health.train_forest(rows, ["a", "b"], "label")
     return health.predict_forest(model, rows, ["bad"]).select("doc_id", F.round("p_bad", 6).alias("p_bad"), F.round("p_impaired", 6).alias("p_impaired"), "pred_class")
 

@@ -146,3 +146,23 @@ def test_nearest_by_rank_makes_few_pairs(spark, monkeypatch):
     assert {r["id"]: (r["rank"], r["rid"]) for r in spatial.best_within(*df, 7.0).collect()} == want
     # all pairs within the radius would be over 60,000 at the clump alone
     assert len(seen) > 2 and max(seen) < 20 * len(left)
+
+
+def test_a_forest_reads_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from sluice.operators import health
+    from sluice.plans import network
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        read.add(1)
+        return v
+
+    rows = spark.createDataFrame([(float(i % 17), "good" if i % 3 else "bad") for i in range(200)], "a double, label string")
+    made = rows.withColumn("a", F.udf(seen, "double").asNondeterministic()("a"))
+    health.train_forest(made, ["a"], "label", trees=3)
+    assert read.value == 200
+    plan = network.labelled(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and "Join" not in plan
