@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import blank_name, half_even, km_text, plural, title_case
+from ..state import if_small, ranked, settle
 from .graph import named_above
 
 
@@ -17,8 +18,10 @@ def reach_names(segs: DataFrame, chain: DataFrame, parent: DataFrame) -> DataFra
     canal's own head.  Equal names get their length appended.
     """
     s = segs.join(chain.select(F.col("node").alias("src"), F.col("metres").alias("start")), "src", "left").withColumn("canal", blank_name(F.col("can_name")))
-    by = Window.partitionBy("canal")
-    s = s.withColumns({"index": F.row_number().over(by.orderBy(F.asc_nulls_last("start"), "seg_id")), "reaches": F.count(F.lit(1)).over(by), "head": F.min("start").over(by)})
+    # places in one order of all reaches, counted from each canal's first: those without a name would be one window
+    s = settle(ranked(s, "_at", "canal", F.asc_nulls_last("start"), "seg_id"))
+    own = s.groupBy("canal").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("reaches"), F.min("start").alias("head"))
+    s = s.join(if_small(own), "canal").withColumn("index", (F.col("_at") - F.col("_first") + 1).cast("int")).drop("_at", "_first")
     above = named_above(s, parent, F.col("canal") != "").join(s.select(F.col("seg_id").alias("above"), F.col("canal").alias("above_canal"), F.col("head").alias("above_head")), "above").select("seg_id", "above_canal", "above_head")
     s = s.join(above, "seg_id", "left")
     size = F.concat(km_text(F.col("length_m")), F.lit(" km"))

@@ -224,12 +224,13 @@ SELECT seg_id, command AS command_ha, health, round(bcn, 8) AS bc_norm, priority
 
 
 @query("B10_priority", RANKED)
-def ranking(spark, d):
-    """The flagship: local area -> command area -> centrality -> health -> priority -> rank."""
-    s = scored_segments(spark, d)
-    s = settle(s)
-    command = graph.downstream_sum(s, "local_ha").select("seg_id", F.col("total").alias("command_ha"))
-    central = graph.tree_betweenness(s)
+def ranking(spark, d, scored=None):
+    """The flagship: local area -> command area -> centrality -> health -> priority -> rank.  ``scored``: the scored
+    segments, where they have been written out already."""
+    s = settle(scored_segments(spark, d)) if scored is None else scored
+    f = tree.forest(s)
+    command = graph.downstream_sum(s, "local_ha", f).select("seg_id", F.col("total").alias("command_ha"))
+    central = graph.tree_betweenness(s, f)
     j = s.select("seg_id", F.col("health").alias("health_score")).join(command, "seg_id").join(central, "seg_id")
     r = supply.rank_segments(j).withColumn("priority", F.round("priority", 4))
     r = ranked(r.drop("rank"), "rank", F.desc("priority"), F.asc("seg_id"))
@@ -482,7 +483,7 @@ SELECT seg_id AS id, nn.name, grp AS canal, label AS reach, km_from AS "kmFrom",
   round_even(length_m / 1000 * 239644, 0) AS cost, format('{{:.1f}},{{:.1f}}', seg.src / 8, seg.dst / 8) AS coords FROM seg JOIN nn USING (seg_id) JOIN rk USING (seg_id) JOIN v USING (seg_id)""")
 def _(spark, d):
     s = settle(scored_segments(spark, d).withColumns({"can_name": F.when(F.col("seg_id") % 3 == 0, F.col("prj_name")), "district": F.col("prj_name"), "cost_inr": economics.desilt_cost(F.col("length_m"), F.lit(1.0))}))
-    at = ranking(spark, d).drop("health")
+    at = ranking(spark, d, s).drop("health")
     top = at.agg(F.max("priority").alias("_t"))
     at = at.join(F.broadcast(top)).withColumn("priority_norm", F.col("priority") / F.col("_t")).drop("_t")
     point = lambda x: F.struct((F.col(x) / 8).alias("x"), F.lit(0.0).alias("y"))

@@ -166,3 +166,19 @@ def test_a_forest_reads_its_rows_once(spark):
     assert read.value == 200
     plan = network.labelled(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "text" not in plan and "Join" not in plan
+
+
+def test_payload_scores_and_plants_once(spark, monkeypatch):
+    from sluice.operators import naming
+    from sluice.plans import network, registry
+
+    calls, plans = [], []
+    for module, name in ((tree, "forest"), (network, "scored_segments")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name: calls.append(n) or f(*a))
+    monkeypatch.setattr(naming, "settle", lambda df: plans.append(df) or state.settle(df))
+    out = registry.QUERIES["N2_payload"](spark, "/root/testdata/sf0.001")
+    assert sorted(calls) == ["forest", "scored_segments"]
+    # most reaches have no canal of their own: no window holds all of those
+    for df in [*plans, out]:
+        assert "windowspecdefinition(canal" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
