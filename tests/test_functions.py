@@ -213,6 +213,20 @@ def test_crore_rounds_the_scaled_double(spark, tmp_path):
     assert got == {1: "0.57 Cr", 2: "0.55 Cr", 3: "0.44 Cr", 4: "0.00 Cr", 5: "-0.00 Cr"}
 
 
+def test_crore_keeps_the_sign_of_zero(spark, tmp_path):
+    """Balances that are rounded to cents can be -0.0, which SQL shows as -0.00; so can what rounds to it on the way."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    x = [-0.0, 0.0, -0.0005, 0.0005, -0.0004, -0.01, 0.01, 5750.0, -5750.0, math.nan, math.inf, -math.inf, None]
+    spark.createDataFrame(list(enumerate(x)), "c_custkey long, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["k"]: r["t"] for r in queries()["F23_crore"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == dict(con.execute(oracle_sql()["F23_crore"]).fetchall()) and got[0] == "-0.00 Cr"
+
+
 def test_format_of_long_numbers(spark, tmp_path):
     from __spark_entry__ import queries
 
