@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -219,6 +220,40 @@ def test_suffix_array_and_prefixes(text):
             assert lcp[b] == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
 
 
+def shard_of(bodies, window, cuts):
+    """Contexts of one shard, as ``_shard`` gets them; ``bodies`` has (anchor, text)."""
+    cols = {"c1": list(range(len(bodies))), "c2": [0] * len(bodies), "n": [len(b) - window + 1 for _, b in bodies], "body": [b for _, b in bodies], "cuts": [cuts] * len(bodies), "group": [a for a, _ in bodies]}
+    return pa.table(cols, schema=pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("n", pa.int32()), ("body", pa.binary()), ("cuts", pa.int64()), ("group", pa.int64())]))
+
+
+def test_a_shard_takes_anchors_by_the_megabyte(monkeypatch):
+    """What a hash deals to a shard has no bound; the text of which a suffix array is made at once has."""
+    rng, sizes, sorted_ = random.Random(3), [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: sizes.append(len(text)) or sorted_(text))
+    bodies = []
+    for a in (rng.randrange(40) for _ in range(300)):  # letters of its own, since equal windows have one anchor
+        two = [65 + 2 * a, 66 + 2 * a]
+        bodies.append((a, bytes(rng.choices(two, k=12)) + bytes(two * 5) + bytes(rng.choices(two, k=3))))
+    got = suffix_dedup._shard(10, 500)(shard_of(bodies, 10, 1)).to_pylist()
+    assert sum(sizes) == 300 * 25 and max(sizes) <= 500 and len(sizes) < 40
+    want = {}
+    for i, (a, b) in enumerate(bodies):
+        other = Counter(x[k : k + 10] for c, x in bodies if c == a for k in range(16))
+        want[i] = [k for k in range(16) if other[b[k : k + 10]] > 1]
+    flat = {r["c1"]: [k for a, b in zip(r["spans"][::2], r["spans"][1::2], strict=True) for k in range(a, b)] for r in got}
+    assert flat == {i: x for i, x in want.items() if x}
+
+
+def test_a_shard_sends_a_window_once():
+    """Of windows that all contexts of a hot anchor have, each shard sends one, so a range grows with shards, not with contexts."""
+    rng = random.Random(4)
+    bodies = [(7, bytes(rng.choices(b"abcdefgh", k=9)) + b"shared-one") for _ in range(200)]
+    sent = [r for r in suffix_dedup._shard(10, 1 << 20)(shard_of(bodies, 10, 2)).to_pylist() if r["cut"] is not None]
+    strings = [r["strings"][k : k + 10] for r in sent for k in range(0, len(r["strings"]), 10)]
+    assert len(strings) == len(set(strings)) and set(strings) == {b[k : k + 10] for _, b in bodies for k in range(10)}
+    assert sum(len(r["places"]) for r in sent) == len(strings) * suffix_dedup._PLACE.itemsize
+
+
 # --- operator 5
 
 
