@@ -39,8 +39,13 @@ NEAREST = 20
 DIM = 32
 CONFIDENCE = 0.90
 SAMPLE = 20_000
+#: Rows of a leaf: this many, more where there would be over MANY_LEAVES of them, and BLOCK_ROWS at most.  A query that no box
+#: holds off is sent to every leaf, so what is sent grows with queries and leaves, and leaves are as large as a task can hold.
 LEAF_ROWS = 2048
-BLOCK_ROWS = 4096
+MANY_LEAVES = 64
+BLOCK_ROWS = 16384
+#: Rows (a query and a leaf) that a task routes at a time.
+ROUTED_ROWS = 8192
 #: Leaves of the tree, which the driver holds: beyond them, a leaf has more blocks.
 MOST_LEAVES = 4096
 BUCKET = 128
@@ -135,7 +140,7 @@ def build(rows: DataFrame, length: int, sample: int = SAMPLE, confidence: float
         planes = np.linalg.qr(planes)[0] * math.sqrt(length + 1)
     index = Index(length, top, planes, Tree(np.zeros(0, np.int64), np.zeros(0), 0), chi2_quantile(confidence, dim))
     some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas() if n else pd.DataFrame({"v": []})
-    leaves = min(MOST_LEAVES, max(1, n // LEAF_ROWS))
+    leaves = min(MOST_LEAVES, max(1, n // min(BLOCK_ROWS, max(LEAF_ROWS, n // MANY_LEAVES))))
     index.tree = Tree.fit(index.project(_matrix(some["v"], length), False), leaves)
     return index, int(n)
 
@@ -173,7 +178,8 @@ class Block:
 
         gap = np.maximum(0, np.maximum(self.low - shadow, shadow - self.high))
         at = np.flatnonzero(np.repeat((gap * gap).sum(axis=1) <= limit(), self.width))
-        away = self.norm[at] - 2 * (self.points[at] @ shadow) + float(shadow @ shadow)
+        points, norm = (self.points, self.norm) if len(at) == len(self.ids) else (self.points[at], self.norm[at])
+        away = norm - 2 * (points @ shadow) + float(shadow @ shadow)
         near = np.flatnonzero(away <= limit() * (1 + 1e-9))  # what the bound leaves out at once is not sorted
         order = near[np.argsort(away[near], kind="stable")]
         at, away = at[order], away[order]
@@ -223,6 +229,11 @@ def _home(index):
     return run
 
 
+def _sent(queries: pd.DataFrame, which: list[np.ndarray], leaf: list[np.ndarray]) -> pd.DataFrame:
+    out = queries.iloc[np.concatenate(which)][["query_id", "q", "bound"]].reset_index(drop=True)
+    return out.assign(leaf=np.concatenate(leaf).astype(np.int32))
+
+
 def _others(index, boxes):
     """The leaves that a query has still to visit, given its bound."""
 
@@ -233,15 +244,18 @@ def _others(index, boxes):
             qs = _matrix(f["q"], ix.length)
             shadow = ix.project(qs, True)
             reach = np.maximum((qs * qs).sum(axis=1) + ix.top - 2 * f["bound"].fillna(-math.inf).to_numpy(), 0) * ix.stop
-            which, at = [], []
+            which, at, held = [], [], 0
             for i in range(len(f)):
                 gap = np.maximum(0, np.maximum(low - shadow[i], shadow[i] - high))
                 hit = np.flatnonzero(((gap * gap).sum(axis=1) <= reach[i]) & (leaf != f["home"].iloc[i]))
                 which.append(np.full(len(hit), i))
                 at.append(leaf[hit])
-            which = np.concatenate(which) if which else np.zeros(0, np.int64)
-            out = f.iloc[which][["query_id", "q", "bound"]].reset_index(drop=True)
-            yield out.assign(leaf=np.concatenate(at).astype(np.int32) if at else np.zeros(0, np.int32))
+                held += len(hit)
+                if held >= ROUTED_ROWS:  # a frame holds a vector for each leaf that a query is sent to
+                    yield _sent(f, which, at)
+                    which, at, held = [], [], 0
+            if which:
+                yield _sent(f, which, at)
 
     return run
 

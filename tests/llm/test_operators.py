@@ -5,8 +5,10 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -637,6 +639,30 @@ def test_ann_leaves_out_over_half(spark, sf):
     assert verified(rng.standard_normal((40, 64))[rng.integers(0, 40, 2000)] + rng.standard_normal((2000, 64)) / 20) < 0.1
 
 
+def test_ann_routes_in_bounded_frames(monkeypatch):
+    """A query that has to visit many leaves takes a row, with its vector, for each: a task holds some of them at a time."""
+    monkeypatch.setattr(projected_ann, "ROUTED_ROWS", 50, raising=False)
+    index = projected_ann.Index(2, 1.0, np.eye(3), None, 2.0)
+    leaf = np.arange(30, dtype=np.int32)
+    boxes = (leaf, np.full((30, 3), -1.0), np.full((30, 3), 1.0))
+    queries = pd.DataFrame({"query_id": np.arange(40), "q": [np.array([0.5, 0.5])] * 40, "bound": [0.1] * 40, "home": np.arange(40, dtype=np.int32) % 30})
+    got = list(projected_ann._others(SimpleNamespace(value=index), SimpleNamespace(value=boxes))(iter([queries, queries[:0]])))
+    assert max(map(len, got)) < 50 + 30
+    every = pd.concat(got)
+    assert sorted(zip(every["query_id"], every["leaf"], strict=True)) == [(i, x) for i in range(40) for x in range(30) if x != i % 30]
+
+
+def test_ann_leaves_grow_with_rows(spark):
+    """What is sent grows with queries and leaves: ever more leaves of one size would be the square of the input."""
+    rows = spark.range(20_000).select(F.col("id").alias("vec_id"), F.array(F.rand(1) - 0.5, F.rand(2) - 0.5).alias("v"))
+    depth = lambda: projected_ann.build(rows, 2, sample=500)[0].tree.depth
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(projected_ann, "LEAF_ROWS", 20)
+        assert depth() == 6
+        m.setattr(projected_ann, "BLOCK_ROWS", 100)
+        assert depth() == 8
+
+
 def verified(m):
     top = float((m * m).sum(axis=1).max()) * (1 + 1e-12)
     planes = np.linalg.qr(np.random.default_rng(11).standard_normal((m.shape[1] + 1, projected_ann.DIM)))[0] * math.sqrt(m.shape[1] + 1)
